@@ -175,7 +175,7 @@ def grouped_int(c: ColumnLike) -> Column:
 
 def rate_text(c: ColumnLike) -> Column:
     """Three digits without the leading zero: ``.333``."""
-    return F.format_number(as_col(c), "#.000")
+    return F.call_function("format_number", as_col(c), F.lit("#.000"))
 
 
 def joined(*cols: Column) -> Column:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .audits import REGISTRY, Models, RowAudit
+from .audits import Models, RowAudit, registry
 
 SAMPLE_ROWS = 50
 
@@ -82,8 +82,9 @@ def _row(audit, failures: Column, total: Column, sample: Column) -> Column:
 
 def runnable(models: Models, only: Sequence[str] | None = None) -> list:
     """Audits of the registry whose tables are all there."""
-    names = list(only) if only else list(REGISTRY)
-    return [REGISTRY[n] for n in names if all(t in models for t in REGISTRY[n].needs)]
+    known = registry()
+    names = list(only) if only else list(known)
+    return [known[n] for n in names if all(t in models for t in known[n].needs)]
 
 
 def run_audits(models: Models, only: Sequence[str] | None = None, samples: bool = True) -> DataFrame:
