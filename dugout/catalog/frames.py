@@ -212,7 +212,7 @@ TEAMS = {
 }
 
 _DATES = {
-    "month": {"spark": "date_format({0}, 'yyyyMM')", "sql": "strftime({0}, '%Y%m')"},
+    "month": {"spark": "cast(year({0}) * 100 + month({0}) as bigint)", "sql": "cast(year({0}) * 100 + month({0}) as bigint)"},
     "year": {"spark": "year({0})", "sql": "cast(year({0}) as int)"},
     "year_text": {"spark": "cast(year({0}) as string)", "sql": "cast(year({0}) as varchar)"},
     "day_text": {"spark": "date_format({0}, 'yyyy-MM-dd')", "sql": "strftime({0}, '%Y-%m-%d')"},

@@ -666,13 +666,13 @@ def umpire_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("game_pk"),
         F.when(F.col("l_linenumber") == 1, "Home Plate").otherwise("First Base").alias("official_type"),
         F.col("l_suppkey").alias("official_id"),
-        F.date_format("l_shipdate", "yyyyMM").alias("load_id"),
+        (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("bigint").alias("load_id"),
     )
 
 
 @query(
     "fact_umpire_performance",
-    f"""with {ENRICHED_CTE}, u as (select l_orderkey as game_pk, l_suppkey as official_id, max(strftime(l_shipdate, '%Y%m')) as load_id from lineitem where l_linenumber = 1 group by 1, 2),
+    f"""with {ENRICHED_CTE}, u as (select l_orderkey as game_pk, l_suppkey as official_id, cast(max(year(l_shipdate) * 100 + month(l_shipdate)) as bigint) as load_id from lineitem where l_linenumber = 1 group by 1, 2),
     bz as (select u.game_pk, u.official_id, u.load_id, pe.zone, count(pe.event_id) as n from u left join enriched pe on pe.game_pk = u.game_pk and pe.is_called_strike_outside_zone = 1 group by 1, 2, 3, 4),
     bs as (select game_pk, official_id, max(load_id) as load_id, cast(sum(n) as bigint) as called_strikes_outside_zone, count(distinct zone) as zones_with_bad_calls from bz group by 1, 2),
     wz as (select * from (select *, row_number() over (partition by game_pk, official_id order by n desc, zone) as rn from bz where zone is not null) where rn = 1),

@@ -262,7 +262,7 @@ def q_date_ranges(spark, sf):
 def q_asof(spark, sf):
     e = table(spark, sf, "events").select("event_id", "ts", "user_id")
     p = table(spark, sf, "events").where("event_type = 'purchase'").select("user_id", F.col("ts").alias("bought"), F.col("event_id").alias("pid"), "value")
-    out = J.asof_join(e, p, ["user_id"], "ts", "bought", {"purchase_id": "pid", "purchase_value": "value"}, ["event_id"], strict=True, chunk=F.to_date("_time"))
+    out = J.asof_join(e, p, ["user_id"], "ts", "bought", {"purchase_id": "pid", "purchase_value": "value"}, ["event_id"], strict=True, chunk=F.to_date("_time"), limit=20)
     return out.select("event_id", "purchase_id", "purchase_value")
 
 
@@ -274,7 +274,7 @@ def q_asof_window(spark, sf):
     e = table(spark, sf, "events").select("event_id", "ts", "user_id")
     p = table(spark, sf, "events").where("event_type = 'error'").select("user_id", F.col("ts").alias("err_ts"))
     since = F.col("ts") - F.expr("INTERVAL 3 DAYS")
-    out = J.asof_join(e, p, ["user_id"], "ts", "err_ts", {"last_error": "err_ts"}, ["event_id"], not_before=since, chunk=F.to_date("_time"))
+    out = J.asof_join(e, p, ["user_id"], "ts", "err_ts", {"last_error": "err_ts"}, ["event_id"], not_before=since, chunk=F.to_date("_time"), limit=20)
     return out.select("event_id", "last_error")
 
 
@@ -351,7 +351,7 @@ def q_conditional_agg(spark, sf):
 
 @query("agg_exact_quantile", "select l_returnflag, round(quantile_cont(l_extendedprice, 0.9) + 1e-9, 4) as p90 from lineitem group by 1")
 def q_quantile(spark, sf):
-    return rounded(W.exact_quantile(table(spark, sf, "lineitem"), "l_extendedprice", 0.9, ["l_returnflag"], "p90"))
+    return rounded(W.exact_quantile(table(spark, sf, "lineitem"), "l_extendedprice", 0.9, ["l_returnflag"], "p90", limit=1000))
 
 
 @query("agg_global_median", "select round(median(o_totalprice) + 1e-9, 4) as median_price from orders")
@@ -418,7 +418,7 @@ def q_running(spark, sf):
         "filled_to_date": ("customer", "sum", S.flag(F.col("o_orderstatus") == "F")),
         "highest_to_date": ("customer", "max", F.col("o_totalprice")),
     }
-    out = W.running(o, {"customer": ["o_custkey"]}, ["o_orderdate", "o_orderkey"], measures, chunk=F.trunc("o_orderdate", "YEAR"))
+    out = W.running(o, {"customer": ["o_custkey"]}, ["o_orderdate", "o_orderkey"], measures, chunk=F.trunc("o_orderdate", "YEAR"), limit=8)
     return rounded(out.select("o_orderkey", *measures))
 
 
@@ -429,7 +429,7 @@ def q_running(spark, sf):
 def q_running_global(spark, sf):
     """A running total without any key: only the chunks spread it."""
     e = table(spark, sf, "events").select("event_id", "ts", "value")
-    out = W.running_sum(e, [], ["ts", "event_id"], {"position": F.lit(1).cast("long"), "total": "value"}, chunk=F.to_date("ts"))
+    out = W.running_sum(e, [], ["ts", "event_id"], {"position": F.lit(1).cast("long"), "total": "value"}, chunk=F.to_date("ts"), limit=1000)
     return rounded(out.select("event_id", "position", "total"))
 
 
@@ -439,7 +439,7 @@ def q_running_global(spark, sf):
 )
 def q_sessions(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
-    out = W.session_counter(e, ["user_id"], ["ts", "event_id"], F.col("event_type") == "signup", "session_id", chunk=F.to_date("ts"))
+    out = W.session_counter(e, ["user_id"], ["ts", "event_id"], F.col("event_type") == "signup", "session_id", chunk=F.to_date("ts"), limit=20)
     return out.select("event_id", "session_id")
 
 
@@ -450,8 +450,8 @@ def q_sessions(spark, sf):
 def q_changes(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
     day = F.to_date("ts")
-    back = W.neighbor(e, ["user_id"], ["ts", "event_id"], {"previous_type": "event_type"}, chunk=day)
-    return W.neighbor(back, ["user_id"], ["ts", "event_id"], {"next_ts": "ts"}, lead=True, chunk=day).select("event_id", "previous_type", "next_ts")
+    back = W.neighbor(e, ["user_id"], ["ts", "event_id"], {"previous_type": "event_type"}, chunk=day, limit=20)
+    return W.neighbor(back, ["user_id"], ["ts", "event_id"], {"next_ts": "ts"}, lead=True, chunk=day, limit=20).select("event_id", "previous_type", "next_ts")
 
 
 @query(

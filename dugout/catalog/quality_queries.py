@@ -426,7 +426,7 @@ def _games_model(spark, sf):
 
 @query(
     "audit_fact_games_keys",
-    f"""with {M.FACT_GAMES_CTE} select game_pk, season, strftime(d, '%Y%m') as load_id, k as null_keys from (select game_pk, season, o_orderdate as d,
+    f"""with {M.FACT_GAMES_CTE} select game_pk, season, cast(year(d) * 100 + month(d) as bigint) as load_id, k as null_keys from (select game_pk, season, o_orderdate as d,
       case when home_team_key is null then 'home_team_key;' else '' end || case when away_team_key is null then 'away_team_key;' else '' end as k from fg join orders on o_orderkey = game_pk) where k <> ''""",
 )
 def q_audit_keys(spark, sf):

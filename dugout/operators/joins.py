@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ColumnLike, as_col
-from .windows import running
+from .windows import HOT_ROWS, running
 
 
 def equal_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: Sequence[str] = ()) -> Column:
@@ -69,6 +69,7 @@ def asof_join(
     strict: bool = False,
     not_before: Column | None = None,
     chunk: Column | None = None,
+    limit: int = HOT_ROWS,
 ) -> DataFrame:
     """Latest right row of the key at (or, ``strict``, before) the left time; NULLs when none.
 
@@ -82,7 +83,7 @@ def asof_join(
     r = right.where(F.col(right_time).isNotNull()).select(*keys, F.col(right_time).alias("_time"), F.lit(1 if strict else 0).alias("_side"), payload.alias("_pay"))
     lft = left.withColumns({"_time": F.col(left_time), "_side": F.lit(0 if strict else 1)})
     both = lft.unionByName(r, allowMissingColumns=True)
-    out = running(both, {"k": keys}, ["_time", "_side", *left_id], {"_asof": ("k", "max", F.col("_pay"))}, chunk)
+    out = running(both, {"k": keys}, ["_time", "_side", *left_id], {"_asof": ("k", "max", F.col("_pay"))}, chunk, limit=limit)
     out = out.where(F.col("_side") == (0 if strict else 1))
     ok = F.lit(True) if not_before is None else F.col("_asof._rt") >= not_before
     return out.withColumns({o: F.when(ok, F.col(f"_asof.{o}")) for o in take}).drop("_time", "_side", "_pay", "_asof")

@@ -13,6 +13,7 @@ from ..operators.joins import date_in_range, lookup
 from ..operators.reshape import by_priority, bounds_spine
 from ..operators.windows import dedup_latest, running_sum
 from ..sources.landing import LOAD_ID, ROW_ID
+from ..sources.tables import literal_rows
 
 # Game type labels, once for the schedule and once for the type table.
 GAME_TYPE_GROUPS = {"R": "Regular Season", "S": "Spring Training", "P": "Postseason"}
@@ -253,8 +254,8 @@ def dim_season(seasons: DataFrame) -> DataFrame:
 
 
 def dim_zone(spark: SparkSession) -> DataFrame:
-    """The 14 strike-zone cells."""
-    return spark.createDataFrame(ZONES, "zone_id int, zone_description string, is_in_zone int, zone_region string").coalesce(1)
+    """The 14 strike-zone cells, as literal rows whose size the planner knows (so it broadcasts them)."""
+    return literal_rows(spark, ZONES, "zone_id int, zone_description string, is_in_zone int, zone_region string")
 
 
 def dim_games(games: DataFrame) -> DataFrame:

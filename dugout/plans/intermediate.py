@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..operators.joins import lookup
 from ..operators.reshape import stacked_rows
-from ..operators.windows import running, session_counter
+from ..operators.windows import HOT_ROWS, running, session_counter
 from ..sources.landing import HIT_EVENTS, LOAD_ID
 from .dims import BATTING, FIELDING, LINE_COLUMNS, PITCHING
 
@@ -86,36 +86,40 @@ def int_pitches_enriched(pitches: DataFrame, zones: DataFrame) -> DataFrame:
     p = p.withColumns({"zone": F.coalesce("zone", F.lit(99)), "result_is_hit": F.col("result_is_hit").cast("int"), "is_final_pitch": F.col("is_final_pitch").cast("int")})
     x, z, top, bot = (F.col(c) for c in ("plate_x", "plate_z", "sz_top", "sz_bot"))
     code, result = F.col("pitch_result_code"), F.col("result_event_type")
-    located = x.isNotNull() & z.isNotNull() & top.isNotNull() & bot.isNotNull()
-    inside = x.between(-HALF_PLATE, HALF_PLATE) & z.between(bot, top)
-    outside = (x < -HALF_PLATE) | (x > HALF_PLATE) | (z < bot) | (z > top)
-    swing, whiff = code.isin(*SWING_CODES), code.isin(*WHIFF_CODES)
-    edge = F.abs(x).between(*EDGE_BAND) | (F.abs(z - top) < EDGE_HEIGHT) | (F.abs(z - bot) < EDGE_HEIGHT)
-    done = complete_appearance(F.col("is_final_pitch"), result)
     j = lookup(
         p, zones, {"zone_id": "zone"}, {"zone_description": "zone_description", "zone_region": "zone_region", "_in_zone": "is_in_zone"}
     )
+    # Shared predicates become columns of their own: each is computed once per pitch and
+    # the flag expressions stay small.
+    j = j.withColumns(
+        {
+            "has_location": S.flag(x.isNotNull() & z.isNotNull() & top.isNotNull() & bot.isNotNull()),
+            "_inside": x.between(-HALF_PLATE, HALF_PLATE) & z.between(bot, top),
+            "_edge": F.abs(x).between(*EDGE_BAND) | (F.abs(z - top) < EDGE_HEIGHT) | (F.abs(z - bot) < EDGE_HEIGHT),
+            "is_swing": S.flag(code.isin(*SWING_CODES)),
+            "is_whiff": S.flag(code.isin(*WHIFF_CODES)),
+            "is_called_strike": S.flag(code == CALLED_STRIKE_CODE),
+            "is_foul": S.flag(code.isin(*FOUL_CODES)),
+            "pa_is_complete": complete_appearance(F.col("is_final_pitch"), result),
+        }
+    )
+    located, inside = F.col("has_location") == 1, F.col("_inside")
+    swing, whiff, called = (F.col(c) == 1 for c in ("is_swing", "is_whiff", "is_called_strike"))
     flags = j.withColumns(
         {
-            "has_location": S.flag(located),
             "is_in_zone": F.coalesce("_in_zone", F.lit(0)),
             "is_in_strike_zone": S.known_flag(located, inside),
-            "is_swing": S.flag(swing),
-            "is_whiff": S.flag(whiff),
-            "is_called_strike": S.flag(code == CALLED_STRIKE_CODE),
-            "is_foul": S.flag(code.isin(*FOUL_CODES)),
-            "is_chase": S.known_flag(located, swing & outside),
+            "is_chase": S.known_flag(located, swing & ~inside),
             "is_zone_swing": S.known_flag(located, swing & inside),
             "is_zone_whiff": S.known_flag(located, whiff & inside),
-            "is_edge_pitch": S.known_flag(located, edge),
-            "is_called_strike_outside_zone": S.known_flag(located, (code == CALLED_STRIKE_CODE) & outside),
+            "is_edge_pitch": S.known_flag(located, F.col("_edge")),
+            "is_called_strike_outside_zone": S.known_flag(located, called & ~inside),
             "is_ball_inside_zone": S.known_flag(located, code.isin(*BALL_CODES) & inside),
             "is_two_strike": S.flag(F.col("strikes") == 2),
             "is_first_pitch": S.flag(F.col("pitch_number") == 1),
             "count_leverage": F.when(F.col("strikes") > F.col("balls"), "Ahead").when(F.col("balls") > F.col("strikes"), "Behind").otherwise("Even"),
-            "pa_is_complete": done,
         }
-    ).drop("_in_zone")
+    ).drop("_in_zone", "_inside", "_edge")
     names = {k: f"pa_is_{k}" for k in ("hit", "home_run", "strikeout", "walk", "hit_by_pitch", "at_bat")} | {"total_bases": "pa_total_bases"}
     outcomes = appearance_outcomes(F.col("pa_is_complete"), result, F.col("result_is_hit"), names)
     rbi = F.when(F.col("pa_is_complete") == 1, F.coalesce("result_rbi", F.lit(0))).otherwise(F.lit(0))
@@ -254,11 +258,12 @@ SEASON_RECORDS = {
 }
 
 
-def int_team_game_results_to_date(results: DataFrame, chunk: Column | None = None) -> DataFrame:
+def int_team_game_results_to_date(results: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
     """Running win/loss records of nine splits, up to and including each game.
 
-    All splits share ``team_id``, so the rows are shuffled once on (team, month); the
-    totals carried into each month come from one pass with grouping sets.
+    All splits share ``team_id``, so the rows are shuffled once on it. A team above
+    ``limit`` rows is spread by month; the totals carried into each month then come from
+    one pass with grouping sets.
     """
     wins, losses = S.flag(F.col("result") == "W"), S.flag(F.col("result") == "L")
     order = ["venue", "opponent", *SEASON_RECORDS, "start_hour", "interleague", "series", "games_in_series", "series_game_number"]
@@ -272,5 +277,4 @@ def int_team_game_results_to_date(results: DataFrame, chunk: Column | None = Non
             measures[f"wins_to_date_{name}"] = (name, "sum", wins)
             measures[f"losses_to_date_{name}"] = (name, "sum", losses)
     by = ["game_date", "game_datetime", "game_pk"]
-    cut = month_of("game_date") if chunk is None else chunk
-    return running(results.select(*RESULT_COLUMNS), RECORD_SPLITS, by, measures, cut, spread=["team_id"])
+    return running(results.select(*RESULT_COLUMNS), RECORD_SPLITS, by, measures, month_of("game_date"), ["team_id"], limit)

@@ -17,6 +17,13 @@ def _count_if(cond: Column, out: str) -> Column:
     return F.sum(S.flag(cond)).alias(out)
 
 
+def _max_letter(name: str) -> Column:
+    """Largest one-letter code of a group, through its code point: a numeric maximum keeps
+    the aggregation hash-based, where one over text would need a sort."""
+    top = F.max(F.ascii(name))
+    return F.when(top == 0, "").otherwise(F.char(top)).alias(name)
+
+
 def _rates(ratios: dict[str, tuple[str, str]]) -> dict[str, Column]:
     return {out: S.rate(n, d) for out, (n, d) in ratios.items()}
 
@@ -38,7 +45,7 @@ def mart_pitcher_game(pitches: DataFrame) -> DataFrame:
     }
     g = pitches.groupBy("game_pk", "season", "pitcher_id").agg(
         F.max("load_id").alias("load_id"),
-        F.max("pitcher_hand").alias("pitcher_hand"),
+        _max_letter("pitcher_hand"),
         F.count(F.lit(1)).alias("total_pitches"),
         *[_sum(src, out) for out, src in sums.items()],
         _count_if(F.col("is_in_strike_zone") == 0, "out_of_zone_pitches"),
@@ -119,7 +126,7 @@ def mart_batter_game(pitches: DataFrame, batted: DataFrame) -> DataFrame:
     kinds = {"singles": "single", "doubles": "double", "triples": "triple", "sac_flies": "sac_fly"}
     p = pitches.groupBy("game_pk", "season", "batter_id").agg(
         F.max("load_id").alias("load_id"),
-        F.max("batter_side").alias("batter_side"),
+        _max_letter("batter_side"),
         F.count(F.lit(1)).alias("pitches_seen"),
         F.count_distinct("at_bat_index").alias("plate_appearances"),
         *[_sum(src, out) for out, src in sums.items()],

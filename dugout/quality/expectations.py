@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions.scalar import as_col, regex_match
 from ..operators.reshape import bounds_spine
-from ..operators.windows import exact_quantile, lag_periods, moving_stats, neighbor, order_chunk
+from ..operators.windows import HOT_ROWS, exact_quantile, lag_periods, moving_stats, neighbor, order_chunk
 from .generic import Condition, moment, out_of_range, rows_where
 
 # ---- base forms --------------------------------------------------------------------------------
@@ -216,21 +216,21 @@ def values_between(df, column, min_value=None, max_value=None, strictly=False, w
     return expression_between(df, as_col(column), min_value, max_value, strictly, None, where)
 
 
-def _ordered(df, column, sort_column, fine: Callable[[Column, Column], Column], group_by, where, sample_rows):
+def _ordered(df, column, sort_column, fine: Callable[[Column, Column], Column], group_by, where, limit):
     sort = sort_column or column
     rows = rows_where(df, where).select(F.col(sort).alias("sort_column"), *group_by, F.col(column).alias("value_field"))
-    near = neighbor(rows, list(group_by), ["sort_column"], {"value_field_lag": F.col("value_field")}, chunk=order_chunk(rows, "sort_column", sample_rows=sample_rows))
+    near = neighbor(rows, list(group_by), ["sort_column"], {"value_field_lag": F.col("value_field")}, chunk=lambda d: order_chunk(d, "sort_column"), limit=limit)
     return near.where(F.col("value_field_lag").isNotNull() & ~fine(F.col("value_field"), F.col("value_field_lag")))
 
 
-def values_increasing(df, column, sort_column=None, strictly=True, group_by=(), where=None, sample_rows=4096):
+def values_increasing(df, column, sort_column=None, strictly=True, group_by=(), where=None, limit=HOT_ROWS):
     """Rows not above their predecessor in sort order."""
-    return _ordered(df, column, sort_column, (lambda a, b: a > b) if strictly else (lambda a, b: a >= b), group_by, where, sample_rows)
+    return _ordered(df, column, sort_column, (lambda a, b: a > b) if strictly else (lambda a, b: a >= b), group_by, where, limit)
 
 
-def values_decreasing(df, column, sort_column=None, strictly=True, group_by=(), where=None, sample_rows=4096):
+def values_decreasing(df, column, sort_column=None, strictly=True, group_by=(), where=None, limit=HOT_ROWS):
     """Rows not below their predecessor in sort order."""
-    return _ordered(df, column, sort_column, (lambda a, b: a < b) if strictly else (lambda a, b: a <= b), group_by, where, sample_rows)
+    return _ordered(df, column, sort_column, (lambda a, b: a < b) if strictly else (lambda a, b: a <= b), group_by, where, limit)
 
 
 def values_in_set(df, column, values, where=None):

@@ -21,6 +21,8 @@ def get_spark(app: str = "dugout", master: str | None = None, shuffle_partitions
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Larger generated methods are not compiled by the JVM and run interpreted.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )

@@ -175,9 +175,18 @@ def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True)
 
 
-def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Small literal relation."""
-    return spark.createDataFrame(list(rows), schema)
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Small literal relation. As VALUES its size is known to the planner, unlike rows
+    handed over from Python, so joins with it are broadcast without a hint."""
+    fields = [f.strip().split() for f in schema.split(",")]
+
+    def text(v: object) -> str:
+        return "NULL" if v is None else str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "\\'") + "'"
+
+    values = ", ".join("(" + ", ".join(text(v) for v in r) + ")" for r in rows)
+    names = ", ".join(n for n, _ in fields)
+    df = spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+    return df.select(*[F.col(n).cast(t).alias(n) for n, t in fields])
 
 
 def _like(pattern: str):
