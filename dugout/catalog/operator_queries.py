@@ -10,6 +10,7 @@ from ..functions import web as U
 from ..operators import joins as J
 from ..operators import reshape as R
 from ..operators import windows as W
+from ..operators.keys import keyed_join
 from ..sources import tables as T
 from ..streaming import incremental as I
 from .registry import query, rounded, table
@@ -299,7 +300,7 @@ def q_null_safe(spark, sf):
     o = table(spark, sf, "orders").withColumns({"k": F.nullif(F.col("o_orderstatus"), F.lit("P")), "p": F.col("o_orderpriority")})
     a = o.groupBy("k", "p").agg(F.count(F.lit(1)).alias("n"))
     b = o.groupBy("k", "p").agg(F.sum("o_custkey").alias("s"))
-    return a.join(b, J.equal_keys(a, b, ["p", "k"], null_safe=["k"]), "left").select(a["k"], a["p"], "n", "s")
+    return keyed_join(a, b, ["p", "k"], null_safe=["k"])
 
 
 @query("join_members", "select distinct k as member from (select c_nationkey as k from customer union all select s_nationkey from supplier union all select n_regionkey from nation)")

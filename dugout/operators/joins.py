@@ -11,15 +11,6 @@ from ..functions.scalar import ColumnLike, as_col
 from .windows import HOT_ROWS, running
 
 
-def equal_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: Sequence[str] = ()) -> Column:
-    """Join condition on same-named keys; NULL equals NULL on the ``null_safe`` ones."""
-    cond = F.lit(True)
-    for i, k in enumerate(keys):
-        c = left[k].eqNullSafe(right[k]) if k in null_safe else left[k] == right[k]
-        cond = c if i == 0 else cond & c
-    return cond
-
-
 def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, ColumnLike], take: dict[str, str], where: Column | None = None) -> DataFrame:
     """Left lookup of a dimension in one of its roles.
 

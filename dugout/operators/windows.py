@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ColumnLike, as_col
+from .keys import keyed_join
 
 CHUNK = "_chunk"
 SET_ID = "_set_id"
@@ -271,8 +272,7 @@ def exact_quantile(df: DataFrame, value: str, q: float, keys: Sequence[str] = ()
     upto = running_sum(counts, keys, [value], {"_upto": "_n"}, lambda d: order_chunk(d, value), limit)
     totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
     if keys:
-        cond = [upto[k].eqNullSafe(totals[k]) for k in keys]
-        placed = upto.join(totals, cond).drop(*[totals[k] for k in keys])
+        placed = keyed_join(upto, totals, keys, "inner", null_safe=keys)
     else:
         placed = upto.withColumn("_total", totals.scalar())
     at = (F.col("_total") - 1) * F.lit(float(q))

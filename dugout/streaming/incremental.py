@@ -14,7 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import equal_keys, not_in
+from ..operators.joins import not_in
+from ..operators.keys import keyed_join
 from ..operators.windows import session_counter
 from ..plans.intermediate import RECORD_SPLITS, SEASON_RECORDS, int_team_game_results_to_date, month_of
 from ..sources.landing import LOAD_ID
@@ -111,8 +112,7 @@ def records_with_prior(existing: DataFrame, batch: DataFrame) -> DataFrame:
         else:
             sums = {f"{w}_to_date_{split}": F.col("result") == r for w, r in (("wins", "W"), ("losses", "L"))}
         prior = existing.groupBy(*keys).agg(*[F.count_if(cond).alias(f"_p_{n}") for n, cond in sums.items()])
-        cond = equal_keys(out, prior, keys, null_safe=("start_hour",))
-        joined = out.join(prior, cond, "left").drop(*[prior[k] for k in keys])
+        joined = keyed_join(out, prior, keys, null_safe=("start_hour",))
         joined = joined.withColumns({n: F.col(n) + F.coalesce(f"_p_{n}", F.lit(0)) for n in sums})
         out = joined.drop(*[f"_p_{n}" for n in sums])
     return out
