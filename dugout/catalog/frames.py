@@ -1,7 +1,9 @@
 """Model-shaped frames derived from the given tables, in Spark and as SQL text.
 
 The given tables hold no games, so order lines stand in for pitches and player lines,
-orders for games, rosters and transactions, customers for teams. Every expression is
+orders for games, rosters and transactions, customers for teams. For pitches 25 orders
+make a game (about 100 pitches), each order an at-bat, and 100 orders share eight
+pitchers and twenty batters, so games, players and groups grow with the tables. Every expression is
 row-wise: the frames grow with the tables and add no shuffle of their own.
 """
 
@@ -27,13 +29,18 @@ _RESULT = (
 _TYPE = "case l_partkey % 7 when 0 then 'FF' when 1 then 'SL' when 2 then 'CH' when 3 then 'SI' when 4 then 'CU' when 5 then 'XX' else null end"
 _TRAJECTORY = "case l_partkey % 5 when 0 then 'ground_ball' when 1 then 'line_drive' when 2 then 'fly_ball' when 3 then 'popup' else 'unknown' end"
 
+_GAME = "cast(floor(l_orderkey / 25) as bigint)"
+_CLUB = "cast(floor(l_orderkey / 100) as bigint)"
+_PITCHER = f"{_CLUB} * 8 + l_orderkey % 8 + case when l_suppkey % 25 = 1 then 1 else 0 end"
+_BATTER = f"{_CLUB} * 20 + l_orderkey % 20"
+
 PITCHES = {
     "event_id": _EVENT_ID,
     "load_id": "{month}",
-    "game_pk": "l_orderkey",
-    "at_bat_index": "l_linenumber",
+    "game_pk": _GAME,
+    "at_bat_index": "cast(l_orderkey % 25 as int)",
     "pitch_number": "cast(1 + l_partkey % 4 as int)",
-    "season": "{year}",
+    "season": f"cast(1995 + {_GAME} % 7 as int)",
     "start_time": "l_shipdate",
     "is_pitch": "case when l_suppkey % 50 = 0 then 0 else 1 end",
     "is_in_play": "case when (l_partkey + l_linenumber) % 8 = 3 then 1 else 0 end",
@@ -45,11 +52,11 @@ PITCHES = {
     "balls": "cast(l_linenumber % 4 as int)",
     "strikes": "cast(l_partkey % 3 as int)",
     "outs_when_up": "cast(l_suppkey % 3 as int)",
-    "batter_id": "l_partkey",
-    "batter_name": "concat('B', cast(l_partkey as string))",
-    "batter_side": "case when l_partkey % 2 = 0 then 'L' else 'R' end",
-    "pitcher_id": "l_suppkey",
-    "pitcher_name": "concat('P', cast(l_suppkey as string))",
+    "batter_id": _BATTER,
+    "batter_name": f"concat('B', cast({_BATTER} as string))",
+    "batter_side": "case when l_orderkey % 2 = 0 then 'L' else 'R' end",
+    "pitcher_id": _PITCHER,
+    "pitcher_name": f"concat('P', cast({_PITCHER} as string))",
     "pitcher_hand": "case when l_suppkey % 3 = 0 then 'L' else 'R' end",
     "pitch_type_code": _TYPE,
     "pitch_type_description": f"concat('type ', {_TYPE})",

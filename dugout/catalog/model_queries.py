@@ -145,7 +145,7 @@ _PG_SUMS = {
       {irate('walks_allowed', 'batters_faced', 'walk_pct')}, {irate('hits_allowed', 'at_bats_against', 'batting_avg_against')} from g""",
 )
 def q_pitcher_game(spark, sf_dir):
-    return rounded(marts.mart_pitcher_game(enriched(spark, sf_dir)))
+    return rounded(marts.mart_pitcher_game(enriched(spark, sf_dir)), prefix="avg_")
 
 
 _BG_SUMS = {
@@ -191,7 +191,7 @@ _LINE_RATES = ", ".join(
     from p left join b on p.game_pk = b.g and p.batter_id = b.bt""",
 )
 def q_batter_game(spark, sf_dir):
-    return rounded(marts.mart_batter_game(enriched(spark, sf_dir), batted(spark, sf_dir)))
+    return rounded(marts.mart_batter_game(enriched(spark, sf_dir), batted(spark, sf_dir)), prefix="avg_")
 
 
 _MU_SUMS = {
@@ -225,7 +225,7 @@ _MU_SUMS = {
     from m left join b on m.season = b.s and m.pitcher_id = b.pi and m.batter_id = b.bt""",
 )
 def q_matchups(spark, sf_dir):
-    return rounded(marts.mart_matchups(enriched(spark, sf_dir), batted(spark, sf_dir)))
+    return rounded(marts.mart_matchups(enriched(spark, sf_dir), batted(spark, sf_dir)), prefix="avg_")
 
 
 _AR_SUMS = {
@@ -255,13 +255,13 @@ def _arsenal_sql(keys: str, extra: str) -> str:
 @query("mart_pitcher_arsenal", _arsenal_sql("season, pitcher_id, pitch_type_code", "max(pitcher_name) as pitcher_name,"))
 def q_arsenal(spark, sf_dir):
     types = dims.dim_pitch_type(fr.pitches(spark, sf_dir))
-    return rounded(marts.mart_pitcher_arsenal(enriched(spark, sf_dir), types))
+    return rounded(marts.mart_pitcher_arsenal(enriched(spark, sf_dir), types), prefix="avg_")
 
 
 @query("mart_pitcher_arsenal_as_written", _arsenal_sql("season, pitcher_id, pitcher_name, batter_id, batter_name, pitch_type_code", ""))
 def q_arsenal_as_written(spark, sf_dir):
     types = dims.dim_pitch_type(fr.pitches(spark, sf_dir))
-    return rounded(marts.mart_pitcher_arsenal(enriched(spark, sf_dir), types, grain="as_written"))
+    return rounded(marts.mart_pitcher_arsenal(enriched(spark, sf_dir), types, grain="as_written"), prefix="avg_")
 
 
 @query(
@@ -289,7 +289,7 @@ def q_arsenal_as_written(spark, sf_dir):
       {_flag(f"is_complete_pa = 1 and result_event_type not in {_NOT_AB}")} as is_at_bat, {_bases('is_complete_pa', 'result_event_type')} as total_bases from c""",
 )
 def q_at_bats(spark, sf_dir):
-    return rounded(facts.fact_at_bats(fr.pitches(spark, sf_dir)))
+    return rounded(facts.fact_at_bats(fr.pitches(spark, sf_dir)), prefix="avg_")
 
 
 _BB_OUT = [
@@ -663,7 +663,7 @@ def umpire_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Officials from order lines: the supplier of line 1 stands behind the plate, twice in two loads."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        F.col("l_orderkey").alias("game_pk"),
+        F.floor(F.col("l_orderkey") / 25).cast("bigint").alias("game_pk"),
         F.when(F.col("l_linenumber") == 1, "Home Plate").otherwise("First Base").alias("official_type"),
         F.col("l_suppkey").alias("official_id"),
         (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("bigint").alias("load_id"),
@@ -672,7 +672,7 @@ def umpire_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "fact_umpire_performance",
-    f"""with {ENRICHED_CTE}, u as (select l_orderkey as game_pk, l_suppkey as official_id, cast(max(year(l_shipdate) * 100 + month(l_shipdate)) as bigint) as load_id from lineitem where l_linenumber = 1 group by 1, 2),
+    f"""with {ENRICHED_CTE}, u as (select l_orderkey // 25 as game_pk, l_suppkey as official_id, cast(max(year(l_shipdate) * 100 + month(l_shipdate)) as bigint) as load_id from lineitem where l_linenumber = 1 group by 1, 2),
     bz as (select u.game_pk, u.official_id, u.load_id, pe.zone, count(pe.event_id) as n from u left join enriched pe on pe.game_pk = u.game_pk and pe.is_called_strike_outside_zone = 1 group by 1, 2, 3, 4),
     bs as (select game_pk, official_id, max(load_id) as load_id, cast(sum(n) as bigint) as called_strikes_outside_zone, count(distinct zone) as zones_with_bad_calls from bz group by 1, 2),
     wz as (select * from (select *, row_number() over (partition by game_pk, official_id order by n desc, zone) as rn from bz where zone is not null) where rn = 1),

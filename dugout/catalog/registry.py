@@ -33,9 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Doubles rounded, so that summation order does not show.
+def rounded(df: DataFrame, digits: int = 4, prefix: str = "") -> DataFrame:
+    """Doubles (those whose name starts with ``prefix``) rounded, so that summation order does not show.
 
     The tiny shift moves exact halves, which engines round differently.
     """
-    return df.select(*[F.round(F.col(f.name) + 1e-9, digits).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name) for f in df.schema.fields])
+    real = (T.DoubleType, T.FloatType)
+    wanted = {f.name for f in df.schema.fields if isinstance(f.dataType, real) and f.name.startswith(prefix)}
+    return df.withColumns({n: F.round(F.col(n) + 1e-9, digits) for n in wanted}) if wanted else df

@@ -265,7 +265,11 @@ def q_grouped_tests(spark, sf):
     return out.withColumn("elapsed_seconds", F.round(F.col("elapsed_seconds") + 1e-9, 4))
 
 
-@query("runs_alert_payload")
+@query(
+    "runs_alert_items",
+    f"""with {_LIMITS} select model_name as model, model_layer as layer, status, 'failures' as section from c where status_color = 'danger'
+      union all select model_name, model_layer, status, 'zero_row_warnings' from c where status_color = 'warning' and (end_record_count = 0 or records_added = 0)
+      union all select model_name, model_layer, status, 'reconciliation_warnings' from c where status_color = 'warning' and end_record_count <> start_record_count + records_added""",
+)
 def q_alert(spark, sf):
-    s = _summary(spark, sf)
-    return runs.alert_payload(s, runs.overall_health(s), F.lit("2024-02-01").cast("timestamp"))
+    return runs.alert_items(_summary(spark, sf)).select("model", "layer", "status", "section")

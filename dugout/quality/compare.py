@@ -132,7 +132,7 @@ def rows_to_remove(df: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame
 TEST_TYPES = ("unique_combination_of_columns", "accepted_values", "accepted_range", "relationships", "not_null", "unique")
 
 
-def failure_report(failures: dict[str, DataFrame], sample_rows: int | None = 50) -> DataFrame:
+def failure_report(failures: dict[str, DataFrame], sample_rows: int = 50) -> DataFrame:
     """Per stored failure table: count and rows as JSON, with type and model from its name.
 
     ``sample_rows`` bounds the rows that are packed into one text.
@@ -141,8 +141,7 @@ def failure_report(failures: dict[str, DataFrame], sample_rows: int | None = 50)
     kinds = "|".join(TEST_TYPES)
     for name, df in failures.items():
         total = df.agg(F.count(F.lit(1)).alias("n"))
-        rows = df.limit(sample_rows) if sample_rows else df
-        packed = rows.agg(F.to_json(F.collect_list(F.struct("*"))).alias("j"))
+        packed = df.limit(sample_rows).agg(F.to_json(F.collect_list(F.struct("*"))).alias("j"))
         one = total.select(F.lit(name).alias("test_name"), F.col("n").alias("failure_count"), packed.scalar().alias("rows_json"))
         out = one if out is None else out.unionByName(one)
     rx = f"^(?:[a-z]+_utils_)?({kinds})_(.*)$"
