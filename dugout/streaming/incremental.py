@@ -9,6 +9,7 @@ a full rebuild gives, also after out-of-order back-fills.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -169,6 +170,12 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     return fallback
 
 
+def _checkpoint_folder(spark: SparkSession, store: TableStore, landing_dir: str, name: str, fallback: str | None) -> str:
+    """Folder of one (store, landing folder, table): the shared root may serve many."""
+    owner = hashlib.md5(f"{store.root}|{landing_dir}".encode()).hexdigest()
+    return f"{checkpoint_root(spark, fallback)}/streams/{owner}/{name}"
+
+
 def stream_upsert(
     spark: SparkSession,
     landing_dir: str,
@@ -193,7 +200,7 @@ def stream_upsert(
         rows = flatten(batch).withColumn(LOAD_ID, F.lit(f"{batch_id:012d}"))
         store.merge(name, rows, keys, newest or [F.col(LOAD_ID).desc()], partition_by)
 
-    folder = f"{checkpoint_root(spark, checkpoint)}/{name}"
+    folder = _checkpoint_folder(spark, store, landing_dir, name, checkpoint)
     return source.writeStream.foreachBatch(upsert).option("checkpointLocation", folder).trigger(availableNow=True).start()
 
 
@@ -207,7 +214,7 @@ def stream_append(spark: SparkSession, landing_dir: str, schema: str, flatten: C
         if not (store.exists(name) and not store.read(name).where(F.col(LOAD_ID) == f"{batch_id:012d}").isEmpty()):
             store.append(name, rows)
 
-    folder = f"{checkpoint_root(spark, checkpoint)}/{name}"
+    folder = _checkpoint_folder(spark, store, landing_dir, name, checkpoint)
     return source.writeStream.foreachBatch(add).option("checkpointLocation", folder).trigger(availableNow=True).start()
 
 
