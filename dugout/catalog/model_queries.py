@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalar import NULL_KEY_TEXT
 from ..plans import dims, facts, intermediate, marts
 from . import frames as fr
 from .registry import query, rounded, table
@@ -305,7 +306,7 @@ def q_batted(spark, sf_dir):
 
 # ---- games, results, records -------------------------------------------------------------------
 
-_KEY = "_dbt_utils_surrogate_key_null_"
+_KEY = NULL_KEY_TEXT
 
 
 def key_sql(*cols: str) -> str:

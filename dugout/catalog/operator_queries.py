@@ -17,7 +17,7 @@ from .registry import query, rounded, table
 
 # ---- column functions ---------------------------------------------------------------------------
 
-_TAG = "_dbt_utils_surrogate_key_null_"
+_TAG = S.NULL_KEY_TEXT
 
 
 @query(

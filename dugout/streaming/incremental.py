@@ -58,15 +58,22 @@ def refresh_groups(
     group: Sequence[str],
     keys: Sequence[str],
     load_column: str = "load_id",
-    target_load: str = "load_id",
+    target_load: str | None = "load_id",
     partition_by: str | None = None,
     full_refresh: bool = False,
+    touched: DataFrame | None = None,
 ) -> DataFrame:
-    """Rebuilds every group touched by newer loads from all of its rows, then merges."""
+    """Rebuilds every group touched by newer loads from all of its rows, then merges.
+
+    A target without a load column (``target_load=None``) needs the ``touched`` groups
+    from the caller: for team results the (home, away) pairs of new games, for running
+    records the teams of new results.
+    """
     fresh = full_refresh or not store.exists(name)
     if not fresh:
-        touched = touched_groups(source, group, high_water(store.read(name), target_load), load_column)
-        source = source.join(touched, list(group), "left_semi")
+        if touched is None:
+            touched = touched_groups(source, group, high_water(store.read(name), target_load), load_column)
+        source = source.join(touched.select(*group).distinct(), list(group), "left_semi")
     return store.merge(name, build(source), keys, [F.col(target_load).desc()] if target_load else None, partition_by, fresh)
 
 

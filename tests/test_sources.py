@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -178,16 +179,14 @@ def test_incremental_law(spark, tmp_path, rows):
     first, second = split_loads(games, F.col("game_pk") % 3 != 0)
     store = T.TableStore(spark, str(tmp_path / "s"))
     keys = ["game_pk", "team_id"]
-    store.merge("res", build(first), keys)
-    everything = first.unionByName(second)
-    pairs = second.select("teams__home__team__id", "teams__away__team__id").distinct()
-    touched = everything.join(pairs, ["teams__home__team__id", "teams__away__team__id"], "left_semi")
-    store.merge("res", build(touched), keys)
+    everything, pair = first.unionByName(second), ["teams__home__team__id", "teams__away__team__id"]
+    refresh = lambda name, src, make, group, touched=None: I.refresh_groups(store, name, src, make, group, keys, target_load=None, touched=touched)
+    refresh("res", first, build, pair)
+    refresh("rec", store.read("res"), intermediate.int_team_game_results_to_date, ["team_id"])
+    refresh("res", everything, build, pair, second)
     full = build(games)
     assert rows(store.read("res"), "game_pk", "team_id", "series_id", "result") == rows(full, "game_pk", "team_id", "series_id", "result")
-    store.merge("rec", intermediate.int_team_game_results_to_date(build(first)), keys)
-    changed = store.read("res").join(build(second).select("team_id").distinct(), "team_id", "left_semi")
-    store.merge("rec", intermediate.int_team_game_results_to_date(changed), keys)
+    refresh("rec", store.read("res"), intermediate.int_team_game_results_to_date, ["team_id"], build(second))
     want = intermediate.int_team_game_results_to_date(full)
     assert rows(store.read("rec"), *sorted(want.columns)) == rows(want, *sorted(want.columns))
 
@@ -227,7 +226,7 @@ def test_refresh_rows_and_groups(spark, tmp_path, rows):
 
 def test_streaming_upsert(spark, tmp_path, rows):
     store = T.TableStore(spark, str(tmp_path / "s"))
-    land = tmp_path / "land"
+    land = tmp_path / uuid.uuid4().hex  # a folder no earlier run has a checkpoint for
     land.mkdir()
     flat = lambda d: L.games(d).select("game_pk", "teams__home__score")
 
