@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing
+from . import exact_dedup, hyperminhash, packing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op4_pack_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query("op6_hyperminhash")
+def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.groups(table(spark, sf_dir, "documents"), words_each=2, percent=80)
+
+
 @query(
     "op9_bloom_dedup",
     """
