@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, hyperminhash, language_hd, packing
+from . import bpe_chunks, exact_dedup, hyperminhash, language_hd, packing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_bpe_chunks")
+def op2_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_chunks.round_trip(table(spark, sf_dir, "documents"))
+
+
 @query("op3_language_hd")
 def op3_language_hd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_hd.predictions(table(spark, sf_dir, "documents"))
