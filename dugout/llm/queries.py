@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_chunks, exact_dedup, hyperminhash, language_hd, packing
+from . import bpe_chunks, dac, exact_dedup, hyperminhash, language_hd, packing
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op4_pack_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query("op5_dac_files")
+def op5_dac_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dac.round_trip(table(spark, sf_dir, "documents"))
+
+
 @query("op6_hyperminhash")
 def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.groups(table(spark, sf_dir, "documents"), words_each=2, percent=80)
