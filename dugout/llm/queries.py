@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_chunks, dac, exact_dedup, hyperminhash, language_hd, packing
+from . import bpe_chunks, dac, exact_dedup, hyperminhash, language_hd, packing, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.groups(table(spark, sf_dir, "documents"), words_each=2, percent=80)
 
 
+@query("op7_warc_chunks")
+def op7_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query(
     "op9_bloom_dedup",
     """
