@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_chunks, dac, exact_dedup, hyperminhash, language_hd, packing, warc
+from . import ann_tree, bpe_chunks, dac, exact_dedup, hyperminhash, language_hd, packing, url_boost, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +26,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_ann_tree")
+def op1_ann_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query("op2_bpe_chunks")
 def op2_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.round_trip(table(spark, sf_dir, "documents"))
@@ -66,3 +72,8 @@ def op7_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
+
+
+@query("op10_url_boost")
+def op10_url_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_boost.judged(table(spark, sf_dir, "pages"))
