@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_tree, bpe_chunks, dac, exact_dedup, hyperminhash, language_hd, packing, url_boost, warc
+from . import ann_tree, bpe_chunks, dac, exact_dedup, hyperminhash, language_hd, license_scan, packing, url_boost, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,11 @@ def op7_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.matches(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op9_bloom_dedup",
     """
