@@ -44,3 +44,16 @@ def components(edges: DataFrame) -> DataFrame:
         edges = stored(moved.distinct(), "edges")
         if edges.isEmpty():
             return known.select("v", F.col("p").alias("component"))
+
+
+def joined(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` (v, component) after further edges (a, b); works on the components the edges connect."""
+    if edges.isEmpty():
+        return labels
+    one = labels.select(F.col("v").alias("a"), F.col("component").alias("ca"))
+    two = labels.select(F.col("v").alias("b"), F.col("component").alias("cb"))
+    between = edges.join(one, "a", "left").join(two, "b", "left").select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+    between = stored(between, "edges")
+    merged = components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(F.col("v").alias("_v"), F.col("component").alias("_c"))
+    new = between.select(F.explode(F.array("a", "b")).alias("v")).distinct().join(labels, "v", "left_anti").select("v", F.col("v").alias("component"))
+    return stored(labels.unionByName(new).join(merged, F.col("component") == F.col("_v"), "left").select("v", F.coalesce("_c", "component").alias("component")), "components")

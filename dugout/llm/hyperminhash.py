@@ -8,17 +8,20 @@ borrow equally.
 
 Bands of six registers name buckets of classes that may be close. With 48 bands a pair at
 the threshold of 0.8 is missed with a probability of 5e-7, a closer one far less often. A
-repeat filter keeps band keys that occur once out of every shuffle. Within a bucket, pairs
-with the smallest member are tested: first the Jaccard estimate of the sketches, less the
-share of registers that agree by chance, then the exact value on the shingle sets of the
-whole texts. Buckets whose members are then not all connected go on with further centres,
-eight times as many each round, until every pair of a bucket is connected or was tested;
-so a large group of near copies costs a few tests a member and still no link is lost.
+repeat filter keeps band keys that occur once out of every shuffle. The member of a bucket
+that meets most others in all its buckets is its centre, most often the text that was
+copied. First every member is tested with its centres: by the Jaccard estimate of the
+sketches, less the share of registers that agree by chance, then by the exact value on the
+shingle sets of the whole texts. That connects most groups. Where members of a centre are
+then still in several components, all pairs between components are compared exactly, in
+blocks of a bounded number of members, as products of 0/1 matrices; a block gives a
+spanning forest of its links, never its pairs. So no link of a bucket is lost, and a large
+group of near copies costs rows in proportion to its members.
 
 Defined cases: a null text or one without words has no shingles and is linked with nothing;
 with fewer words than a shingle has, the whole sequence is the one shingle; rows that
-repeat an id are judged one by one; a row with a null id takes part, and an id is given
-for its group if any member has one. Further columns are ignored by ``groups`` and kept by
+repeat an id are judged one by one; a row with a null id takes part: its group has the
+smallest id of its members, and in a group without any id all rows stay. Further columns are ignored by ``groups`` and kept by
 ``kept_rows``.
 """
 
@@ -31,12 +34,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
 from .common import mapped, rows_of, stored
-from .components import components
+from .components import components, joined
 
 ROWS, BANDS = 6, 48
 BUCKETS = ROWS * BANDS
@@ -44,8 +47,10 @@ BUCKETS = ROWS * BANDS
 MANTISSA = 10
 #: Slots of the filter over band keys; more keys only let more rows through to the exact count.
 BAND_SLOTS = 1 << 24
+#: Members of a block on its two sides, and columns of a matrix at a time.
+LEFT, RIGHT, COLUMNS = 1024, 512, 4096
 #: Standard deviations by which an estimate may fall short before a pair is given up.
-SLACK = 6.0
+SLACK = 5.0
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -122,7 +127,7 @@ def _sketched(words_each: int):
                     n.append(len(found))
                     keys.append(set_key(found) if len(found) else None)
                     regs.append(registers(found).astype("<u2").tobytes() if len(found) else None)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(regs, pa.binary())], ["doc_id", "n_shingles", "set_key", "regs"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(regs, pa.binary())], ["doc_id", "text_hash", "n_shingles", "set_key", "regs"])
 
     return sketch
 
@@ -192,6 +197,63 @@ def _confirmed(words_each: int, percent: int):
     return confirm
 
 
+def _forest(n: int, parent_of: np.ndarray, links: Iterator[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Those links that connect components not connected yet; ``parent_of`` numbers the components so far."""
+    parent = list(range(n))
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i, p in enumerate(parent_of.tolist()):
+        parent[top(i)] = top(p)
+    for a, b in links:
+        if (x := top(a)) != (y := top(b)):
+            parent[x] = y
+            yield a, b
+
+
+def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of two lists of sets, as products of their 0/1 matrices."""
+    at = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in [*left, *right]])
+    _, column, times = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    often = (times > 1)[column]  # what only one set has is in no intersection
+    place = np.cumsum(times > 1) - 1
+    at, column = at[often], place[column[often]]
+    order = np.argsort(column, kind="stable")
+    at, column = at[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        block = np.zeros((len(left) + len(right), COLUMNS), np.float32)
+        block[at[a:b], column[a:b] - low] = 1
+        out += block[: len(left)] @ block[len(left) :].T
+    return out.astype(np.int64)
+
+
+def _compared(words_each: int, percent: int):
+    def compare(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        rows = [*zip(*(left[c].to_pylist() for c in ("set_key", "component", "packed"))), *zip(*(right[c].to_pylist() for c in ("set_key", "component", "packed")))]
+        found: list[tuple[int, int]] = []
+        if left.num_rows and right.num_rows:
+            sets = [shingles(unpack(p).decode(), words_each) for _, _, p in rows]
+            n = left.num_rows
+            both = common(sets[:n], sets[n:])
+            size = np.array([len(x) for x in sets])
+            close = np.argwhere(100 * both >= percent * (size[:n, None] + size[None, n:] - both))
+            first: dict[bytes, int] = {}
+            part_of = np.array([first.setdefault(c, i) for i, (_, c, _) in enumerate(rows)])
+            found = list(_forest(len(rows), part_of, ((int(i), n + int(j)) for i, j in close)))
+        return pa.table({"a": pa.array([rows[i][0] for i, _ in found], pa.binary()), "b": pa.array([rows[j][0] for _, j in found], pa.binary())})
+
+    return compare
+
+
 class _Tester:
     """Tests pairs of classes: estimate, then exact value. Holds only what takes part."""
 
@@ -209,67 +271,86 @@ class _Tester:
         t = self.percent / 100
         least = t - SLACK * (t * (1 - t) / BUCKETS) ** 0.5
         close = stored(mapped(wide, _estimated, "a binary, b binary, estimate double").where(F.col("estimate") >= least), "near-close")
+        return self._exact(close)
+
+    def _exact(self, close: DataFrame) -> DataFrame:
         one = self.texts.select(F.col("set_key").alias("a"), F.col("packed").alias("pa"))
         two = self.texts.select(F.col("set_key").alias("b"), F.col("packed").alias("pb"))
         full = close.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "pa", "pb")
         return stored(mapped(full, _confirmed(self.words_each, self.percent), "a binary, b binary").distinct(), "near-links")
 
-
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept. Links have 100 * intersection >= percent * union.
-
-    ``percent`` below 80 needs more bands than this module's.
-    """
+    def blocks(self, members: DataFrame) -> DataFrame:
+        """Links that connect components of a group: its smaller components against all members, block by block."""
+        part = lambda salt, n: F.pmod(F.xxhash64("set_key", F.lit(salt)), F.col(n)).cast("int")
+        all_parts = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
+        cut = members.withColumns({"lefts": F.ceil(F.col("total") / LEFT), "rights": F.ceil(F.col("minor") / RIGHT)})
+        wide = cut.join(self.texts.dropDuplicates(["set_key"]), "set_key")
+        key, columns = ["centre", "i", "j"], ["centre", "i", "j", "set_key", "component", "packed"]
+        left = wide.withColumn("i", part(1, "lefts")).withColumn("j", all_parts("rights")).select(columns)
+        right = wide.where("component <> main").withColumn("j", part(2, "rights")).withColumn("i", all_parts("lefts")).select(columns).toDF(*columns)
+        found = left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(_compared(self.words_each, self.percent), "a binary, b binary")
+        return stored(found.distinct(), "near-links")
+
+
+def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of groups (centre, set_key) that hold several components, with what is needed to cut a group into blocks."""
+    known = stored(members.join(labels, members["set_key"] == labels["v"], "left").select("centre", "set_key", F.coalesce("component", "set_key").alias("component")), "near-known")
+    share = known.groupBy("centre", "component").agg(F.count(F.lit(1)).alias("members"))
+    whole = share.groupBy("centre").agg(F.max(F.struct("members", "component")).alias("m"), F.sum("members").alias("total"), F.count(F.lit(1)).alias("parts"))
+    whole = stored(whole.where("parts > 1").select("centre", F.col("m.component").alias("main"), "total", (F.col("total") - F.col("m.members")).alias("minor")), "near-unsettled")
+    return known.join(whole, "centre")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words_each: int, percent: int) -> DataFrame:
+    """Rows of ``groups`` with a hash of the text, which tells rows of one id apart."""
     if percent < 80:
         raise ValueError("the bands are laid out for 80 per cent and more")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    base = stored(mapped(docs, _sketched(words_each), "doc_id long, n_shingles long, set_key binary, regs binary"), "near-sets")
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    base = stored(mapped(hashed, _sketched(words_each), "doc_id long, text_hash long, n_shingles long, set_key binary, regs binary"), "near-sets")
     classes = stored(
-        base.where("set_key is not null").groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "regs")).alias("m")).select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.regs").alias("regs")),
+        base.where("set_key is not null").groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n_shingles", "regs")).alias("m")).select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.n_shingles").alias("n"), F.col("m.regs").alias("regs")),
         "near-classes",
     )
     bands = mapped(classes.select("set_key", "regs"), _banded, "band long, set_key binary")
     # The sketches come from the registers column alone.
     sent = bloom.build(bands.select("band"), BAND_SLOTS, repeats=True)
     maybe = stored(bands.where(bloom.reported(F.col("band"), sent)), "near-bands")
-    firsts = stored(maybe.groupBy("band").agg(F.min("set_key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "first"), "near-firsts")
-    buckets = stored(maybe.join(firsts, "band"), "near-buckets")
+    sizes = stored(maybe.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-sizes")
+    held = stored(maybe.join(sizes, "band"), "near-held")
+    # Who meets many others in its buckets is close to many: a copied text rather than one of its copies.
+    ranks = stored(held.groupBy("set_key").agg(F.sum("size").alias("rank")), "near-ranks")
+    buckets = stored(held.select("band", "set_key").join(ranks, "set_key"), "near-buckets")
+    firsts = stored(buckets.groupBy("band").agg(F.max(F.struct("rank", "set_key")).alias("m")).select("band", F.col("m.set_key").alias("first")), "near-firsts")
 
     in_use = bloom.build(buckets.select(F.xxhash64("set_key").alias("k")), bloom.slots_for(buckets.count()), repeats=False)
     involved = stored(classes.where(bloom.reported(F.xxhash64("set_key"), in_use)), "near-involved")
     tester = _Tester(docs, involved, words_each, percent)
 
-    pairs = stored(buckets.where("set_key <> first").select(F.col("first").alias("a"), F.col("set_key").alias("b")).distinct(), "near-pairs")
-    tested = links = None
-    left, centres = buckets.where("set_key <> first").select("band", "set_key"), 1
-    while True:
-        found = tester.links(pairs)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        # Members that a centre has not met yet, in buckets that are not connected throughout.
-        known = stored(left.join(labels, left["set_key"] == labels["v"], "left").select("band", "set_key", F.coalesce("component", "set_key").alias("component")), "near-left")
-        open_bands = stored(known.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band"), "near-open")
-        if open_bands.isEmpty():
-            break
-        known = stored(known.join(open_bands, "band"), "near-left")
-        centres *= 8
-        ranked = known.withColumn("r", F.expr("row_number() over (partition by band order by set_key)")).where(F.col("r") <= centres)
-        chosen = stored(ranked.select("band", F.col("set_key").alias("c"), F.col("component").alias("cc")), "near-centres")
-        met = known.join(chosen, "band").where("component <> cc").select(F.least("set_key", "c").alias("a"), F.greatest("set_key", "c").alias("b")).distinct()
-        pairs = stored(met.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        left = stored(known.join(chosen, (known["band"] == chosen["band"]) & (known["set_key"] == chosen["c"]), "left_anti").select("band", "set_key"), "near-left")
+    # All that meet under one centre, whatever the band, are one group.
+    members = stored(buckets.join(firsts, "band").where("set_key <> first").select(F.col("first").alias("centre"), "set_key").distinct(), "near-members")
+    labels = components(tester.links(members.select(F.col("centre").alias("a"), F.col("set_key").alias("b"))))
+    labels = joined(labels, tester.blocks(_unsettled(members, labels)))
 
     named = classes.select("set_key", "rep").join(labels, classes["set_key"] == labels["v"], "left").select("set_key", "rep", F.coalesce("component", "set_key").alias("component"))
     smallest = labels.join(classes.select("set_key", "rep"), labels["v"] == classes["set_key"]).groupBy(F.col("component").alias("top")).agg(F.min("rep").alias("least"))
     linked = stored(named.join(stored(smallest, "near-smallest"), F.col("component") == F.col("top"), "left").select(F.col("set_key").alias("class_key"), F.coalesce("least", "rep").alias("component_id")), "near-named")
     own = F.col("component_id").eqNullSafe(F.col("doc_id"))
-    in_classes = base.where("set_key is not null").select("doc_id", "n_shingles", "set_key").join(linked, F.col("set_key") == F.col("class_key")).select("doc_id", "n_shingles", "component_id", own.alias("kept"))
-    bare = base.where("set_key is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    in_classes = base.where("set_key is not null").select("doc_id", "text_hash", "n_shingles", "set_key").join(linked, F.col("set_key") == F.col("class_key")).select("doc_id", "text_hash", "n_shingles", "component_id", own.alias("kept"))
+    bare = base.where("set_key is null").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
     return in_classes.unionByName(bare)
 
 
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = 5, percent: int = 80) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept. Links have 100 * intersection >= percent * union.
+
+    ``percent`` below 80 needs more bands than this module's.
+    """
+    return _grouped(docs, id_col, text_col, words_each, percent).drop("text_hash")
+
+
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_each: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, with all its columns."""
-    found = groups(docs, id_col, text_col, words_each, percent)
-    return bloom.without(docs, id_col, found.where("not kept").select("doc_id"))
+    found = stored(_grouped(docs, id_col, text_col, words_each, percent), "near-decisions")
+    key = [F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))]
+    return bloom.without(docs, key, found.where("not kept").select("doc_id", "text_hash").distinct())
\ No newline at end of file
