@@ -8,7 +8,9 @@ reported rows exactly.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped
+from .common import fresh, mapped
 
 #: Slots of one row of the merge: 4 KiB of bits.
 BLOCK = 1 << 15
@@ -104,16 +106,17 @@ def reported(key: Column, sent) -> Column:
     return test(key)
 
 
-def without(rows: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
-    """``rows`` whose bigint ``key`` is not in the one column of ``dropped``; all columns stay.
+def without(rows: DataFrame, key: list[Column], dropped: DataFrame) -> DataFrame:
+    """``rows`` whose key is not among those of ``dropped``, which has one column for each part; all columns stay.
 
-    Rows the filter does not report pass straight through; only the others are shuffled
-    for the exact anti-join. A null key always stays.
+    Keys are compared null-safely. Rows the filter does not report pass straight through;
+    only the others are shuffled for the exact anti-join.
     """
-    own = "_dropped_key"
-    dropped = dropped.select(F.col(dropped.columns[0]).alias(own)).where(F.col(own).isNotNull())
-    sent = build(dropped.select(F.xxhash64(own).alias("k")), slots_for(dropped.count()), repeats=False)
-    mark = "_reported"
-    marked = rows.withColumn(mark, reported(F.xxhash64(F.col(key).cast("long")), sent))
-    rest = marked.where(F.col(mark)).join(dropped, F.col(key) == F.col(own), "left_anti")
+    own = [fresh(rows, f"dropped_{i}") for i in range(len(key))]
+    dropped = dropped.toDF(*own)
+    sent = build(dropped.select(F.xxhash64(*own).alias("k")), slots_for(dropped.count()), repeats=False)
+    mark = fresh(rows, "reported")
+    marked = rows.withColumn(mark, reported(F.xxhash64(*key), sent))
+    same = [k.eqNullSafe(F.col(o)) for k, o in zip(key, own)]
+    rest = marked.where(F.col(mark)).join(dropped, functools.reduce(operator.and_, same), "left_anti")
     return marked.where(~F.col(mark)).unionByName(rest).drop(mark)

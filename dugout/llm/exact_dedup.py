@@ -8,8 +8,8 @@ no obstacle.
 
 Defined cases: a null text is empty; texts are equal when identical after each run of
 ASCII white space became one space; rows that repeat both id and text share one decision;
-a null id is larger than any other and stays only where its whole group has none. Further
-columns are ignored by ``decisions`` and kept by ``kept_rows``.
+a null id is larger than any other and stays only where its whole group has none (of such
+rows ``kept_rows`` keeps one). Further columns are ignored by ``decisions`` and kept by ``kept_rows``.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import squeezed, stored
+from .common import fresh, squeezed, stored
 
 
 def text_sha256(text: Column) -> Column:
@@ -46,6 +46,14 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
 
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
-    found = decisions(docs, id_col, text_col)
-    return bloom.without(docs, id_col, found.where("not kept").select("doc_id"))
+    """The rows that stay, with all their columns; of rows that repeat id and text, one."""
+    found = stored(decisions(docs, id_col, text_col), "exact-decisions")
+    ids = F.col(id_col).cast("long")
+    rows = bloom.without(docs, [ids, text_sha256(F.col(text_col))], found.where("not kept").select("doc_id", "text_sha256").distinct())
+    twice, sha = fresh(docs, "repeated"), fresh(docs, "sha")
+    repeated = found.where("kept and group_size > 1").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(twice))
+    if repeated.isEmpty():
+        return rows
+    same = ids.eqNullSafe(F.col(twice))
+    again = rows.join(repeated, same, "left_semi").withColumn(sha, text_sha256(F.col(text_col)))
+    return rows.join(repeated, same, "left_anti").unionByName(again.dropDuplicates([id_col, sha]).drop(sha))

@@ -1,0 +1,329 @@
+"""Language profiles, URL filter, tree search, license scan, WARC archives and the pipeline."""
+
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from dugout.llm import ann_tree, language_hd, license_scan, url_boost, warc
+from dugout.llm.files import opened
+
+
+# Language
+
+
+def test_language_held_out_accuracy(given, spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = language_hd.predictions(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
+    hits, n = found.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count(F.lit(1))).first()
+    assert n > 100 and hits / n > 0.97
+
+
+def test_language_odd(odd_docs, odd_rows):
+    got = {(r["doc_id"], r["lang_pred"], r["held_out"]): r["score"] for r in language_hd.predictions(odd_docs).collect()}
+    assert all(0 <= s <= 1 for s in got.values())
+    for i, text, _ in odd_rows:
+        bare = not any(c.isalpha() for c in text or "")
+        fold = zlib.crc32(str(i).encode()) % 4 == 2 if i is not None else False
+        mine = [(lang, s) for (d, lang, held), s in got.items() if d == i and held == fold]
+        assert mine and (not bare or ("und", 0.0) in mine)
+
+
+def test_language_bundles_like_the_definition():
+    """Row by row over the letters, without counts or slices."""
+    letters = language_hd._letters().astype(np.int64)
+    code = lambda c: int(language_hd._codes()[ord(c)])
+    for text in ("Abc, de!", "ñandú straße", "x"):
+        padded = [0, *map(code, text.lower()), 0]
+        want = sum((np.roll(letters[a], 2) * np.roll(letters[b], 1) * letters[c] for a, b, c in zip(padded, padded[1:], padded[2:]) if b), np.zeros(language_hd.DIMENSIONS, np.int64))
+        assert (language_hd.Bundler().bundle(["zz", text])[1] == want).all()
+
+
+def test_language_slices_do_not_show(monkeypatch):
+    text = "Über allen Gipfeln ist Ruh, in allen Wipfeln spürest du kaum einen Hauch."
+    whole = language_hd.Bundler().bundle([text])
+    monkeypatch.setattr(language_hd, "SLICE", 7)
+    assert (language_hd.Bundler().bundle([text]) == whole).all()
+
+
+def test_language_empty_and_nothing_to_learn(no_docs, odd_docs):
+    assert language_hd.predictions(no_docs).collect() == []
+    none = odd_docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["lang_pred"] for r in language_hd.predictions(none).collect()} == {"und"}
+    assert language_hd.kept_rows(odd_docs).columns == odd_docs.columns
+    assert {r["doc_id"] for r in language_hd.kept_rows(odd_docs).collect()} == {0, 4, 5, 6, 7, 8, 9, 10, 12, None}
+
+
+# URL filter
+
+
+def url_brute(url):
+    if url is None or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    host = rest
+    for c in "/?#":
+        host = host.split(c, 1)[0]
+    path = rest[len(host) :]
+    for c in "?#":
+        path = path.split(c, 1)[0]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [r for r, _ in url_boost.RULES if (host == r.split("/", 1)[0] or host.endswith("." + r.split("/", 1)[0])) and path.startswith("/" + r.split("/", 1)[1])]
+    return host, path, max(fits, key=len, default=None)
+
+
+ODD_URLS = [
+    None, "", "no scheme", "http://", "http://net", "http://net/", "http://a.NET/x?y#z", "http://example.net/en/1", "http://example.net/en", "ftp://x.example.net/EN/", "http://anet/",
+    "https://Example.COM/de/a//b", "https://example.com/de/", "https://example.com/fr/1?p=1&q=2", "http://www.a.org/fr/x", "http://org/fr/", "http://a.org?/fr/", "http://ünï.org/en/é", "a://b://c/d",
+    "http://x.com/" + "9" * 20_000, "http://x.com/a", "http://x.com/a", "http://line\nbreak.net/a\nb",
+]
+
+
+def test_urls_odd(make):
+    rows = [(i if i % 5 else None, u) for i, u in enumerate(ODD_URLS, 1)]
+    got = url_boost.judged(make(rows, "page_id long, url string").withColumn("host", F.lit("clash")).withColumn("features", F.lit(1)), trees=3)
+    assert got.columns[:5] == ["page_id", "host", "path", "rule", "verdict"]
+    want = sorted(((i, *url_brute(u)) for i, u in rows), key=str)
+    out = got.collect()
+    assert sorted(((r["page_id"], r["host"], r["path"], r["rule"]) for r in out), key=str) == want
+    verdicts = dict(url_boost.RULES)
+    assert all(r["verdict"] == verdicts[r["rule"]] if r["rule"] else r["verdict"] in ("allow", "block") for r in out)
+
+
+def test_urls_one_verdict_none_and_empty(make):
+    schema = "page_id long, url string"
+    judged = lambda rows: {(r["page_id"], r["verdict"]) for r in url_boost.judged(make(rows, schema)).collect()}
+    assert judged([(1, "http://a.net/"), (2, "http://b.com/")]) == {(1, "block"), (2, "block")}
+    assert judged([(2, "http://b.com/")]) == {(2, "allow")}
+    assert judged([]) == set()
+
+
+def test_urls_learn_from_features(make):
+    """Labels that the suffix does not tell: many digits are blocked. Half of the pages are not settled."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(800):
+        bad, known = rng.random() < 0.5, i % 2 == 0
+        tail = "".join(rng.choice("0123456789" if bad else "abcdefgh") for _ in range(12))
+        rows.append((i, f"http://{'settled.' if known else ''}{'bad' if bad and known else 'any'}.com/{tail}", bad))
+    rules = (("bad.com/", "block"), ("settled.any.com/", "allow"))
+    got = url_boost.judged(make([r[:2] for r in rows], "page_id long, url string"), rules).collect()
+    free = [r for r in got if r["rule"] is None]
+    assert len(free) == 400
+    assert np.mean([(r["verdict"] == "block") == rows[r["page_id"]][2] for r in free]) > 0.95
+
+
+def test_urls_plan_is_native(given):
+    plan = url_boost.judged(given("pages"), trees=2)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+# Nearest neighbours
+
+
+def ann_brute(rows, is_query, k=5):
+    good = [(i, np.array(v, float)) for i, v in rows if i is not None and v is not None and len(v) == 4 and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = []
+    for i, v in good:
+        if is_query(i):
+            scored = sorted((-float(ann_tree.cosine(v, w[None])[0]), j) for j, w in {(j, tuple(w)): (j, w) for j, w in good if j != i}.values() for w in [w])[:k]
+            out += [(i, r, j, -s) for r, (s, j) in enumerate(scored, 1)]
+    return sorted(set(out))
+
+
+def test_neighbours_odd(make):
+    rng = np.random.default_rng(10)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=4)]) for i in range(300)]
+    rows += [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(300, 420)]
+    rows += [(500, None), (501, [0.0] * 4), (502, [1.0, None, 1.0, 1.0]), (503, [float("nan"), 1.0, 1.0, 1.0]), (504, [float("inf"), 1.0, 1.0, 1.0]), (505, [1.0]), (None, [1.0, 1.0, 1.0, 1.0]), (7, rows[7][1]), (550, [])]
+    docs = make(rows, "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in ann_tree.neighbours(docs, F.col("vec_id") % 50 == 0, recall=1.0).collect())
+    want = ann_brute(rows, lambda i: i % 50 == 0)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert np.allclose([g[3] for g in got], [w[3] for w in want], rtol=0, atol=1e-12)
+
+
+def test_neighbours_recall(given):
+    docs = given("embeddings")
+    rows = [tuple(r) for r in docs.select("vec_id", "embedding").collect()]
+    ids, vectors = np.array([r[0] for r in rows]), ann_tree.unit(np.array([r[1] for r in rows], float))
+    got = ann_tree.neighbours(docs, F.col("vec_id") % 5 == 0, leaf_rows=25).collect()
+    hits = 0
+    for q in np.flatnonzero(ids % 5 == 0):
+        s = vectors @ vectors[q]
+        s[q] = -2
+        hits += len({ids[i] for i in np.argsort(-s)[:5]} & {r["vec_id"] for r in got if r["query_id"] == ids[q]})
+    assert len(got) == 5 * (ids % 5 == 0).sum() and hits / len(got) >= 0.9
+
+
+def test_neighbours_few_and_none(make):
+    schema = "vec_id long, embedding array<float>"
+    assert ann_tree.neighbours(make([], schema)).collect() == []
+    assert ann_tree.neighbours(make([(0, [1.0, 0.0])], schema)).collect() == []
+    assert [tuple(r) for r in ann_tree.neighbours(make([(0, [1.0, 0.0]), (3, [2.0, 0.0])], schema), F.col("vec_id") == 0).collect()] == [(0, 1, 3, 1.0)]
+
+
+def test_best_bin_first_opens_every_leaf_once():
+    rng = np.random.default_rng(11)
+    rows = ann_tree.unit(rng.normal(size=(600, 8)))
+    tree = ann_tree.Tree.fit(rows, 20)
+    leaves = {i for i, c in enumerate(tree.children) if not c}
+    order = list(tree.best_first(rows[0]))
+    assert len(order) == len(leaves) > 20 and set(order) == leaves and set(tree.leaves(rows)) <= leaves
+
+
+# Licenses
+
+
+def test_licenses_planted(make):
+    rng = random.Random(12)
+    noise = lambda n: " ".join(rng.choice(["the", "of", "lorem", "software", "copy", "ipsum", "license", "x1"]) for _ in range(n))
+    mit = license_scan.TEMPLATES["MIT"]
+    edited = mit.replace("Software", "Program").replace("copy,", "copy, duplicate,")
+    long = noise(300) + " . " + mit + " " + edited + " " + noise(200)
+    rows = [(1, long), (2, None), (3, ""), (4, "RELEASED under\n\nthe MIT\tlicense!"), (5, noise(400)), (6, "!!!"), (None, "Licensed under CC BY-NC 4.0."), (4, "Released under the MIT License.")]
+    got = license_scan.matches(make(rows, "doc_id long, text string")).collect()
+    seen = sorted(((r["doc_id"], r["license"]) for r in got), key=str)
+    assert seen == sorted([(1, "MIT"), (1, "MIT"), (4, "MIT (named)"), (4, "MIT (named)"), (None, "CC-BY-NC-4.0 (named)")], key=str)
+    first, second = sorted((r for r in got if r["doc_id"] == 1), key=lambda r: r["start"])
+    assert first["coverage"] == 1.0 and long[first["start"] : first["stop"]] == mit[:-1]
+    assert 0.9 < second["coverage"] < 1 and second["start"] >= first["stop"]
+    assert license_scan.matches(make([], "doc_id long, text string")).collect() == []
+
+
+def test_licenses_given_lines(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    lines = {n: " ".join(t.split()) for n, t in license_scan.TEMPLATES.items() if "(named)" in n}
+    got = license_scan.matches(docs, {n: lines[n] for n in lines}, least=1.0).groupBy("doc_id", "license").count().collect()
+    want = {}
+    for i, text in docs.collect():
+        for n, line in lines.items():
+            if c := (text or "").count(line):
+                want[i, n] = c
+    assert {(r[0], r[1]): r[2] for r in got} == want
+
+
+def test_alignment_rises_and_is_near_the_longest():
+    rng = random.Random(13)
+    for _ in range(60):
+        a = [f"w{rng.randrange(40)}" for _ in range(50)]
+        b = [w for w in a if rng.random() > 0.1]
+        for _ in range(4):
+            b.insert(rng.randrange(len(b)), f"n{rng.randrange(9)}")
+        got = license_scan.align(a, b)
+        assert all(a[i] == b[j] for i, j in got)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:]))
+        rows = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                rows[i + 1, j + 1] = rows[i, j] + 1 if x == y else max(rows[i, j + 1], rows[i + 1, j])
+        assert len(got) <= rows[-1, -1]
+    assert license_scan.rising([(0, 5), (1, 1), (2, 2), (3, 9), (4, 3)]) == [(1, 1), (2, 2), (4, 3)]
+
+
+# WARC
+
+
+def warc_brute(rows):
+    most = {}
+    for i, _, h in rows:
+        k = (h or "").encode()
+        most[k] = max(most.get(k, -1), -1 if i is None else i)
+    out = []
+    for i, _, h in rows:
+        k = (h or "").encode()
+        keep = most[k] in (-1, i)
+        out.append((i, len(k), base64.b32encode(hashlib.sha1(k).digest()).decode(), "response" if keep else "revisit", None if keep else most[k]))
+    return sorted(out, key=str)
+
+
+def odd_pages():
+    rng = random.Random(14)
+    bodies = [None, "", "a", "b" * 70_000, "é" * 40_000 + "\r\n\r\n", "WARC/1.1\r\n\r\n", "x" * warc.CHUNK, "y" * (warc.CHUNK + 1)]
+    rows = [(i if i % 13 else None, rng.choice([None, "http://a/\r\nx", "http://é.org"]), rng.choice([*bodies, str(i), str(i)])) for i in range(200)]
+    return [*rows, (5, "u", "twice"), (5, "u", "twice"), (9, "u", "other payload")]
+
+
+def test_warc_odd(make):
+    rows = odd_pages()
+    assert sorted((tuple(r) for r in warc.round_trip(make(rows, "page_id long, url string, html string")).collect()), key=str) == warc_brute(rows)
+
+
+def test_warc_given_and_empty(given, make):
+    pages = given("pages")
+    assert sorted((tuple(r) for r in warc.round_trip(pages).collect()), key=str) == warc_brute([tuple(r) for r in pages.select("page_id", "url", "html").collect()])
+    assert warc.round_trip(make([], "page_id long, url string, html string")).collect() == []
+
+
+def test_warc_files_and_chunk_table(make):
+    rows = [(1, "http://a/", "é" * 50_000), (2, "http://b/", "short"), (3, "http://c/", "short")]
+    root, chunks = warc.write(make(rows, "page_id long, url string, html string").coalesce(1), file_bytes=100)
+    table = sorted(tuple(r) for r in chunks.select("page_id", "chunk_no", "payload_at", "size").collect())
+    assert table == [(1, 0, 0, 65_536), (1, 1, 65_536, 34_464), (2, 0, 0, 0), (3, 0, 0, 5)]
+    first = chunks.where("page_id = 1 and chunk_no = 0").first()
+    assert first["prefix_sha1"] == hashlib.sha1(("é" * 50_000).encode()[:65_536]).digest()
+    files, folder = opened(root)
+    with files.open_input_file(f"{folder}/{first['file']}") as source:
+        source.seek(first["record_at"])
+        record = gzip.decompress(source.read())
+    head, http, body = record.split(b"\r\n\r\n", 2)
+    assert head.startswith(b"WARC/1.1\r\nWARC-Type: response") and b"WARC-Target-URI: http://a/" in head
+    assert http.startswith(b"HTTP/1.1 200") and body == ("é" * 50_000).encode() + b"\r\n\r\n"
+    assert len({r["file"] for r in chunks.collect()}) == 3
+
+
+# Pipeline
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+    from test_dedup import exact_brute, near_brute
+    from test_tokens import check_pieces
+
+    from dugout.llm.common import stored
+    from dugout.llm.tokens import default_tokenizer
+    from tokenizers import Tokenizer
+
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "exact", "near", "pack"]
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    want = [r for r in rows if any(c.isalpha() for c in r[1] or "")]
+    kept = [{d for d, _ in want}]
+    want = [r for r in want if r[0] in {d for d, *_, stays, _ in exact_brute(want) if stays}]
+    kept.append({d for d, _ in want})
+    want = [r for r in want if r[0] in {d for d, _, _, stays in near_brute(want, 5) if stays}]
+    kept.append({d for d, _ in want})
+    at = docs
+    for (name, stage), ids in zip(corpus_pipeline.STAGES, kept):
+        at = stored(stage(spark, at, sf_dir), f"test-{name}")
+        assert at.columns == docs.columns and {r["doc_id"] for r in at.select("doc_id").collect()} == ids
+    library = Tokenizer.from_file(default_tokenizer())
+    check_pieces(corpus_pipeline.run(spark, sf_dir).collect(), want, lambda t: library.encode(t or "", add_special_tokens=False).ids)
+
+
+def test_registered():
+    import __spark_entry__ as entry
+
+    names = entry.queries()
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+
+
+@pytest.mark.parametrize("name", ["op9_bloom_dedup"])
+def test_sql(spark, name):
+    from dugout.llm import queries
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
+    got = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    cur = con.execute(queries.ORACLES[name])
+    columns = [d[0] for d in cur.description]
+    assert sorted(tuple(r) for r in got.select(columns).collect()) == sorted(cur.fetchall())
