@@ -263,7 +263,7 @@ def q_date_ranges(spark, sf):
 def q_asof(spark, sf):
     e = table(spark, sf, "events").select("event_id", "ts", "user_id")
     p = table(spark, sf, "events").where("event_type = 'purchase'").select("user_id", F.col("ts").alias("bought"), F.col("event_id").alias("pid"), "value")
-    out = J.asof_join(e, p, ["user_id"], "ts", "bought", {"purchase_id": "pid", "purchase_value": "value"}, ["event_id"], strict=True, chunk=F.to_date("_time"), limit=20)
+    out = J.asof_join(e, p, ["user_id"], "ts", "bought", {"purchase_id": "pid", "purchase_value": "value"}, ["event_id"], strict=True, chunk=F.to_date("_time"))
     return out.select("event_id", "purchase_id", "purchase_value")
 
 
@@ -275,7 +275,7 @@ def q_asof_window(spark, sf):
     e = table(spark, sf, "events").select("event_id", "ts", "user_id")
     p = table(spark, sf, "events").where("event_type = 'error'").select("user_id", F.col("ts").alias("err_ts"))
     since = F.col("ts") - F.expr("INTERVAL 3 DAYS")
-    out = J.asof_join(e, p, ["user_id"], "ts", "err_ts", {"last_error": "err_ts"}, ["event_id"], not_before=since, chunk=F.to_date("_time"), limit=20)
+    out = J.asof_join(e, p, ["user_id"], "ts", "err_ts", {"last_error": "err_ts"}, ["event_id"], not_before=since, chunk=F.to_date("_time"))
     return out.select("event_id", "last_error")
 
 
@@ -352,7 +352,7 @@ def q_conditional_agg(spark, sf):
 
 @query("agg_exact_quantile", "select l_returnflag, round(quantile_cont(l_extendedprice, 0.9) + 1e-9, 4) as p90 from lineitem group by 1")
 def q_quantile(spark, sf):
-    return rounded(W.exact_quantile(table(spark, sf, "lineitem"), "l_extendedprice", 0.9, ["l_returnflag"], "p90", limit=1000))
+    return rounded(W.exact_quantile(table(spark, sf, "lineitem"), "l_extendedprice", 0.9, ["l_returnflag"], "p90"))
 
 
 @query("agg_global_median", "select round(median(o_totalprice) + 1e-9, 4) as median_price from orders")
@@ -419,7 +419,7 @@ def q_running(spark, sf):
         "filled_to_date": ("customer", "sum", S.flag(F.col("o_orderstatus") == "F")),
         "highest_to_date": ("customer", "max", F.col("o_totalprice")),
     }
-    out = W.running(o, {"customer": ["o_custkey"]}, ["o_orderdate", "o_orderkey"], measures, chunk=F.trunc("o_orderdate", "YEAR"), limit=8)
+    out = W.running(o, {"customer": ["o_custkey"]}, ["o_orderdate", "o_orderkey"], measures, chunk=F.trunc("o_orderdate", "YEAR"))
     return rounded(out.select("o_orderkey", *measures))
 
 
@@ -430,7 +430,7 @@ def q_running(spark, sf):
 def q_running_global(spark, sf):
     """A running total without any key: only the chunks spread it."""
     e = table(spark, sf, "events").select("event_id", "ts", "value")
-    out = W.running_sum(e, [], ["ts", "event_id"], {"position": F.lit(1).cast("long"), "total": "value"}, chunk=F.to_date("ts"), limit=1000)
+    out = W.running_sum(e, [], ["ts", "event_id"], {"position": F.lit(1).cast("long"), "total": "value"}, chunk=F.to_date("ts"))
     return rounded(out.select("event_id", "position", "total"))
 
 
@@ -440,7 +440,7 @@ def q_running_global(spark, sf):
 )
 def q_sessions(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
-    out = W.session_counter(e, ["user_id"], ["ts", "event_id"], F.col("event_type") == "signup", "session_id", chunk=F.to_date("ts"), limit=20)
+    out = W.session_counter(e, ["user_id"], ["ts", "event_id"], F.col("event_type") == "signup", "session_id", chunk=F.to_date("ts"))
     return out.select("event_id", "session_id")
 
 
@@ -451,8 +451,8 @@ def q_sessions(spark, sf):
 def q_changes(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
     day = F.to_date("ts")
-    back = W.neighbor(e, ["user_id"], ["ts", "event_id"], {"previous_type": "event_type"}, chunk=day, limit=20)
-    return W.neighbor(back, ["user_id"], ["ts", "event_id"], {"next_ts": "ts"}, lead=True, chunk=day, limit=20).select("event_id", "previous_type", "next_ts")
+    back = W.neighbor(e, ["user_id"], ["ts", "event_id"], {"previous_type": "event_type"}, chunk=day)
+    return W.neighbor(back, ["user_id"], ["ts", "event_id"], {"next_ts": "ts"}, lead=True, chunk=day).select("event_id", "previous_type", "next_ts")
 
 
 @query(
@@ -641,6 +641,41 @@ def q_touched(spark, sf):
     return rounded(T.merge_upsert(totals(old), refreshed, ["o_custkey"]).drop("load_id"))
 
 
+_LOWERED = f"case when o_orderdate < timestamp '{_CUT}' and o_orderpriority = '1-URGENT' then o_totalprice / 8 else o_totalprice end"
+
+
+@query(
+    "incremental_replaced_groups",
+    f"select o_custkey, o_orderpriority, count(*) as orders, round(sum({_LOWERED}) + 1e-9, 4) as spent from orders group by 1, 2 having sum({_LOWERED}) > 150000",
+)
+def q_replaced_groups(spark, sf):
+    """Groups rebuilt in place: rows that no longer reach the mark after the second load go, as in a full rebuild."""
+    old, new = _old_and_new(spark, sf)
+    older = F.col("o_orderdate") < F.lit(_CUT).cast("timestamp_ntz")
+    again = new.withColumn("o_totalprice", F.when(older, (F.col("o_totalprice") - 1) / 8).otherwise(F.col("o_totalprice")))
+
+    def totals(df):
+        sums = df.groupBy("o_custkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("spent"))
+        return sums.where("spent > 150000")
+
+    merged = T.merge_upsert(old, again, ["o_orderkey"], [F.desc("load_id")])
+    touched = again.select("o_custkey").distinct()
+    rebuilt = totals(I.in_groups(merged, touched, ["o_custkey"]))
+    return rounded(I.replace_groups(totals(old), touched, rebuilt, {"o_custkey": F.col("o_custkey")}))
+
+
+@query(
+    "incremental_moved_keys",
+    f"select o_orderkey, cast(case when o_orderdate < timestamp '{_CUT}' and o_orderpriority = '1-URGENT' then 2001 else year(o_orderdate) end as int) as part from orders",
+)
+def q_moved_keys(spark, sf):
+    """A key that an update moves to another partition is there once."""
+    old, new = _old_and_new(spark, sf)
+    part = F.year("o_orderdate").cast("int")
+    moved = new.withColumn("part", F.when(F.col("o_orderdate") < F.lit(_CUT).cast("timestamp_ntz"), 2001).otherwise(part))
+    return T.merge_upsert(old.withColumn("part", part), moved, ["o_orderkey"], [F.desc("load_id")]).select("o_orderkey", "part")
+
+
 @query("incremental_drop_orphans", "select l_orderkey, count(*) as n from lineitem where l_orderkey in (select o_orderkey from orders where o_orderstatus <> 'P') group by 1")
 def q_orphans(spark, sf):
     parent = table(spark, sf, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("l_orderkey"))

@@ -476,7 +476,7 @@ def q_audit_summary(spark, sf):
 
 @query("audit_run_with_samples")
 def q_audit_samples(spark, sf):
-    """All runnable audits of the pitch models in one result, samples included."""
+    """All runnable audits of the pitch models in one result, ordered samples included."""
     p = fr.pitches(spark, sf)
     m = {"fact_at_bats": facts.fact_at_bats(p), "fact_batted_balls": facts.fact_batted_balls(p)}
     return U.run_audits(m)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ColumnLike, as_col
-from .windows import HOT_ROWS, running
+from .windows import running
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, ColumnLike], take: dict[str, str], where: Column | None = None) -> DataFrame:
@@ -38,15 +38,13 @@ def conditional_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], a
     return left.join(renamed, cond, "left").withColumn("_matched", F.col(f"_r_{keys[0]}").isNotNull()).drop(*[f"_r_{k}" for k in keys])
 
 
-def date_in_range(df: DataFrame, date_col: str, ranges: DataFrame, start: str, end: str, take: Sequence[str], max_days: int = 4000) -> DataFrame:
-    """Left join of dates to date ranges: ranges become days, then an equi-join.
-
-    ``max_days`` guards against a range that would blow up; longer ones raise.
-    """
-    days = F.datediff(F.col(end), F.col(start))
-    ok = F.when(days > max_days, F.raise_error(F.lit("date range is too long"))).otherwise(days) >= 0
-    spread = ranges.where(ok).select(F.explode(F.sequence(F.col(start), F.col(end))).alias("_day"), *take)
-    return df.join(spread, df[date_col] == F.col("_day"), "left").drop("_day")
+def date_in_range(df: DataFrame, date_col: str, ranges: DataFrame, start: str, end: str, take: Sequence[str]) -> DataFrame:
+    """Left join of dates to date ranges: an equi-join on the months a range touches, then the exact test."""
+    month = lambda d: F.year(d) * 12 + F.month(d)
+    spread = ranges.where(F.col(end) >= F.col(start)).select(F.col(start).alias("_from"), F.col(end).alias("_to"), *take)
+    spread = spread.withColumn("_month", F.explode(F.sequence(month("_from"), month("_to"))))
+    inside = (month(df[date_col]) == F.col("_month")) & df[date_col].between(F.col("_from"), F.col("_to"))
+    return df.join(spread, inside, "left").drop("_month", "_from", "_to")
 
 
 def asof_join(
@@ -60,21 +58,20 @@ def asof_join(
     strict: bool = False,
     not_before: Column | None = None,
     chunk: Column | None = None,
-    limit: int = HOT_ROWS,
 ) -> DataFrame:
     """Latest right row of the key at (or, ``strict``, before) the left time; NULLs when none.
 
     Both sides go into one stream ordered by time; the running maximum of
     (right time, values) is the as-of row. No pairs are formed. ``left_id`` makes the
     order unique; ``not_before`` drops matches older than an expression over the left
-    row; ``chunk`` is an expression over ``_time`` that cuts hot keys.
+    row; ``chunk`` is an expression over ``_time`` that cuts each key's rows.
     """
     keys = list(keys)
     payload = F.struct(F.col(right_time).alias("_rt"), *[F.col(c).alias(o) for o, c in take.items()])
     r = right.where(F.col(right_time).isNotNull()).select(*keys, F.col(right_time).alias("_time"), F.lit(1 if strict else 0).alias("_side"), payload.alias("_pay"))
     lft = left.withColumns({"_time": F.col(left_time), "_side": F.lit(0 if strict else 1)})
     both = lft.unionByName(r, allowMissingColumns=True)
-    out = running(both, {"k": keys}, ["_time", "_side", *left_id], {"_asof": ("k", "max", F.col("_pay"))}, chunk, limit=limit)
+    out = running(both, {"k": keys}, ["_time", "_side", *left_id], {"_asof": ("k", "max", F.col("_pay"))}, chunk)
     out = out.where(F.col("_side") == (0 if strict else 1))
     ok = F.lit(True) if not_before is None else F.col("_asof._rt") >= not_before
     return out.withColumns({o: F.when(ok, F.col(f"_asof.{o}")) for o in take}).drop("_time", "_side", "_pay", "_asof")

@@ -53,10 +53,13 @@ def column_values(
     column: str,
     where: Column | str | None = None,
     order: str = "count",
-    max_values: int | None = 1000,
+    max_values: int | None = None,
     default: list | None = None,
 ) -> list:
-    """Distinct values of a column, most frequent first, for use as pivot columns."""
+    """Distinct values of a column, most frequent first, for use as pivot columns.
+
+    All of them, unless the caller asks for the first ``max_values``.
+    """
     src = df if where is None else df.where(where)
     counts = src.groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     by = [F.desc("n"), F.asc("v")] if order == "count" else [F.asc("v")]
@@ -191,11 +194,13 @@ def id_union(frames: Sequence[DataFrame]) -> DataFrame:
 def symmetric_difference(a: DataFrame, b: DataFrame, multiset: bool = False) -> DataFrame:
     """Rows in one side only, tagged; sets by default, with counts if ``multiset``."""
     cols = a.columns
-    other = b.select(*cols)
-    diff = (lambda x, y: x.exceptAll(y)) if multiset else (lambda x, y: x.subtract(y))
-    left = diff(a, other).withColumn("which_side", F.lit("a"))
-    right = diff(other, a).withColumn("which_side", F.lit("b"))
-    return left.union(right)
+    tagged = a.withColumn("_side", F.lit(1)).unionByName(b.select(*cols).withColumn("_side", F.lit(-1)))
+    if multiset:
+        more = tagged.groupBy(*cols).agg(F.sum("_side").alias("_more")).where("_more <> 0")
+        rows = more.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.abs("_more")))).drop("_copy")
+        return rows.withColumn("which_side", F.when(F.col("_more") > 0, "a").otherwise("b")).drop("_more")
+    sides = tagged.groupBy(*cols).agg(F.max("_side").alias("_hi"), F.min("_side").alias("_lo")).where("_hi = _lo")
+    return sides.withColumn("which_side", F.when(F.col("_hi") > 0, "a").otherwise("b")).drop("_hi", "_lo")
 
 
 def generate_series(spark: SparkSession, n: int, name: str = "generated_number") -> DataFrame:

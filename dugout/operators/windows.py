@@ -1,80 +1,50 @@
 """Ordered computations that stay spread out when one key holds most rows.
 
-A plain window puts every row of a key into one task. The functions here first count
-rows per key (map-side combined). Only keys above a limit are *hot*: their ordered rows
-are cut into chunks (a non-decreasing function of the leading order column, such as
-the month of a date), each chunk is aggregated map-side, the prefix of the small
-per-chunk totals is carried forward and added to the rows as one extra "carry" row per
-(key, chunk). Rows are shuffled once, on (key, chunk). Without hot keys the plan is the
-plain window.
+A plain window puts every row of a key into one task. Where the caller states a ``chunk``
+(a non-decreasing function of the leading order column, such as the day of a timestamp),
+each key's ordered rows are cut into chunks, each chunk is aggregated map-side, the prefix
+of the small per-chunk totals is carried forward and added to the rows as one extra "carry"
+row per (key, chunk). Rows are shuffled once, on (key, chunk). The plan is the same for
+every size and making it runs no job. Without a chunk the plan is the plain window, for
+groups whose size their grain bounds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import ColumnLike, as_col
 from .keys import keyed_join
 
 CHUNK = "_chunk"
 SET_ID = "_set_id"
-# Rows a task may hold for one key before the key is cut into chunks.
-HOT_ROWS = 1_000_000
-# Hot keys named one by one; with more of them every key is cut.
-MAX_HOT_KEYS = 1_000
-
-Chunk = Column | Callable[[DataFrame], Column]
 
 _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def order_chunk(df: DataFrame, order: ColumnLike, chunks: int = 64, picked_rows: int = 4096) -> Column:
-    """Chunk number of an order column, from boundaries taken on a small random pick.
-
-    The boundaries decide only how rows are spread, never the result.
-    """
-    c = as_col(order)
-    picked = df.select(c.alias("v")).where(F.col("v").isNotNull()).orderBy(F.rand(7)).limit(picked_rows).collect()
-    values = sorted(r["v"] for r in picked)
-    bounds = sorted({values[len(values) * i // chunks] for i in range(1, chunks)}) if values else []
-    return F.when(c.isNull(), F.lit(-1)).otherwise(_bucket(c, bounds, 0, len(bounds)))
-
-
-def _bucket(c: Column, bounds: list, lo: int, hi: int) -> Column:
-    """Number of bounds not above the value, as a balanced CASE tree."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(c < F.lit(bounds[mid]), _bucket(c, bounds, lo, mid)).otherwise(_bucket(c, bounds, mid + 1, hi))
-
-
-def hot_rows(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> Column | None:
-    """Condition that a row belongs to a key with more than ``limit`` rows; None when no key has.
+def value_chunk(df: DataFrame, order: str, steps: int = 256) -> Column:
+    """Chunk of an order column by its type: never decreasing in the value, NULL first.
 
-    Keys are told apart by their hash: a collision only makes a cold key hot, which
-    changes how rows are spread but no result.
+    Numbers: ``steps`` chunks a doubling, so the grain follows the magnitude. Timestamps:
+    the minute. Dates: the day. Texts: the first four characters. A finer grain is the
+    caller's to state.
     """
-    if not keys:
-        return F.lit(True) if df.select(F.lit(1)).limit(limit + 1).count() > limit else None
-    h = F.xxhash64(*keys)
-    counts = df.select(h.alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
-    hot = [r["h"] for r in counts.select("h").limit(MAX_HOT_KEYS + 1).collect()]
-    if not hot:
-        return None
-    return F.lit(True) if len(hot) > MAX_HOT_KEYS else h.isin(hot)
-
-
-def _cut(df: DataFrame, keys: Sequence[str], chunk: Chunk | None, limit: int) -> Column | None:
-    """Chunk of the hot rows (NULL for the others), or None when nothing has to be cut."""
-    if chunk is None:
-        return None
-    hot = hot_rows(df, keys, limit)
-    if hot is None:
-        return None
-    return F.when(hot, chunk(df) if callable(chunk) else chunk)
+    c, kind = F.col(order), df.schema[order].dataType
+    if isinstance(kind, T.NumericType):
+        v = c.cast("double")
+        grown = F.floor(F.signum(v) * F.log2(1 + F.abs(v)) * steps)
+        chunk = F.when(F.isnan(v), F.lit(2**62)).otherwise(grown.cast("long"))
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        chunk = F.date_trunc("MINUTE", c)
+    elif isinstance(kind, T.StringType):
+        chunk = F.substring(c, 1, 4)
+    else:
+        chunk = c
+    return chunk
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -116,21 +86,18 @@ def running(
     splits: dict[str, Sequence[str]],
     order: Sequence[str],
     measures: dict[str, tuple[str, str, Column]],
-    chunk: Chunk | None = None,
+    chunk: Column | None = None,
     spread: Sequence[str] = (),
-    limit: int = HOT_ROWS,
 ) -> DataFrame:
     """Running aggregates from the start of each group up to the row.
 
     splits: name -> key columns. measures: output -> (split, "sum"|"max"|"min", value).
     order: ascending columns, unique within each group. chunk: non-decreasing function
-    of the leading order column, used for keys above ``limit`` rows; None keeps each group
-    in one task (for groups whose size is bounded by their grain). spread: keys common to
-    all splits; one exchange on them (and the chunk) then serves every split's window.
+    of the leading order column; None keeps each group in one task (for groups whose size
+    is bounded by their grain). spread: keys common to all splits; one exchange on them
+    (and the chunk) then serves every split's window.
     """
     order = list(order)
-    common = list(spread) or [k for k in next(iter(splits.values())) if all(k in ks for ks in splits.values())]
-    cut = _cut(df, common, chunk, limit)
     bases: dict[str, tuple[str, Column]] = {}
     base_of: dict[str, str] = {}
     seen: dict[tuple[str, int], str] = {}
@@ -139,7 +106,7 @@ def running(
         bases[b], base_of[name] = (how, value), b
     rows = df.withColumns({b: value for b, (_, value) in bases.items()})
 
-    if cut is None:
+    if chunk is None:
         if spread:
             rows = rows.repartition(*spread)
         out = {}
@@ -148,17 +115,16 @@ def running(
             out[name] = _AGGREGATES[how](base_of[name]).over(w)
         return rows.withColumns(out).drop(*bases)
 
-    rows = rows.withColumn(CHUNK, cut)
-    hot = rows.where(F.col(CHUNK).isNotNull())
+    rows = rows.withColumn(CHUNK, chunk)
     keys = list(dict.fromkeys(k for ks in splits.values() for k in ks))
     cols = [*keys, CHUNK]
     set_id = {s: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c != CHUNK and c not in ks) for s, ks in splits.items()}
     aggs = [_AGGREGATES[how](b).alias(b) for b, (how, _) in bases.items()]
     if len(splits) == 1:
-        totals = hot.groupBy(*cols).agg(*aggs).withColumn(SET_ID, F.lit(0).cast("long"))
+        totals = rows.groupBy(*cols).agg(*aggs).withColumn(SET_ID, F.lit(0).cast("long"))
     else:
         sets = [[F.col(c) for c in cols if c == CHUNK or c in ks] for ks in splits.values()]
-        totals = hot.groupingSets(sets, *cols).agg(F.grouping_id().cast("long").alias(SET_ID), *aggs)
+        totals = rows.groupingSets(sets, *cols).agg(F.grouping_id().cast("long").alias(SET_ID), *aggs)
     before = Window.partitionBy(SET_ID, *keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         totals.withColumn("_earlier", F.count(F.lit(1)).over(before))
@@ -179,17 +145,17 @@ def running(
 
 
 def running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: dict[str, ColumnLike], chunk: Chunk | None = None, limit: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: dict[str, ColumnLike], chunk: Column | None = None
 ) -> DataFrame:
     """Running sums of several measures over one partitioning."""
-    return running(df, {"all": keys}, order, {n: ("all", "sum", as_col(c)) for n, c in measures.items()}, chunk, limit=limit)
+    return running(df, {"all": keys}, order, {n: ("all", "sum", as_col(c)) for n, c in measures.items()}, chunk)
 
 
 def running_max(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: dict[str, ColumnLike], chunk: Chunk | None = None, limit: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], measures: dict[str, ColumnLike], chunk: Column | None = None
 ) -> DataFrame:
     """Running maxima of several measures over one partitioning."""
-    return running(df, {"all": keys}, order, {n: ("all", "max", as_col(c)) for n, c in measures.items()}, chunk, limit=limit)
+    return running(df, {"all": keys}, order, {n: ("all", "max", as_col(c)) for n, c in measures.items()}, chunk)
 
 
 def neighbor(
@@ -198,22 +164,20 @@ def neighbor(
     order: Sequence[str],
     values: dict[str, ColumnLike],
     lead: bool = False,
-    chunk: Chunk | None = None,
-    limit: int = HOT_ROWS,
+    chunk: Column | None = None,
 ) -> DataFrame:
     """Value of the previous (or next) row of the key in ascending order, NULL at the end."""
     keys, order = list(keys), list(order)
     move = F.lead if lead else F.lag
     packed = F.struct(*[as_col(c).alias(n) for n, c in values.items()])
-    cut = _cut(df, keys, chunk, limit)
-    if cut is None:
+    if chunk is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         moved = df.withColumn("_near", move(packed).over(w))
     else:
-        rows = df.withColumns({CHUNK: cut, "_packed": packed})
+        rows = df.withColumns({CHUNK: chunk, "_packed": packed})
         by = F.struct(*order)
         edge = F.min_by("_packed", by) if lead else F.max_by("_packed", by)
-        ends = rows.where(F.col(CHUNK).isNotNull()).groupBy(*keys, CHUNK).agg(edge.alias("_packed"))
+        ends = rows.groupBy(*keys, CHUNK).agg(edge.alias("_packed"))
         w = Window.partitionBy(*keys).orderBy(CHUNK)
         carry = ends.withColumn("_packed", move("_packed").over(w)).where(F.col("_packed").isNotNull())
         both = rows.withColumn("_is_row", F.lit(True)).unionByName(
@@ -226,17 +190,19 @@ def neighbor(
 
 
 def session_counter(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], starts: Column, name: str, chunk: Chunk | None = None, limit: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], starts: Column, name: str, chunk: Column | None = None
 ) -> DataFrame:
     """Number of start rows seen so far: an id for each run between starts."""
-    return running_sum(df, keys, order, {name: F.when(starts, 1).otherwise(0)}, chunk, limit)
+    return running_sum(df, keys, order, {name: F.when(starts, 1).otherwise(0)}, chunk)
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], measure: str, name: str, digits: int = 3) -> DataFrame:
-    """Row measure over the key's total, through an aggregate and an equi-join (keys not NULL)."""
-    totals = df.groupBy(*keys).agg(F.sum(measure).alias("_total"))
-    share = F.round(F.try_divide(F.col(measure).cast("double"), F.col("_total").cast("double")), digits)
-    return df.join(totals, list(keys), "left").withColumn(name, share).drop("_total")
+    """Row measure over the key's total, in one pass.
+
+    Meant for a finished aggregate, where the grain bounds the rows of a key.
+    """
+    total = F.sum(measure).over(Window.partitionBy(*keys))
+    return df.withColumn(name, F.round(F.try_divide(F.col(measure).cast("double"), total.cast("double")), digits))
 
 
 def moving_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, periods: int) -> DataFrame:
@@ -260,17 +226,18 @@ def z_score(df: DataFrame, value: str, name: str) -> DataFrame:
     return df.withColumn(name, F.try_divide(F.col(value) - mean, dev))
 
 
-def exact_quantile(df: DataFrame, value: str, q: float, keys: Sequence[str] = (), name: str = "quantile", limit: int = HOT_ROWS) -> DataFrame:
+def exact_quantile(df: DataFrame, value: str, q: float, keys: Sequence[str] = (), name: str = "quantile", chunk: Column | None = None) -> DataFrame:
     """Exact interpolated quantile per key without holding a group in one task.
 
-    Counts per value are summed up along the value order in chunks; the two values
-    around the wanted position are then picked by their cumulative counts.
+    Counts per value are summed up along the value order in chunks (``chunk``, by default
+    by the type of the value); the two values around the wanted position are then picked by
+    their cumulative counts.
     """
     keys = list(keys)
     known = df.where(F.col(value).isNotNull())
     counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    upto = running_sum(counts, keys, [value], {"_upto": "_n"}, lambda d: order_chunk(d, value), limit)
-    totals = counts.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    upto = running_sum(counts, keys, [value], {"_upto": "_n"}, value_chunk(df, value) if chunk is None else chunk)
+    totals = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
     if keys:
         placed = keyed_join(upto, totals, keys, "inner", null_safe=keys)
     else:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..operators.joins import lookup
 from ..operators.reshape import stacked_rows
-from ..operators.windows import HOT_ROWS, running, session_counter
+from ..operators.windows import running, session_counter
 from ..sources.landing import HIT_EVENTS, LOAD_ID
 from .dims import BATTING, FIELDING, LINE_COLUMNS, PITCHING
 
@@ -177,11 +177,6 @@ def int_team_game_box(lines: DataFrame) -> DataFrame:
     return lines.groupBy("game_pk").agg(*sums, F.count(F.lit(1)).alias("player_rows"))
 
 
-def month_of(date_col: str) -> Column:
-    """Chunk for running windows ordered by a date."""
-    return F.trunc(date_col, "MONTH")
-
-
 def int_team_game_results(games: DataFrame, game_details: DataFrame, teams: DataFrame) -> DataFrame:
     """Two rows (home, away) per final regular-season game, with a series id.
 
@@ -211,7 +206,7 @@ def int_team_game_results(games: DataFrame, game_details: DataFrame, teams: Data
         j = lookup(j, teams, {"id": f"{s}_team_id", "season": "season"}, {f"{s}_league": "league__id"})
     starts = F.col("series_game_number") == 1
     pair = ["home_team_id", "away_team_id"]
-    j = session_counter(j, pair, ["game_date", "game_datetime", "game_pk"], starts, "series_id", month_of("game_date"))
+    j = session_counter(j, pair, ["game_date", "game_datetime", "game_pk"], starts, "series_id")
     crosses = S.flag(F.col("home_league") != F.col("away_league"))
 
     def side(me: str, other: str, home: int) -> dict[str, Column]:
@@ -258,12 +253,11 @@ SEASON_RECORDS = {
 }
 
 
-def int_team_game_results_to_date(results: DataFrame, limit: int = HOT_ROWS) -> DataFrame:
+def int_team_game_results_to_date(results: DataFrame) -> DataFrame:
     """Running win/loss records of nine splits, up to and including each game.
 
-    All splits share ``team_id``, so the rows are shuffled once on it. A team above
-    ``limit`` rows is spread by month; the totals carried into each month then come from
-    one pass with grouping sets.
+    All splits share ``team_id``, so the rows are shuffled once on it. A team's rows are
+    bounded by their grain, one a game.
     """
     wins, losses = S.flag(F.col("result") == "W"), S.flag(F.col("result") == "L")
     order = ["venue", "opponent", *SEASON_RECORDS, "start_hour", "interleague", "series", "games_in_series", "series_game_number"]
@@ -277,4 +271,4 @@ def int_team_game_results_to_date(results: DataFrame, limit: int = HOT_ROWS) ->
             measures[f"wins_to_date_{name}"] = (name, "sum", wins)
             measures[f"losses_to_date_{name}"] = (name, "sum", losses)
     by = ["game_date", "game_datetime", "game_pk"]
-    return running(results.select(*RESULT_COLUMNS), RECORD_SPLITS, by, measures, month_of("game_date"), ["team_id"], limit)
+    return running(results.select(*RESULT_COLUMNS), RECORD_SPLITS, by, measures, spread=["team_id"])

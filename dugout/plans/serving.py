@@ -26,8 +26,10 @@ def _only(df: DataFrame, **ids: object) -> DataFrame:
     return df
 
 
-def seasons(t: Tables, before: int = 2027) -> DataFrame:
-    return t["dim_season"].where(c("season") < before).select("season").distinct().orderBy(F.desc("season"))
+def seasons(t: Tables, before: int | None = None) -> DataFrame:
+    """Seasons, newest first; ``before`` leaves out later ones where the caller asks for it."""
+    known = t["dim_season"] if before is None else t["dim_season"].where(c("season") < before)
+    return known.select("season").distinct().orderBy(F.desc("season"))
 
 
 def teams(t: Tables) -> DataFrame:
@@ -227,7 +229,7 @@ def player_draft(t: Tables, player_id: int) -> DataFrame:
         home.alias("home_location"),
         school.alias("school_location"),
         "draft_type_description",
-    ).orderBy(F.desc("draft_year")).limit(1)
+    ).orderBy(F.desc("draft_year"), "round", "draft_type_description", "school_location").limit(1)
 
 
 def game_player_detail(t: Tables, game_pk: int) -> DataFrame:

@@ -288,8 +288,8 @@ def _winning_population(m: Models) -> DataFrame:
 
 
 def _winning_failing(m: Models) -> DataFrame:
-    home, away, won = c("home_team_runs"), c("away_team_runs"), _or("winning_team_id", -1)
-    bad = ((home > away) & (won != c("home_team_id"))) | ((away > home) & (won != c("away_team_id")))
+    home, away, won = c("home_team_runs"), c("away_team_runs"), c("winning_team_id")
+    bad = ((home > away) & ~won.eqNullSafe(c("home_team_id"))) | ((away > home) & ~won.eqNullSafe(c("away_team_id")))
     return _winning_population(m).where(bad).select("game_pk", "home_team_runs", "away_team_runs", "home_team_id", "away_team_id", "winning_team_id")
 
 
@@ -299,7 +299,7 @@ def _score_population(m: Models) -> DataFrame:
 
 
 def _score_failing(m: Models) -> DataFrame:
-    bad = (_or("home_score", -1) != _or("gd_home_runs", -1)) | (_or("away_score", -1) != _or("gd_away_runs", -1))
+    bad = ~c("home_score").eqNullSafe(c("gd_home_runs")) | ~c("away_score").eqNullSafe(c("gd_away_runs"))
     return _score_population(m).where(bad).select("game_pk", "season", "game_type", "home_score", "gd_home_runs", "away_score", "gd_away_runs")
 
 
@@ -343,7 +343,7 @@ def _player_totals(m: Models) -> DataFrame:
 def _player_totals_failing(m: Models) -> DataFrame:
     bad = F.lit(False)
     for s in ("hits", "runs", "hr"):
-        bad = bad | (_or(f"team_{s}", -1) != _or(f"player_{s}", -1))
+        bad = bad | ~c(f"team_{s}").eqNullSafe(c(f"player_{s}"))
     return _player_totals(m).where(bad)
 
 

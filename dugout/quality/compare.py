@@ -135,13 +135,14 @@ TEST_TYPES = ("unique_combination_of_columns", "accepted_values", "accepted_rang
 def failure_report(failures: dict[str, DataFrame], sample_rows: int = 50) -> DataFrame:
     """Per stored failure table: count and rows as JSON, with type and model from its name.
 
-    ``sample_rows`` bounds the rows that are packed into one text.
+    ``sample_rows`` bounds the rows that are packed into one text; they are the first in order.
     """
     out = None
     kinds = "|".join(TEST_TYPES)
     for name, df in failures.items():
         total = df.agg(F.count(F.lit(1)).alias("n"))
-        packed = df.limit(sample_rows).agg(F.to_json(F.collect_list(F.struct("*"))).alias("j"))
+        first = df.select(F.struct("*").alias("r")).orderBy("r").limit(sample_rows)
+        packed = first.agg(F.to_json(F.sort_array(F.collect_list("r"))).alias("j"))
         one = total.select(F.lit(name).alias("test_name"), F.col("n").alias("failure_count"), packed.scalar().alias("rows_json"))
         out = one if out is None else out.unionByName(one)
     rx = f"^(?:[a-z]+_utils_)?({kinds})_(.*)$"

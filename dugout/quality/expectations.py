@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions.scalar import as_col, regex_match
 from ..operators.reshape import bounds_spine
-from ..operators.windows import HOT_ROWS, exact_quantile, lag_periods, moving_stats, neighbor, order_chunk
+from ..operators.windows import exact_quantile, lag_periods, moving_stats, neighbor, value_chunk
 from .generic import Condition, moment, out_of_range, rows_where
 
 # ---- base forms --------------------------------------------------------------------------------
@@ -195,17 +195,14 @@ def median_between(df, column, min_value=None, max_value=None, strictly=False, g
 
 
 def nth_most_common_value(df: DataFrame, column: str, n: int, where: Condition = None) -> DataFrame:
-    """The value with the n-th highest count; the smaller value goes first on a tie."""
+    """The value with the n-th highest count; the smaller value goes first on a tie, none with fewer values."""
     counts = rows_where(df, where).groupBy(F.col(column).alias("value_field")).agg(F.count(F.lit(1)).alias("value_count"))
-    top = counts.orderBy(F.desc("value_count"), F.asc("value_field")).limit(n)
-    return top.orderBy(F.asc("value_count"), F.desc("value_field")).limit(1) if n > 1 else top
+    return counts.orderBy(F.desc("value_count"), F.asc("value_field")).offset(n - 1).limit(1)
 
 
 def most_common_value_in_set(df, column, values, top_n=1, where=None):
-    """The n-th most common value when it is not in the set."""
-    ranked = rows_where(df, where).groupBy(F.col(column).alias("value_field")).agg(F.count(F.lit(1)).alias("value_count"))
-    # With fewer than n values there is no n-th one, which passes.
-    nth = ranked.orderBy(F.desc("value_count"), F.asc("value_field")).offset(top_n - 1).limit(1)
+    """The n-th most common value when it is not in the set; without an n-th one the test passes."""
+    nth = nth_most_common_value(df, column, top_n, where)
     return nth.where(~F.col("value_field").isin(*values)).select("value_field")
 
 
@@ -216,21 +213,21 @@ def values_between(df, column, min_value=None, max_value=None, strictly=False, w
     return expression_between(df, as_col(column), min_value, max_value, strictly, None, where)
 
 
-def _ordered(df, column, sort_column, fine: Callable[[Column, Column], Column], group_by, where, limit):
+def _ordered(df, column, sort_column, fine: Callable[[Column, Column], Column], group_by, where):
     sort = sort_column or column
     rows = rows_where(df, where).select(F.col(sort).alias("sort_column"), *group_by, F.col(column).alias("value_field"))
-    near = neighbor(rows, list(group_by), ["sort_column"], {"value_field_lag": F.col("value_field")}, chunk=lambda d: order_chunk(d, "sort_column"), limit=limit)
+    near = neighbor(rows, list(group_by), ["sort_column"], {"value_field_lag": F.col("value_field")}, chunk=value_chunk(rows, "sort_column"))
     return near.where(F.col("value_field_lag").isNotNull() & ~fine(F.col("value_field"), F.col("value_field_lag")))
 
 
-def values_increasing(df, column, sort_column=None, strictly=True, group_by=(), where=None, limit=HOT_ROWS):
+def values_increasing(df, column, sort_column=None, strictly=True, group_by=(), where=None):
     """Rows not above their predecessor in sort order."""
-    return _ordered(df, column, sort_column, (lambda a, b: a > b) if strictly else (lambda a, b: a >= b), group_by, where, limit)
+    return _ordered(df, column, sort_column, (lambda a, b: a > b) if strictly else (lambda a, b: a >= b), group_by, where)
 
 
-def values_decreasing(df, column, sort_column=None, strictly=True, group_by=(), where=None, limit=HOT_ROWS):
+def values_decreasing(df, column, sort_column=None, strictly=True, group_by=(), where=None):
     """Rows not below their predecessor in sort order."""
-    return _ordered(df, column, sort_column, (lambda a, b: a < b) if strictly else (lambda a, b: a <= b), group_by, where, limit)
+    return _ordered(df, column, sort_column, (lambda a, b: a < b) if strictly else (lambda a, b: a <= b), group_by, where)
 
 
 def values_in_set(df, column, values, where=None):

@@ -1,8 +1,8 @@
 """Generic table tests (failing rows; unknown predicates pass unless stated).
 
 Most tests take ``where``, a filter applied before testing. Tests over neighbouring rows
-cut groups above ``limit`` rows (a missing group is one group) into order chunks, so
-that none lands in one task.
+cut every group (a missing group is one group) into order chunks by the type of the
+ordered column, so that none lands in one task.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions.scalar import ColumnLike, as_col
 from ..operators.reshape import symmetric_difference
-from ..operators.windows import HOT_ROWS, neighbor, order_chunk
+from ..operators.windows import neighbor, value_chunk
 
 Condition = Column | str | None
 
@@ -139,7 +139,6 @@ def mutually_exclusive_ranges(
     gaps: str = "allowed",
     zero_length: bool = False,
     where: Condition = None,
-    limit: int = HOT_ROWS,
 ) -> DataFrame:
     """Ranges that are inverted, overlap their successor, or break the rule on gaps."""
     rules = {"not_allowed": lambda a, b: a == b, "allowed": lambda a, b: a <= b, "required": lambda a, b: a < b}
@@ -149,7 +148,7 @@ def mutually_exclusive_ranges(
     rows = rows_where(df, where).select(*keys, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound"))
     names = ["partition_by_col"] if partition_by else []
     marks = {"_has_next": F.lit(True), "next_lower_bound": F.col("lower_bound")}
-    near = neighbor(rows, names, ["lower_bound", "upper_bound"], marks, lead=True, chunk=lambda d: order_chunk(d, "lower_bound"), limit=limit)
+    near = neighbor(rows, names, ["lower_bound", "upper_bound"], marks, lead=True, chunk=value_chunk(rows, "lower_bound"))
     lo, hi, nxt = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
     fine = F.coalesce(lo <= hi if zero_length else lo < hi, F.lit(False)) & F.coalesce(rules[gaps](hi, nxt), F.col("_has_next").isNull(), F.lit(False))
     return near.where(~fine).withColumn("is_last_record", F.col("_has_next").isNull()).drop("_has_next")
@@ -212,12 +211,11 @@ def sequential_values(
     part: str | None = None,
     group_by: Sequence[str] = (),
     where: Condition = None,
-    limit: int = HOT_ROWS,
 ) -> DataFrame:
     """Values that do not follow their predecessor by exactly one interval."""
     rows = rows_where(df, where).select(*group_by, column)
     prev = f"previous_{column}"
-    near = neighbor(rows, list(group_by), [column], {prev: F.col(column)}, chunk=lambda d: order_chunk(d, column), limit=limit)
+    near = neighbor(rows, list(group_by), [column], {prev: F.col(column)}, chunk=value_chunk(rows, column))
     if part:
         expected = D.add_part(part, interval, F.col(prev).cast("timestamp"))
         return near.where(~(F.col(column).cast("timestamp") == expected))

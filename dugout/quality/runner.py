@@ -14,9 +14,10 @@ SAMPLE_ROWS = 50
 
 
 def sample_json(failing: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
-    """The first n failing rows as one JSON text, all values as text."""
+    """The first n failing rows, by all their values as text, as one JSON text."""
     text = [F.col(f"`{c}`").cast("string").alias(c) for c in failing.columns]
-    return failing.limit(n).select(F.struct(*text).alias("r")).agg(F.to_json(F.collect_list("r")).alias("sample_json"))
+    first = failing.select(*text).orderBy(*[F.col(f"`{c}`") for c in failing.columns]).limit(n)
+    return first.select(F.struct("*").alias("r")).agg(F.to_json(F.sort_array(F.collect_list("r"))).alias("sample_json"))
 
 
 @dataclass

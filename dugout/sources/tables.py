@@ -2,8 +2,8 @@
 
 A table is a folder of parquet versions; the newest version with a success marker is
 current, so a reader never sees a half-written one and a lost executor or driver
-leaves the old version in place. A partitioned table is rewritten one touched
-partition at a time, through a staging folder, so a merge costs what it touches.
+leaves the old version in place. Merges write a whole new version. Appends write a
+folder of their own per batch beside the version they belong to.
 """
 
 from __future__ import annotations
@@ -18,16 +18,15 @@ from pyspark.sql import functions as F
 
 from ..operators.windows import dedup_latest
 
-MAX_TOUCHED_PARTITIONS = 10_000
-
 
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], newest: Sequence[Column] | None = None) -> DataFrame:
     """Target rows whose key is not updated, plus the updates (one per key).
 
     Columns new in the updates are added to the target as NULL and the other way round.
-    ``newest`` orders updates of one key; without it they must be unique already.
+    ``newest`` orders updates of one key; without it a key that is updated twice with
+    different rows fails, and equal rows count once.
     """
-    ups = dedup_latest(updates, list(keys), list(newest)) if newest else updates.dropDuplicates(list(keys))
+    ups = dedup_latest(updates, list(keys), list(newest)) if newest else unique_updates(updates, keys)
     ids = ups.select(*[F.col(k).alias(f"_u_{k}") for k in keys])
     cond = F.lit(True)
     for i, k in enumerate(keys):
@@ -37,6 +36,15 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], new
     return kept.unionByName(ups, allowMissingColumns=True)
 
 
+def unique_updates(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct updates; raises where one key has different rows, which only an order could decide."""
+    rest = [c for c in updates.columns if c not in keys]
+    one = F.when(F.count_distinct(F.xxhash64(*rest)) > 1, F.raise_error(F.lit("several different updates of one key: give their order"))) if rest else F.lit(None)
+    first = [F.first(F.struct(*rest)).alias("_row")] if rest else []
+    out = updates.groupBy(*keys).agg(*first, one.isNull().alias("_one")).where("_one")
+    return out.select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in updates.columns])
+
+
 def insert_missing(target: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Candidates whose key the target does not have; nothing is overwritten."""
     return candidates.dropDuplicates(list(keys)).join(target.select(*keys), list(keys), "left_anti")
@@ -94,10 +102,17 @@ class TableStore:
         return f"{self.root}/{name}/v{versions[-1]:06d}"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The current version and the finished batches appended to it."""
+        version = self.path(name)
+        label = version.rpartition("/")[2]
+        batches = [n for n in self._list(f"{self.root}/{name}") if n.startswith(f"{label}_") and "_SUCCESS" in self._list(f"{self.root}/{name}/{n}")]
+        df = self.spark.read.parquet(version)
+        for n in sorted(batches):
+            df = df.unionByName(self.spark.read.parquet(f"{self.root}/{name}/{n}"), allowMissingColumns=True)
+        return df
 
     def _next(self, name: str) -> str:
-        taken = [int(m.group(1)) for n in self._list(f"{self.root}/{name}") if (m := re.fullmatch(r"v(\d+)", n))]
+        taken = [int(m.group(1)) for n in self._list(f"{self.root}/{name}") if (m := re.match(r"v(\d+)", n))]
         return f"{self.root}/{name}/v{max(taken, default=0) + 1:06d}"
 
     def overwrite(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -106,11 +121,11 @@ class TableStore:
         (w.partitionBy(*partition_by) if partition_by else w).parquet(self._next(name))
         return self.read(name)
 
-    def append(self, name: str, df: DataFrame) -> DataFrame:
-        """Adds rows to the current version."""
+    def append(self, name: str, df: DataFrame, batch: str | None = None) -> DataFrame:
+        """Adds rows in a folder of their own; a batch that comes again replaces itself."""
         if not self.exists(name):
-            return self.overwrite(name, df)
-        df.write.mode("append").parquet(self.path(name))
+            self.overwrite(name, df.limit(0))
+        df.write.mode("overwrite").parquet(f"{self.path(name)}_{batch or uuid.uuid4().hex}")
         return self.read(name)
 
     def merge(
@@ -122,26 +137,12 @@ class TableStore:
         partition_by: str | None = None,
         full_refresh: bool = False,
     ) -> DataFrame:
-        """Upsert by key. With ``partition_by`` (a column that never changes for a key)
-        only the touched partitions are read and rewritten."""
+        """Upsert by key into a new version, laid out by ``partition_by``."""
         parts = [partition_by] if partition_by else []
         if full_refresh or not self.exists(name):
-            ups = dedup_latest(updates, list(keys), list(newest)) if newest else updates.dropDuplicates(list(keys))
+            ups = dedup_latest(updates, list(keys), list(newest)) if newest else unique_updates(updates, keys)
             return self.overwrite(name, ups, parts)
-        target = self.read(name)
-        if not partition_by:
-            return self.overwrite(name, merge_upsert(target, updates, keys, newest))
-        touched = [r[0] for r in updates.select(partition_by).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-        if len(touched) > MAX_TOUCHED_PARTITIONS:
-            return self.overwrite(name, merge_upsert(target, updates, keys, newest), parts)
-        in_touched = F.col(partition_by).isin([t for t in touched if t is not None])
-        if None in touched:
-            in_touched = in_touched | F.col(partition_by).isNull()
-        staging = f"{self.root}/_staging/{name}/{uuid.uuid4().hex}"
-        merge_upsert(target.where(in_touched), updates, keys, newest).write.partitionBy(partition_by).parquet(staging)
-        merged = self.spark.read.parquet(staging)
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(self.path(name))
-        return self.read(name)
+        return self.overwrite(name, merge_upsert(self.read(name), updates, keys, newest), parts)
 
     def keep_children(self, name: str, parent: DataFrame, key: str) -> DataFrame:
         """Rewrites a child table without rows whose parent key is gone."""

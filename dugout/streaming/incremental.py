@@ -1,7 +1,7 @@
 """Keyed incremental maintenance by load.
 
 Three forms cover the models: rows of new loads are built and merged by key; groups
-touched by new loads are rebuilt whole and merged; landed files are upserted per
+touched by new loads are rebuilt whole and replaced; landed files are upserted per
 micro-batch. A group is never updated from its new rows alone, so a refresh gives what
 a full rebuild gives, also after out-of-order back-fills.
 """
@@ -9,7 +9,9 @@ a full rebuild gives, also after out-of-order back-fills.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import hashlib
+import operator
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,10 +19,10 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import not_in
 from ..operators.keys import keyed_join
-from ..operators.windows import session_counter
-from ..plans.intermediate import RECORD_SPLITS, SEASON_RECORDS, int_team_game_results_to_date, month_of
+from ..operators.windows import dedup_latest, session_counter
+from ..plans.intermediate import RECORD_SPLITS, SEASON_RECORDS, int_team_game_results_to_date
 from ..sources.landing import LOAD_ID
-from ..sources.tables import TableStore, high_water, newer_than
+from ..sources.tables import TableStore, high_water, newer_than, unique_updates
 
 
 def refresh_rows(
@@ -50,6 +52,26 @@ def touched_groups(source: DataFrame, keys: Sequence[str], mark: object, load_co
     return newer_than(source, load_column, mark).select(*keys).distinct()
 
 
+def replace_groups(target: DataFrame, touched: DataFrame, rebuilt: DataFrame, in_target: dict[str, Column]) -> DataFrame:
+    """Target without the rows of touched groups, plus the rebuilt ones.
+
+    ``in_target``: group column -> its value in a target row. Rows that no longer qualify
+    go with their group; NULL group values match each other.
+    """
+    marks = {f"_g_{i}": g for i, g in enumerate(in_target)}
+    groups = touched.select(*[F.col(g).alias(m) for m, g in marks.items()]).distinct()
+    same = [in_target[g].eqNullSafe(F.col(m)) for m, g in marks.items()]
+    kept = target.join(groups, functools.reduce(operator.and_, same), "left_anti")
+    return kept.unionByName(rebuilt, allowMissingColumns=True)
+
+
+def in_groups(source: DataFrame, touched: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Source rows of the touched groups, NULL group values included."""
+    groups = touched.select(*[F.col(g).alias(f"_g_{i}") for i, g in enumerate(group)]).distinct()
+    same = [F.col(g).eqNullSafe(F.col(f"_g_{i}")) for i, g in enumerate(group)]
+    return source.join(groups, functools.reduce(operator.and_, same), "left_semi")
+
+
 def refresh_groups(
     store: TableStore,
     name: str,
@@ -62,19 +84,28 @@ def refresh_groups(
     partition_by: str | None = None,
     full_refresh: bool = False,
     touched: DataFrame | None = None,
+    in_target: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Rebuilds every group touched by newer loads from all of its rows, then merges.
+    """Rebuilds every group touched by newer loads from all of its rows and puts them in place of the old ones.
 
     A target without a load column (``target_load=None``) needs the ``touched`` groups
     from the caller: for team results the (home, away) pairs of new games, for running
-    records the teams of new results.
+    records the teams of new results. ``in_target`` tells a target row's group where the
+    target does not have the group's columns.
     """
-    fresh = full_refresh or not store.exists(name)
-    if not fresh:
-        if touched is None:
-            touched = touched_groups(source, group, high_water(store.read(name), target_load), load_column)
-        source = source.join(touched.select(*group).distinct(), list(group), "left_semi")
-    return store.merge(name, build(source), keys, [F.col(target_load).desc()] if target_load else None, partition_by, fresh)
+    order = [F.col(target_load).desc()] if target_load else None
+    if full_refresh or not store.exists(name):
+        return store.merge(name, build(source), keys, order, partition_by, True)
+    target = store.read(name)
+    if touched is None:
+        touched = touched_groups(source, group, high_water(target, target_load), load_column)
+    missing = [g for g in group if g not in target.columns and g not in (in_target or {})]
+    if missing:
+        raise ValueError(f"in_target has to tell {missing} of a target row")
+    rebuilt = build(in_groups(source, touched, group))
+    rebuilt = dedup_latest(rebuilt, list(keys), order) if order else unique_updates(rebuilt, keys)
+    places = {g: (in_target or {}).get(g, F.col(g)) for g in group}
+    return store.overwrite(name, replace_groups(target, touched, rebuilt, places), [partition_by] if partition_by else [])
 
 
 def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -140,7 +171,7 @@ def series_with_prior(existing: DataFrame, batch: DataFrame, days: int = 14) ->
     )
     rows = batch.where(F.col("game_date") >= start)
     counted = session_counter(
-        rows, ["home_team_id", "away_team_id"], ["game_date", "game_datetime", "game_pk"], F.col("series_game_number") == 1, "series_id", month_of("game_date")
+        rows, ["home_team_id", "away_team_id"], ["game_date", "game_datetime", "game_pk"], F.col("series_game_number") == 1, "series_id"
     )
     joined = counted.join(prior, ["home_team_id", "away_team_id"], "left")
     return joined.withColumn("series_id", F.col("series_id") + F.coalesce("_prior", F.lit(0))).drop("_prior")
@@ -199,29 +230,39 @@ def stream_upsert(
     """Upserts landed JSON files into a table, one merge per micro-batch, until none is left.
 
     A batch that is repeated after a failure merges the same keys again, so the table
-    does not change twice.
+    does not change twice. Load ids go on from the target's, also with a new checkpoint.
     """
+    base = _next_load(store, name)
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(landing_dir)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        rows = flatten(batch).withColumn(LOAD_ID, F.lit(f"{batch_id:012d}"))
+        rows = flatten(batch).withColumn(LOAD_ID, F.lit(f"{base + batch_id:012d}"))
         store.merge(name, rows, keys, newest or [F.col(LOAD_ID).desc()], partition_by)
 
     folder = _checkpoint_folder(spark, store, landing_dir, name, checkpoint)
     return source.writeStream.foreachBatch(upsert).option("checkpointLocation", folder).trigger(availableNow=True).start()
 
 
+def _next_load(store: TableStore, name: str) -> int:
+    """The load id after the target's newest numeric one."""
+    if not store.exists(name) or LOAD_ID not in store.read(name).columns:
+        return 0
+    newest = store.read(name).agg(F.max(F.col(LOAD_ID).try_cast("long"))).first()[0]
+    return 0 if newest is None else newest + 1
+
+
+def append_batch(store: TableStore, name: str, rows: DataFrame, stream: str, batch_id: int, base: int) -> DataFrame:
+    """Writes one batch of a stream to its own folder; a repeat replaces what a broken write left."""
+    return store.append(name, rows.withColumn(LOAD_ID, F.lit(f"{base + batch_id:012d}")), f"{stream}_{batch_id:012d}")
+
+
 def stream_append(spark: SparkSession, landing_dir: str, schema: str, flatten: Callable[[DataFrame], DataFrame], store: TableStore, name: str, checkpoint: str | None = None):
-    """Appends landed files to an append-only table."""
+    """Appends landed files to an append-only table, each micro-batch in a folder of its own."""
+    folder = _checkpoint_folder(spark, store, landing_dir, name, checkpoint)
+    stream, base = hashlib.md5(folder.encode()).hexdigest()[:12], _next_load(store, name)
     source = spark.readStream.schema(schema).json(landing_dir)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        rows = flatten(batch).withColumn(LOAD_ID, F.lit(f"{batch_id:012d}"))
-        # A repeated batch has its load id in the table already.
-        if not (store.exists(name) and not store.read(name).where(F.col(LOAD_ID) == f"{batch_id:012d}").isEmpty()):
-            store.append(name, rows)
+        append_batch(store, name, flatten(batch), stream, batch_id, base)
 
-    folder = _checkpoint_folder(spark, store, landing_dir, name, checkpoint)
     return source.writeStream.foreachBatch(add).option("checkpointLocation", folder).trigger(availableNow=True).start()
-
-

@@ -130,10 +130,9 @@ def test_results_series_and_records(spark, rows):
     teams = spark.createDataFrame([(1, 2024, 103), (2, 2024, 104)], "id long, season int, league__id long")
     r = intermediate.int_team_game_results(games, det, teams)
     assert rows(r.where("team_id = 1"), "game_pk", "result", "series_id", "is_home", "start_hour", "is_interleague") == [(1, "W", 1, 1, 13, 1), (2, "L", 1, 1, 19, 1), (3, "W", 2, 1, None, 1), (4, "L", 1, 0, None, 1)]
-    for limit in (1, 1000):
-        rec = intermediate.int_team_game_results_to_date(r, limit=limit)
-        got = rows(rec.where("team_id = 1"), "game_pk", "wins_to_date_venue", "losses_to_date_venue", "wins_to_date_series", "wins_to_date_start_hour", "wins_to_date_day_night_night", "losses_to_date_opponent")
-        assert got == [(1, 1, 0, 1, 1, 1, 0), (2, 1, 1, 1, 0, 1, 1), (3, 2, 1, 1, 1, 2, 1), (4, 2, 2, 0, 1, 2, 1)]
+    rec = intermediate.int_team_game_results_to_date(r)
+    got = rows(rec.where("team_id = 1"), "game_pk", "wins_to_date_venue", "losses_to_date_venue", "wins_to_date_series", "wins_to_date_start_hour", "wins_to_date_day_night_night", "losses_to_date_opponent")
+    assert got == [(1, 1, 0, 1, 1, 1, 0), (2, 1, 1, 1, 0, 1, 1), (3, 2, 1, 1, 1, 2, 1), (4, 2, 2, 0, 1, 2, 1)]
 
 
 def test_player_lines_and_box(spark, rows):

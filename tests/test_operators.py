@@ -33,8 +33,8 @@ def test_running_chunks_equal_plain_window(spark, rows):
     w = Window.partitionBy("k").orderBy("day", "id").rowsBetween(Window.unboundedPreceding, 0)
     want = df.select("id", F.sum("v").over(w).alias("s"), F.max("v").over(w).alias("m"))
     measures = {"s": ("all", "sum", F.col("v")), "m": ("all", "max", F.col("v"))}
-    for limit in (1, 100, 10_000):
-        got = W.running(df, {"all": ["k"]}, ["day", "id"], measures, month(), limit=limit)
+    for chunk in (None, month(), F.col("day")):
+        got = W.running(df, {"all": ["k"]}, ["day", "id"], measures, chunk)
         assert rows(got, "id", "s", "m") == rows(want)
 
 
@@ -43,7 +43,7 @@ def test_running_splits_share_one_exchange(spark, rows):
     splits = {"k": ["k"], "kg": ["k", "g"]}
     measures = {"n": ("k", "sum", F.lit(1)), "ng": ("kg", "sum", F.lit(1))}
     plain = W.running(df, splits, ["day", "id"], measures, None, ["k"])
-    cut = W.running(df, splits, ["day", "id"], measures, month(), ["k"], limit=50)
+    cut = W.running(df, splits, ["day", "id"], measures, month(), ["k"])
     assert rows(plain, "id", "n", "ng") == rows(cut, "id", "n", "ng")
     assert plain._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
 
@@ -52,11 +52,23 @@ def test_neighbor_chunks_equal_plain(spark, rows):
     df = skewed(spark)
     for lead in (False, True):
         plain = W.neighbor(df, ["k"], ["day", "id"], {"p": "id", "pv": "v"}, lead)
-        cut = W.neighbor(df, ["k"], ["day", "id"], {"p": "id", "pv": "v"}, lead, month(), limit=20)
-        auto = W.neighbor(df, ["k"], ["day", "id"], {"p": "id", "pv": "v"}, lead, lambda d: W.order_chunk(d, "day", 8), limit=20)
+        cut = W.neighbor(df, ["k"], ["day", "id"], {"p": "id", "pv": "v"}, lead, month())
+        auto = W.neighbor(df, ["k"], ["day", "id"], {"p": "id", "pv": "v"}, lead, W.value_chunk(df, "day"))
         assert rows(plain, "id", "p", "pv") == rows(cut, "id", "p", "pv") == rows(auto, "id", "p", "pv")
 
 
+def test_value_chunks_never_decrease(spark):
+    values = [float("-inf"), -1e300, -3.5, -1.0, -1e-9, 0.0, 1e-9, 0.5, 1.0, 2.0, 1e6, 1e300]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(-1, None), (99, float("nan"))], "id int, v double")
+    got = [r[0] for r in df.orderBy("id").select(W.value_chunk(df, "v")).collect()]
+    assert got[0] is None and got[1:] == sorted(got[1:]) and len(set(got)) > 8
+
+
+def test_column_values_has_no_cap(spark):
+    df = spark.range(1500).withColumn("id", F.col("id").cast("string"))
+    assert len(R.column_values(df, "id")) == 1500 and len(R.column_values(df, "id", max_values=3)) == 3
+
+
 def test_dedup_limits_before_the_shuffle(spark, rows):
     df = skewed(spark)
     got = W.dedup_latest(df, ["k"], [F.desc("day"), F.desc("id")])
@@ -73,18 +85,17 @@ def test_exact_quantile_matches_builtin(spark, rows):
     df = skewed(spark)
     for q in (0.0, 0.25, 0.5, 0.9, 1.0):
         want = df.groupBy("k").agg(F.percentile("v", q).alias("quantile"))
-        for limit in (3, 10_000):
-            got = W.exact_quantile(df, "v", q, ["k"], limit=limit)
+        for chunk in (None, F.floor(F.col("v") / 7)):
+            got = W.exact_quantile(df, "v", q, ["k"], chunk=chunk)
             assert [(k, round(v, 6)) for k, v in rows(got)] == [(k, round(v, 6)) for k, v in rows(want)]
-    assert round(W.exact_quantile(df, "v", 0.5, limit=3).first()[0], 6) == round(df.agg(F.percentile("v", 0.5)).first()[0], 6)
+    assert round(W.exact_quantile(df, "v", 0.5).first()[0], 6) == round(df.agg(F.percentile("v", 0.5)).first()[0], 6)
 
 
 def test_asof_join(spark, rows):
     left = spark.createDataFrame([(1, "a", 10), (2, "a", 5), (3, "b", 7), (4, None, 9)], "id int, k string, t int")
     right = spark.createDataFrame([("a", 5, "five"), ("a", 8, "eight"), ("b", 9, "late")], "k string, rt int, v string")
-    for limit in (0, 100):
-        chunk = (F.col("_time") / 4).cast("int")
-        got = J.asof_join(left, right, ["k"], "t", "rt", {"v": "v"}, ["id"], chunk=chunk, limit=limit)
+    for chunk in (None, (F.col("_time") / 4).cast("int")):
+        got = J.asof_join(left, right, ["k"], "t", "rt", {"v": "v"}, ["id"], chunk=chunk)
         assert rows(got, "id", "v") == [(1, "eight"), (2, "five"), (3, None), (4, None)]
     strict = J.asof_join(left, right, ["k"], "t", "rt", {"v": "v"}, ["id"], strict=True)
     assert rows(strict, "id", "v") == [(1, "eight"), (2, None), (3, None), (4, None)]

@@ -180,7 +180,9 @@ def test_incremental_law(spark, tmp_path, rows):
     store = T.TableStore(spark, str(tmp_path / "s"))
     keys = ["game_pk", "team_id"]
     everything, pair = first.unionByName(second), ["teams__home__team__id", "teams__away__team__id"]
-    refresh = lambda name, src, make, group, touched=None: I.refresh_groups(store, name, src, make, group, keys, target_load=None, touched=touched)
+    home = lambda a, b: F.when(F.col("is_home") == 1, F.col(a)).otherwise(F.col(b))
+    pairs = dict(zip(pair, [home("team_id", "opponent_team_id"), home("opponent_team_id", "team_id")]))
+    refresh = lambda name, src, make, group, touched=None: I.refresh_groups(store, name, src, make, group, keys, target_load=None, touched=touched, in_target=pairs if name == "res" else None)
     refresh("res", first, build, pair)
     refresh("rec", store.read("res"), intermediate.int_team_game_results_to_date, ["team_id"])
     refresh("res", everything, build, pair, second)
@@ -224,6 +226,38 @@ def test_refresh_rows_and_groups(spark, tmp_path, rows):
     assert I.yearly_due(None, "y") and not I.yearly_due(spark.createDataFrame([("2024",), ("x",)], "y string"), "y", dt.date(2024, 5, 1))
 
 
+def test_refresh_drops_rows_that_no_longer_qualify(spark, tmp_path, rows):
+    store = T.TableStore(spark, str(tmp_path / "s"))
+    src = spark.createDataFrame([(1, "a", 5, 1), (2, "b", 6, 1), (2, "b", -9, 2), (3, None, 7, 1), (3, None, -7, 2)], "id int, k string, v int, load_id int")
+    build = lambda d: d.groupBy("id", "k").agg(F.sum("v").alias("v"), F.max("load_id").alias("load_id")).where("v > 0")
+    I.refresh_groups(store, "g", src.where("load_id = 1"), build, ["k"], ["id"])
+    got = I.refresh_groups(store, "g", src, build, ["k"], ["id"])
+    assert rows(got) == rows(build(src)) == [(1, "a", 5, 1)]
+
+
+def test_merge_follows_a_key_into_another_partition(spark, tmp_path, rows):
+    store = T.TableStore(spark, str(tmp_path / "s"))
+    store.merge("t", spark.createDataFrame([(1, "x"), (2, "x")], "id int, part string"), ["id"], partition_by="part")
+    got = store.merge("t", spark.createDataFrame([(1, "y")], "id int, part string"), ["id"], partition_by="part")
+    assert rows(got, "id", "part") == [(1, "y"), (2, "x")]
+    twice = spark.createDataFrame([(1, "y"), (1, "z")], "id int, part string")
+    with pytest.raises(Exception, match="give their order"):
+        T.merge_upsert(got, twice, ["id"]).collect()
+    assert rows(T.merge_upsert(got, twice.where("part = 'y'").union(twice.where("part = 'y'")), ["id"]), "id", "part") == [(1, "y"), (2, "x")]
+
+
+def test_append_of_a_batch_repairs_a_broken_write(spark, tmp_path, rows):
+    store = T.TableStore(spark, str(tmp_path / "s"))
+    batch = spark.createDataFrame([(1,), (2,)], "id int")
+    I.append_batch(store, "t", batch.where("id = 1"), "s", 0, 0)  # what a write that stopped half way left
+    I.append_batch(store, "t", batch, "s", 0, 0)
+    I.append_batch(store, "t", spark.createDataFrame([(3,)], "id int"), "s", 1, 0)
+    assert rows(store.read("t"), "id") == [(1,), (2,), (3,)]
+    broken = tmp_path / "s" / "t" / "v000001_s_000000000002"
+    broken.mkdir()
+    assert store.read("t").count() == 3 and I._next_load(store, "t") == 2
+
+
 def test_streaming_upsert(spark, tmp_path, rows):
     store = T.TableStore(spark, str(tmp_path / "s"))
     land = tmp_path / uuid.uuid4().hex  # a folder no earlier run has a checkpoint for
