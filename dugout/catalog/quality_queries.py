@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..plans import dims, facts
@@ -55,11 +56,11 @@ def q_relationships_where(spark, sf):
 
 @query(
     "test_at_least_one",
-    "select l_suppkey, count(case when l_linenumber = 7 and l_returnflag = 'A' and l_quantity > 40 then 1 end) as filler_column from lineitem group by 1 having count(case when l_linenumber = 7 and l_returnflag = 'A' and l_quantity > 40 then 1 end) = 0",
+    "select l_orderkey, count(case when l_linenumber = 4 then 1 end) as filler_column from lineitem group by 1 having count(case when l_linenumber = 4 then 1 end) = 0",
 )
 def q_at_least_one(spark, sf):
-    li = _t(spark, sf, "lineitem").withColumn("v", F.when((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "A") & (F.col("l_quantity") > 40), 1))
-    return Q.at_least_one(li, "v", ["l_suppkey"])
+    li = _t(spark, sf, "lineitem").withColumn("v", F.when(F.col("l_linenumber") == 4, 1))
+    return Q.at_least_one(li, "v", ["l_orderkey"])
 
 
 @query(
@@ -123,9 +124,10 @@ def q_not_constant(spark, sf):
     return Q.not_constant(_t(spark, sf, "orders"), "o_orderstatus", ["o_custkey"])
 
 
-@query("test_not_empty_string", "select doc_id, trim(text) = '' as is_empty from documents where trim(text) = ''")
+@query("test_not_empty_string", "select doc_id, n_chars from documents where n_chars % 3 = 0 or n_chars % 3 = 1 and trim(text) = ''")
 def q_not_empty(spark, sf):
-    return Q.not_empty_string(_t(spark, sf, "documents"), "text").select("doc_id", F.lit(True).alias("is_empty"))
+    rows = _t(spark, sf, "documents").withColumn("t", F.when(F.col("n_chars") % 3 == 0, "   ").when(F.col("n_chars") % 3 == 1, F.col("text")))
+    return Q.not_empty_string(rows, "t").select("doc_id", "n_chars")
 
 
 @query(
@@ -341,17 +343,26 @@ def q_decimal(spark, sf):
 
 @query(
     "expect_column_shapes",
-    "select o_orderstatus, count(*) as rows_seen, 6 as columns_seen from orders group by 1",
+    """select * from (values ('exists', 'O_MISSING', null), ('exists', 'o_custkey', '5'), ('count', '6', null), ('contain', 'O_GONE', null), ('not_contain', 'o_custkey', null),
+      ('set', 'O_ORDERPRIORITY', null), ('set', null, 'C_NAME'), ('ordered', 'O_ORDERKEY', 'O_CUSTKEY'), ('ordered', 'O_CUSTKEY', 'O_ORDERKEY')) as v(check_name, found, wanted) where (select count(*) from orders) > 0""",
 )
 def q_shapes(spark, sf):
-    """Shape checks on a table's columns, reported beside its row counts."""
+    """Every shape check with a table that fails it, and some that pass; what they report, as rows."""
     o = _t(spark, sf, "orders")
-    wrong = [
-        E.column_exists(o, "o_custkey", 2), E.column_count_equal(o, 6), E.columns_contain_set(o, ["o_orderkey", "O_TOTALPRICE"]),
-        E.columns_match_set(o, o.columns), E.columns_match_ordered_list(o, o.columns), E.columns_not_contain_set(o, ["c_custkey"]), E.values_of_type(o, "o_custkey", "bigint"),
+    without = [c for c in o.columns if c != "o_orderpriority"]
+    swapped = ["o_custkey", "o_orderkey", *o.columns[2:]]
+    failed = [
+        ("exists", E.column_exists(o, "O_MISSING")), ("exists", E.column_exists(o, "o_custkey", 5)), ("exists", E.column_exists(o, "o_custkey", 2)), ("count", E.column_count_equal(o, 7)),
+        ("count", E.column_count_equal(o, 6)), ("contain", E.columns_contain_set(o, ["o_orderkey", "O_GONE"])), ("not_contain", E.columns_not_contain_set(o, ["o_custkey", "c_custkey"])),
+        ("set", E.columns_match_set(o, [*without, "c_name"])), ("set", E.columns_match_set(o, o.columns)), ("ordered", E.columns_match_ordered_list(o, swapped)), ("ordered", E.columns_match_ordered_list(o, o.columns)),
     ]
-    failing = sum(w.count() for w in wrong)
-    return o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows_seen"), F.lit(len(o.columns) + failing).alias("columns_seen"))
+    out = None
+    for name, rows in failed:
+        cols = [c for c in rows.columns if c != "column_index"]
+        last = F.col(cols[1]).cast("string") if len(cols) > 1 else F.lit(None).cast("string")
+        part = rows.select(F.lit(name).alias("check_name"), F.col(cols[0]).cast("string").alias("found"), last.alias("wanted"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # ---- comparisons --------------------------------------------------------------------------------
@@ -455,13 +466,29 @@ def q_audit_symmetry(spark, sf):
     return A.registry()["business_logic_team_standings_symmetry"].failing(m).groupBy("game_pk").agg(F.count(F.lit(1)).alias("pairs"))
 
 
+_VERSIONS = """select o_custkey as player_id, cast(o_orderdate as date) as effective_date, row_number() over w as version_number,
+      lead(cast(o_orderdate as date)) over w as nxt, o_orderkey from orders window w as (partition by o_custkey order by o_orderdate, o_orderkey)"""
+
+
 @query(
     "audit_player_history",
-    "select cast(null as bigint) as player_id, 0::bigint as current_rows from orders where false",
+    f"""with v0 as ({_VERSIONS}), v as (select player_id, version_number, effective_date, coalesce(cast(nxt - 1 as date), date '9999-12-31') as end_date, case when nxt is null or o_orderkey % 97 = 0 then 1 else 0 end as is_current from v0),
+    p as (select *, lag(end_date) over (partition by player_id order by version_number) as prev_end from v),
+    g as (select player_id, cast(sum(is_current) as bigint) as current_rows, cast(sum(case when end_date < effective_date then 1 else 0 end) as bigint) as inverted_ranges,
+      cast(sum(case when effective_date <= prev_end then 1 else 0 end) as bigint) as overlapping_ranges from p group by 1)
+    select * from g where current_rows <> 1 or inverted_ranges > 0 or overlapping_ranges > 0""",
 )
 def q_audit_history(spark, sf):
-    m = {"dim_player": dims.dim_player(fr.rosters(spark, sf), fr.transactions(spark, sf))}
-    return A.registry()["uniqueness_dim_player_one_current_row"].failing(m).select("player_id", "current_rows")
+    """Orders as versions of their customers: some have two current rows or two versions of one day."""
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    day = F.col("o_orderdate").cast("date")
+    v = _t(spark, sf, "orders").withColumns({"effective_date": day, "version_number": F.row_number().over(w), "nxt": F.lead(day).over(w)})
+    history = v.select(
+        F.col("o_custkey").alias("player_id"), "version_number", "effective_date",
+        F.coalesce(F.date_sub("nxt", 1), F.lit("9999-12-31").cast("date")).alias("end_date"),
+        F.when(F.col("nxt").isNull() | (F.col("o_orderkey") % 97 == 0), 1).otherwise(0).alias("is_current"),
+    )
+    return A.registry()["uniqueness_dim_player_one_current_row"].failing({"dim_player": history})
 
 
 @query(
