@@ -660,8 +660,8 @@ def q_replaced_groups(spark, sf):
 
     merged = T.merge_upsert(old, again, ["o_orderkey"], [F.desc("load_id")])
     touched = again.select("o_custkey").distinct()
-    rebuilt = totals(I.in_groups(merged, touched, ["o_custkey"]))
-    return rounded(I.replace_groups(totals(old), touched, rebuilt, {"o_custkey": F.col("o_custkey")}))
+    rebuilt = totals(T.in_groups(merged, touched, ["o_custkey"]))
+    return rounded(T.replace_groups(totals(old), touched, rebuilt, {"o_custkey": F.col("o_custkey")}))
 
 
 @query(

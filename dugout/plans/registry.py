@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..sources.tables import TableStore
+from ..sources.landing import LOAD_ID
+from ..sources.tables import TableStore, high_water, in_groups, literal_rows, newer_than, replace_groups
 from . import dims, facts, intermediate, marts, stage
 
 Tables = dict[str, DataFrame]
@@ -16,13 +19,24 @@ Tables = dict[str, DataFrame]
 
 @dataclass(frozen=True)
 class Model:
-    """``view`` models stay lazy, the others are written."""
+    """``view`` models stay lazy, the others are written.
+
+    ``by_game``: a game's rows come from that game's rows of the inputs that have games,
+    so a refresh may rebuild touched games only.
+    """
 
     inputs: tuple[str, ...]
     build: Callable[[Tables], DataFrame]
     keys: tuple[str, ...] = ()
     view: bool = False
     partition_by: str | None = None
+    by_game: bool = False
+
+
+BY_GAME = {
+    "dim_games", "dim_game_details", "dim_game_umpires", "dim_challenges", "int_player_game_stats", "dim_player_stats", "int_team_game_box", "int_pitches_enriched",
+    "fact_at_bats", "fact_batted_balls", "fact_umpire_performance", "mart_batter_game", "mart_pitcher_game",
+}
 
 
 def _m(build, *inputs: str, keys: tuple[str, ...] = (), view: bool = False, partition_by: str | None = None) -> Model:
@@ -31,7 +45,7 @@ def _m(build, *inputs: str, keys: tuple[str, ...] = (), view: bool = False, part
 
 def models(as_of: dt.date | None = None) -> dict[str, Model]:
     """All models in build order. ``int_pitches_enriched`` has five users and is written once."""
-    return {
+    graph = {
         "stg_play_events": _m(stage.stg_play_events, "play_events", view=True),
         "stg_player_transactions": _m(stage.stg_player_transactions, "player_transactions", view=True),
         "stg_rosters": _m(stage.stg_rosters, "rosters", view=True),
@@ -76,6 +90,7 @@ def models(as_of: dt.date | None = None) -> dict[str, Model]:
         "mart_pitcher_arsenal": _m(marts.mart_pitcher_arsenal, "int_pitches_enriched", "dim_pitch_type", keys=("season", "pitcher_id", "pitch_type_code")),
         "mart_pitcher_game": _m(marts.mart_pitcher_game, "int_pitches_enriched", keys=("game_pk", "pitcher_id")),
     }
+    return {name: replace(m, by_game=name in BY_GAME) for name, m in graph.items()}
 
 
 def build_all(raw: Tables, store: TableStore | None = None, only: list[str] | None = None, as_of: dt.date | None = None) -> Tables:
@@ -93,3 +108,48 @@ def build_all(raw: Tables, store: TableStore | None = None, only: list[str] | No
             df = store.overwrite(name, df, [model.partition_by] if model.partition_by else [])
         t[name] = df
     return t
+
+
+MARKS, TOUCHED, GAME = "_load_marks", "_touched_games", "game_pk"
+
+
+def _marks(raw: Tables) -> dict[str, str | None]:
+    """Newest load of every raw table that has loads."""
+    return {n: high_water(df.select(F.col(LOAD_ID).cast("string").alias("m")), "m") for n, df in raw.items() if LOAD_ID in df.columns}
+
+
+def refresh_all(raw: Tables, store: TableStore, as_of: dt.date | None = None, full_refresh: bool = False) -> Tables:
+    """Brings the stored models to the loads in ``raw``; the result is that of :func:`build_all`.
+
+    Raw tables without a newer load than the last time are taken as unchanged, and so is
+    every model on them. Where all changes are to tables with games, models kept by game
+    rebuild the games of the new loads and replace them; every other model on a changed
+    table is rebuilt whole. A raw table without loads counts as unchanged after the first
+    time: give ``full_refresh`` when one was edited.
+    """
+    marks = _marks(raw)
+    known = {} if full_refresh or not store.exists(MARKS) else {r["name"]: r["mark"] for r in store.read(MARKS).collect()}
+    state = {n: "all" if n not in known else "same" if n not in marks or marks[n] == known[n] else "games" if GAME in df.columns else "all" for n, df in raw.items()}
+    changed = [n for n, s in state.items() if s == "games"]
+    if changed:
+        new = [newer_than(raw[n], LOAD_ID, known[n]).select(GAME) for n in changed]
+        touched = store.overwrite(TOUCHED, functools.reduce(DataFrame.unionByName, new).distinct())
+    t = dict(raw)
+    for name, model in models(as_of).items():
+        if any(i not in t for i in model.inputs):
+            continue
+        seen = {state[i] for i in model.inputs}
+        if model.view:
+            t[name], state[name] = model.build(t), "all" if "all" in seen else "games" if "games" in seen else "same"
+            continue
+        if not store.exists(name) or "all" in seen or "games" in seen and not model.by_game:
+            t[name], state[name] = store.overwrite(name, model.build(t), [model.partition_by] if model.partition_by else []), "all"
+        elif "games" in seen:
+            part = {i: in_groups(t[i], touched, [GAME]) if GAME in t[i].columns else t[i] for i in model.inputs}
+            rows = replace_groups(store.read(name), touched, model.build(part), {GAME: F.col(GAME)})
+            t[name], state[name] = store.overwrite(name, rows, [model.partition_by] if model.partition_by else []), "games"
+        else:
+            t[name], state[name] = store.read(name), "same"
+    done = [(n, marks.get(n)) for n in raw]
+    store.overwrite(MARKS, literal_rows(store.spark, done, "name string, mark string"))
+    return t

@@ -9,9 +9,7 @@ a full rebuild gives, also after out-of-order back-fills.
 from __future__ import annotations
 
 import datetime as dt
-import functools
 import hashlib
-import operator
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +20,7 @@ from ..operators.keys import keyed_join
 from ..operators.windows import dedup_latest, session_counter
 from ..plans.intermediate import RECORD_SPLITS, SEASON_RECORDS, int_team_game_results_to_date
 from ..sources.landing import LOAD_ID
-from ..sources.tables import TableStore, high_water, newer_than, unique_updates
+from ..sources.tables import TableStore, high_water, in_groups, newer_than, replace_groups, unique_updates
 
 
 def refresh_rows(
@@ -52,26 +50,6 @@ def touched_groups(source: DataFrame, keys: Sequence[str], mark: object, load_co
     return newer_than(source, load_column, mark).select(*keys).distinct()
 
 
-def replace_groups(target: DataFrame, touched: DataFrame, rebuilt: DataFrame, in_target: dict[str, Column]) -> DataFrame:
-    """Target without the rows of touched groups, plus the rebuilt ones.
-
-    ``in_target``: group column -> its value in a target row. Rows that no longer qualify
-    go with their group; NULL group values match each other.
-    """
-    marks = {f"_g_{i}": g for i, g in enumerate(in_target)}
-    groups = touched.select(*[F.col(g).alias(m) for m, g in marks.items()]).distinct()
-    same = [in_target[g].eqNullSafe(F.col(m)) for m, g in marks.items()]
-    kept = target.join(groups, functools.reduce(operator.and_, same), "left_anti")
-    return kept.unionByName(rebuilt, allowMissingColumns=True)
-
-
-def in_groups(source: DataFrame, touched: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Source rows of the touched groups, NULL group values included."""
-    groups = touched.select(*[F.col(g).alias(f"_g_{i}") for i, g in enumerate(group)]).distinct()
-    same = [F.col(g).eqNullSafe(F.col(f"_g_{i}")) for i, g in enumerate(group)]
-    return source.join(groups, functools.reduce(operator.and_, same), "left_semi")
-
-
 def refresh_groups(
     store: TableStore,
     name: str,

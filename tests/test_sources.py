@@ -226,6 +226,38 @@ def test_refresh_rows_and_groups(spark, tmp_path, rows):
     assert I.yearly_due(None, "y") and not I.yearly_due(spark.createDataFrame([("2024",), ("x",)], "y string"), "y", dt.date(2024, 5, 1))
 
 
+def test_refresh_all_equals_build_all(spark, tmp_path, rows):
+    """Two loads, the second with earlier games, a changed one and one that is no longer final."""
+    from test_models import raw_games
+
+    def raw(first, second):
+        games = lambda some, load: raw_games(spark, some).withColumn(L.LOAD_ID, F.lit(load))
+        g = games(first, "1") if second is None else games(first, "1").unionByName(games(second, "2"))
+        det = g.select("game_pk", F.lit(None).cast("string").alias("first_pitch"), F.lit("19:10").alias("first_pitch__v_text"), L.LOAD_ID)
+        teams = spark.createDataFrame([(1, 2024, 103), (2, 2024, 104)], "id long, season int, league__id long")
+        return {"games": g, "game_details": det, "teams": teams}
+
+    row = lambda i, day, score, state="Final": (i, day, 1 + i % 2, 2 - i % 2, score, 2, state, 1 + i % 3)
+    old = [row(i, f"2024-05-{i:02d}", i % 7 + 3) for i in range(5, 15)]
+    new = [row(1, "2024-04-01", 9), row(6, "2024-05-06", 1), row(7, "2024-05-07", 9, "In Progress")]
+    store = T.TableStore(spark, str(tmp_path / "s"))
+    only = ["dim_games", "dim_game_type", "int_team_game_results", "int_team_game_results_to_date", "dim_team_standings"]
+    models = {n: m for n, m in registry.models().items() if n in only}
+    original, registry.models = registry.models, lambda as_of=None: models
+    try:
+        registry.refresh_all(raw(old, None), store)
+        later = raw([g for g in old if g[0] not in (6, 7)], new)
+        got, want = registry.refresh_all(later, store), registry.build_all(later)
+        for name in only:
+            assert sorted(got[name].columns) == sorted(want[name].columns)
+            assert rows(got[name], *sorted(want[name].columns)) == rows(want[name], *sorted(want[name].columns)), name
+        versions = store.path("dim_games")
+        registry.refresh_all(later, store)
+        assert store.path("dim_games") == versions  # nothing new, nothing written
+    finally:
+        registry.models = original
+
+
 def test_refresh_drops_rows_that_no_longer_qualify(spark, tmp_path, rows):
     store = T.TableStore(spark, str(tmp_path / "s"))
     src = spark.createDataFrame([(1, "a", 5, 1), (2, "b", 6, 1), (2, "b", -9, 2), (3, None, 7, 1), (3, None, -7, 2)], "id int, k string, v int, load_id int")
