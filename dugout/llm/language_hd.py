@@ -38,7 +38,7 @@ UNKNOWN = "und"
 #: Steps of a direction's components when training texts are added.
 UNIT = 1 << 20
 #: Characters of one slice of a text, texts of one product, trigram vectors that a worker keeps.
-SLICE, BLOCK, MOST_TRIGRAMS = 1 << 20, 64, 30_000
+SLICE, BLOCK, MOST_TRIGRAMS = 1 << 18, 64, 20_000
 
 
 @functools.lru_cache(1)
@@ -78,7 +78,7 @@ class Bundler:
 
     def reset(self) -> None:
         self.place = np.full(ALPHABET**3, -1, np.int32)
-        self.vectors = np.zeros((0, DIMENSIONS), np.float32)
+        self.vectors = np.zeros((0, DIMENSIONS), np.int8)
         self.known = 0
 
     def _learn(self, new: np.ndarray) -> None:
@@ -86,7 +86,7 @@ class Bundler:
         one, two, three = new // ALPHABET**2, new // ALPHABET % ALPHABET, new % ALPHABET
         bound = np.roll(letters, 2, axis=1)[one] * np.roll(letters, 1, axis=1)[two] * letters[three]
         if self.known + len(new) > len(self.vectors):
-            grown = np.zeros((2 * (self.known + len(new)), DIMENSIONS), np.float32)
+            grown = np.zeros((self.known + len(new) + 2048, DIMENSIONS), np.int8)
             grown[: self.known] = self.vectors[: self.known]
             self.vectors = grown
         self.vectors[self.known : self.known + len(new)] = bound
@@ -122,7 +122,7 @@ class Bundler:
         low = rows[0]
         n = int(rows[-1] - low + 1)
         counts = np.bincount((rows - low) * len(columns) + local[at], minlength=n * len(columns)).reshape(n, len(columns))
-        out[low : low + n] += counts.astype(np.float32) @ self.vectors[columns]
+        out[low : low + n] += counts.astype(np.float32) @ self.vectors[columns].astype(np.float32)
 
 
 @functools.lru_cache(1)
