@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import ann_tree, bpe_chunks, dac, exact_dedup, hyperminhash, language_hd, license_scan, packing, url_boost, warc
 from .common import table
+from .url_boost import LOWER, UPPER
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,12 +52,37 @@ def op5_dac_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.round_trip(table(spark, sf_dir, "documents"))
 
 
-@query("op6_hyperminhash")
+@query(
+    "op6_hyperminhash",
+    f"""
+    with recursive w as (
+      select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^ \\t-\\r]+') as ws from documents),
+    s as (select doc_id, case when len(ws) < 2 then ws else list_distinct([ws[i] || ' ' || ws[i + 1] for i in range(1, len(ws))]) end as sh from w),
+    e as (select doc_id, len(sh) as n, unnest(sh) as x from s),
+    pair as (select a.doc_id as a, b.doc_id as b, a.n as na, b.n as nb, count(*) as k from e a join e b on a.x = b.x and a.doc_id < b.doc_id group by all),
+    link as (select a, b from pair where 100 * k >= 80 * (na + nb - k)),
+    sym as (select a, b from link union select b, a from link),
+    reach(a, b) as (select doc_id, doc_id from documents union select reach.a, sym.b from reach join sym on sym.a = reach.b),
+    least as (select a, min(b) as component_id from reach group by a)
+    select s.doc_id, cast(len(sh) as bigint) as n_shingles, component_id, s.doc_id = component_id as kept from s join least on least.a = s.doc_id
+    """,
+)
 def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.groups(table(spark, sf_dir, "documents"), words_each=2, percent=80)
 
 
-@query("op7_warc_chunks")
+@query(
+    "op7_warc_chunks",
+    """
+    with p as (select page_id, coalesce(html, '') as body from pages),
+    h as (select page_id, strlen(body) as payload_bytes, sha1(body) as hex, max(page_id) over (partition by body) as keeper from p),
+    b as (select *, array_to_string([substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * instr('0123456789abcdef', c) - 3, 4) for c in string_split(hex, '')], '') as bits from h)
+    select page_id, cast(payload_bytes as bigint) as payload_bytes,
+      array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum([cast(substr(bits, 5 * i + j, 1) as int) * (32 >> j) for j in range(1, 6)])::int, 1) for i in range(0, 32)], '') as payload_digest,
+      case when page_id = keeper then 'response' else 'revisit' end as record_type, case when page_id <> keeper then keeper end as refers_to
+    from b
+    """,
+)
 def op7_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
