@@ -14,7 +14,6 @@ import operator
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,9 +50,9 @@ def _partial(slots: int):
                 continue
             if once is None:
                 once, more = np.zeros(slots, bool), np.zeros(slots, bool)
-            found, n = np.unique(np.concatenate(_slots(keys, slots)), return_counts=True)
-            more[found] |= once[found] | (n > 1)
-            once[found] = True
+            slot, n = np.unique(np.concatenate(_slots(keys, slots)), return_counts=True)
+            more[slot] |= once[slot] | (n > 1)
+            once[slot] = True
         if once is None:
             return
         for b in range(slots // BLOCK):
@@ -65,13 +64,13 @@ def _partial(slots: int):
     return build
 
 
-def _merged(group: pd.DataFrame) -> pd.DataFrame:
+def _merged(group: pa.Table) -> pa.Table:
     once, more = np.zeros(BLOCK // 8, np.uint8), np.zeros(BLOCK // 8, np.uint8)
-    for o, m in zip(group["once"], group["more"]):
+    for o, m in zip(group["once"].to_pylist(), group["more"].to_pylist()):
         o, m = np.frombuffer(o, np.uint8), np.frombuffer(m, np.uint8)
         more |= m | (once & o)
         once |= o
-    return pd.DataFrame({"block": [group["block"].iloc[0]], "once": [once.tobytes()], "more": [more.tobytes()]})
+    return pa.table({"block": group["block"].slice(0, 1), "once": pa.array([once.tobytes()], pa.binary()), "more": pa.array([more.tobytes()], pa.binary())})
 
 
 def build(keys: DataFrame, slots: int, repeats: bool):
@@ -79,7 +78,7 @@ def build(keys: DataFrame, slots: int, repeats: bool):
 
     Every task makes its own filter; the merge shuffles blocks of bits, never keys.
     """
-    parts = mapped(keys, _partial(slots), PARTS).groupBy("block").applyInPandas(_merged, PARTS)
+    parts = mapped(keys, _partial(slots), PARTS).groupBy("block").applyInArrow(_merged, PARTS)
     bits = bytearray(slots // 8)
     for row in parts.select("block", F.col("more" if repeats else "once").alias("bits")).toLocalIterator():
         bits[row["block"] * BLOCK // 8 : (row["block"] + 1) * BLOCK // 8] = row["bits"]
@@ -93,15 +92,20 @@ def lookup(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (hit(a) & hit(b)).astype(bool)
 
 
+def found(sent, keys: pa.Array) -> np.ndarray:
+    """Which of a column of keys the sent filter reports; no null is."""
+    known = keys.is_valid().to_numpy(zero_copy_only=False)
+    out = np.zeros(len(keys), bool)
+    out[known] = lookup(np.frombuffer(sent.value, np.uint8), _bits(keys))
+    return out
+
+
 def reported(key: Column, sent) -> Column:
     """True where the filter reports the bigint key; false for a null key."""
 
-    @F.pandas_udf("boolean")
-    def test(keys: pd.Series) -> pd.Series:
-        found = keys.notna()
-        out = np.zeros(len(keys), bool)
-        out[found] = lookup(np.frombuffer(sent.value, np.uint8), keys[found].astype("int64").to_numpy())
-        return pd.Series(out)
+    @F.arrow_udf("boolean")
+    def test(keys: pa.Array) -> pa.Array:
+        return pa.array(found(sent, keys))
 
     return test(key)
 

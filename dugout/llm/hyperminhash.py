@@ -136,17 +136,33 @@ def _stack(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, BUCKETS)
 
 
+def _band_keys(regs: pa.Array) -> np.ndarray:
+    """A key for each band of each sketch."""
+    rows = _stack(regs).reshape(-1, BANDS, ROWS).astype(np.uint64)
+    key = np.broadcast_to(_mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * _M1), rows.shape[:2])
+    for i in range(ROWS):
+        key = _mixed(key * _M1 + rows[:, :, i])
+    return key.reshape(-1).view(np.int64)
+
+
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    salts = _mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * _M1)
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
-            part = batch.slice(at, 1024)
-            regs = _stack(part.column(1)).reshape(-1, BANDS, ROWS).astype(np.uint64)
-            key = np.broadcast_to(salts, regs.shape[:2])
-            for i in range(ROWS):
-                key = _mixed(key * _M1 + regs[:, :, i])
-            keys = part.column(0).take(pa.array(np.repeat(np.arange(part.num_rows), BANDS)))
-            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), keys], ["band", "set_key"])
+            yield pa.RecordBatch.from_arrays([pa.array(_band_keys(batch.column(0).slice(at, 1024)))], ["band"])
+
+
+def _repeated_bands(sent):
+    """Band keys that the filter reports, with the class they come from."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                key = pa.array(_band_keys(part.column(1)))
+                at_row = np.flatnonzero(bloom.found(sent, key))
+                yield pa.RecordBatch.from_arrays([key.take(pa.array(at_row)), part.column(0).take(pa.array(at_row // BANDS))], ["band", "set_key"])
+
+    return keep
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,12 +171,13 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(estimate(_stack(batch.column(2)), _stack(batch.column(3))))], ["a", "b", "estimate"])
 
 
-def _packed(words_each: int):
+def _packed(words_each: int, sent):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         squeeze = zstandard.ZstdCompressor(3).compress
         for batch in batches:
+            batch = batch.filter(pa.array(bloom.found(sent, batch.column(1))))
             for at in range(0, batch.num_rows, 256):
                 texts = [t for t in batch.column(0).slice(at, 256).to_pylist() if t]
                 keys = [set_key(shingles(t, words_each)) for t in texts]
@@ -261,8 +278,8 @@ class _Tester:
         self.words_each, self.percent, self.regs = words_each, percent, involved.select("set_key", "regs")
         ids = involved.select(F.xxhash64("rep").alias("k"))
         sent = bloom.build(ids, bloom.slots_for(involved.count()), repeats=False)
-        texts = docs.where(bloom.reported(F.xxhash64("doc_id"), sent)).select("text")
-        self.texts = stored(mapped(texts, _packed(words_each), "set_key binary, packed binary"), "near-texts")
+        texts = docs.select("text", F.xxhash64("doc_id").alias("k"))
+        self.texts = stored(mapped(texts, _packed(words_each, sent), "set_key binary, packed binary"), "near-texts")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         one = self.regs.select(F.col("set_key").alias("a"), F.col("regs").alias("ra"))
@@ -312,10 +329,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words_each: int, perce
         base.where("set_key is not null").groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n_shingles", "regs")).alias("m")).select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.n_shingles").alias("n"), F.col("m.regs").alias("regs")),
         "near-classes",
     )
-    bands = mapped(classes.select("set_key", "regs"), _banded, "band long, set_key binary")
-    # The sketches come from the registers column alone.
-    sent = bloom.build(bands.select("band"), BAND_SLOTS, repeats=True)
-    maybe = stored(bands.where(bloom.reported(F.col("band"), sent)), "near-bands")
+    sent = bloom.build(mapped(classes.select("regs"), _banded, "band long"), BAND_SLOTS, repeats=True)
+    maybe = stored(mapped(classes.select("set_key", "regs"), _repeated_bands(sent), "band long, set_key binary"), "near-bands")
     sizes = stored(maybe.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-sizes")
     held = stored(maybe.join(sizes, "band"), "near-held")
     # Who meets many others in its buckets is close to many: a copied text rather than one of its copies.

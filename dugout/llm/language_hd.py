@@ -23,7 +23,6 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -157,18 +156,18 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([part] * len(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], ["lang", "part", "sums"])
 
 
-def _added(group: pd.DataFrame) -> pd.DataFrame:
+def _added(group: pa.Table) -> pa.Table:
     out = np.zeros(DIMENSIONS, np.int64)
-    for x in group["sums"]:
+    for x in group["sums"].to_pylist():
         out += np.frombuffer(x, np.int64)
-    return pd.DataFrame({"lang": group["lang"].iloc[:1], "part": group["part"].iloc[:1], "sums": [out.tobytes()]})
+    return pa.table({"lang": group["lang"].slice(0, 1), "part": group["part"].slice(0, 1), "sums": pa.array([out.tobytes()], pa.binary())})
 
 
 def prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[list[str], np.ndarray]:
     """Languages in order and their directions, from all rows with a language. Small: a vector a language."""
     rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     schema = "lang string, part int, sums binary"
-    parts = mapped(rows, _sums, schema).groupBy("lang", "part").applyInPandas(_added, schema).groupBy("lang").applyInPandas(_added, schema)
+    parts = mapped(rows, _sums, schema).groupBy("lang", "part").applyInArrow(_added, schema).groupBy("lang").applyInArrow(_added, schema)
     found = sorted((r["lang"], r["sums"]) for r in parts.select("lang", "sums").toLocalIterator())
     langs = [x for x, _ in found]
     vectors = np.array([np.frombuffer(bytes(s), np.int64) for _, s in found], np.float64).reshape(-1, DIMENSIONS)
@@ -220,9 +219,12 @@ def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     judge = _judge(langs, profiles)
     ship(docs.sparkSession)
 
-    @F.pandas_udf("boolean")
-    def told(texts: pd.Series) -> pd.Series:
-        lang, score = judge([None if t is None else str(t) for t in texts])
-        return pd.Series((np.array(lang, object) != UNKNOWN) & (score >= least_score))
+    @F.arrow_udf("boolean")
+    def told(texts: pa.Array) -> pa.Array:
+        out = np.zeros(len(texts), bool)
+        for at in range(0, len(texts), BLOCK):  # a block of texts at a time as Python objects
+            lang, score = judge(texts.slice(at, BLOCK).to_pylist())
+            out[at : at + BLOCK] = (np.array(lang, object) != UNKNOWN) & (score >= least_score)
+        return pa.array(out)
 
-    return docs.where(told(F.col(text_col)))
+    return docs.where(told(F.col(text_col).cast("string")))
