@@ -4,11 +4,12 @@ A rolling hash over the last 32 bytes cuts every text into chunks of some hundre
 places that depend on the bytes around them only, so a passage that documents share yields
 the same chunks in each of them.
 
-Pass one hashes all chunks into a repeat filter; keys are not shuffled for it. Pass two
-encodes what surely occurs once where it stands. Texts without a possibly shared chunk are
-finished there. From the others, each possibly shared chunk goes out once a task as (key,
-bytes), is reduced to one row a key, encoded once, and joined back to all places that named
-it. A document's pieces are then brought together in order and its joins repaired: tokens
+Pass one hashes all chunks into a repeat filter; keys are not shuffled for it. In pass
+two, texts without a possibly shared chunk are finished where they stand. From the others,
+each possibly shared chunk goes out once a task as (key, bytes), is reduced to one row a
+key, encoded once, and joined back to all places that named it. A document's pieces, ids of
+shared chunks and its own runs of text between them, are then brought together in order,
+the runs encoded and the joins repaired: tokens
 around a join are decoded and encoded anew in a window that widens until the outermost
 tokens on both sides agree with those that were there, or until the text's ends.
 
@@ -35,14 +36,14 @@ from .tokens import Encoder, default_tokenizer, encoder
 
 #: Least and most bytes of a chunk; a cut falls on one byte in 256 beyond the least.
 LEAST, MOST = 64, 4096
-#: Slots of the filter over chunk keys (2 MiB when sent); more keys only let more chunks through to the shuffle.
-CHUNK_SLOTS = 1 << 24
+#: Slots of the filter over chunk keys (8 MiB when sent); more keys only let more chunks through to the shuffle.
+CHUNK_SLOTS = 1 << 26
 #: Chunks a task remembers to have sent out already.
 REMEMBERED = 100_000
 
-PLACES = "row long, doc_id long, place int, key binary, ids binary, chunk binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
+PLACES = "row long, doc_id long, place int, key binary, run binary, chunk binary, n_tokens long, ids_sha256 string, decoded_sha256 string"
 _SCHEMA = pa.schema(
-    [("row", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int32()), ("key", pa.binary()), ("ids", pa.binary()), ("chunk", pa.binary()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+    [("row", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int32()), ("key", pa.binary()), ("run", pa.binary()), ("chunk", pa.binary()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
 )
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -96,13 +97,13 @@ def _places(path: str, sent):
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        enc, bits, squeeze = encoder(path), np.frombuffer(sent.value, np.uint8), zstandard.ZstdCompressor(1).compress
+        enc, bits, squeeze = encoder(path), np.frombuffer(sent.value, np.uint8), zstandard.ZstdCompressor(3).compress
         row, told, out = TaskContext.get().partitionId() << 40, set(), []
         size = 0
 
         def local(doc_id, n: int, run: list[bytes]) -> int:
             if run:
-                out.append((row, doc_id, n, None, squeeze(enc.encoded(b"".join(run).decode())), None, None, None, None))
+                out.append((row, doc_id, n, None, squeeze(b"".join(run)), None, None, None, None))
             return n + bool(run)
 
         for doc_id, text in rows_of(batches):
@@ -198,7 +199,7 @@ def _assembled(path: str):
         enc, unpack = encoder(path), zstandard.ZstdDecompressor().decompress
         joiner, current, out = Joiner(enc), None, []
         table = lambda: pa.RecordBatch.from_arrays([pa.array(c) if i else pa.array(c, pa.int64()) for i, c in enumerate(zip(*out))], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        for row, doc_id, ids in rows_of(batches):
+        for row, doc_id, own, data in rows_of(batches):
             if current is None or row != current[0]:
                 if current:
                     out.append((current[1], *_digests(enc, joiner.ids[: joiner.n])))
@@ -207,7 +208,7 @@ def _assembled(path: str):
                     out = []
                 joiner.clear()
                 current = row, doc_id
-            joiner.add(np.frombuffer(unpack(ids), enc.dtype))
+            joiner.add(enc.ids(unpack(data).decode()) if own else np.frombuffer(unpack(data), enc.dtype))
         if current:
             out.append((current[1], *_digests(enc, joiner.ids[: joiner.n])))
         if out:
@@ -224,9 +225,9 @@ def round_trip(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc
     placed = stored(mapped(rows, _places(path, sent), PLACES), "bpe-places")
     chunk = placed.where("chunk is not null").groupBy("key").agg(F.min("chunk").alias("chunk"))
     known = stored(mapped(chunk, _encoded(path), "shared binary, shared_ids binary"), "bpe-chunks")
-    pieces = placed.where("place is not null").select("row", "doc_id", "place", "key", "ids")
-    fetched = pieces.where("key is not null").join(known, F.col("key") == F.col("shared")).select("row", "doc_id", "place", F.col("shared_ids").alias("ids"))
-    whole = pieces.where("key is null").select("row", "doc_id", "place", "ids").unionByName(fetched)
-    ordered = whole.repartition("row").sortWithinPartitions("row", "place").select("row", "doc_id", "ids")
+    pieces = placed.where("place is not null").select("row", "doc_id", "place", "key", "run")
+    fetched = pieces.where("key is not null").join(known, F.col("key") == F.col("shared")).select("row", "doc_id", "place", F.lit(False).alias("own"), F.col("shared_ids").alias("data"))
+    whole = pieces.where("key is null").select("row", "doc_id", "place", F.lit(True).alias("own"), F.col("run").alias("data")).unionByName(fetched)
+    ordered = whole.repartition("row").sortWithinPartitions("row", "place").select("row", "doc_id", "own", "data")
     finished = placed.where("n_tokens is not null").select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
     return finished.unionByName(mapped(ordered, _assembled(path), RESULT))
