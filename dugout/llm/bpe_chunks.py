@@ -9,9 +9,9 @@ two, texts without a possibly shared chunk are finished where they stand. From t
 each possibly shared chunk goes out once a task as (key, bytes), is reduced to one row a
 key, encoded once, and joined back to all places that named it. A document's pieces, ids of
 shared chunks and its own runs of text between them, are then brought together in order,
-the runs encoded and the joins repaired: tokens
-around a join are decoded and encoded anew in a window that widens until the outermost
-tokens on both sides agree with those that were there, or until the text's ends.
+the runs encoded and the joins repaired: tokens around a join are decoded and encoded anew
+in a window that widens until the outermost tokens on both sides agree with those that were
+there, or until the text's ends.
 
 Defined cases: a null text is empty and has no tokens; a null id is kept; repeated rows are
 encoded row by row; an empty table gives no rows; further columns are ignored. A task
