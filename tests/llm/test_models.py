@@ -7,6 +7,7 @@ import gzip
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -210,6 +211,63 @@ def test_licenses_given_lines(spark):
     assert {(r[0], r[1]): r[2] for r in got} == want
 
 
+def names_of(*texts):
+    ready = [license_scan.Template(n, t, 0.8) for n, t in license_scan.TEMPLATES.items()]
+    vocabulary = frozenset(w for t in ready for w in t.counts)
+    return [[m[0] for m in license_scan.scan(t, ready, vocabulary)] for t in texts]
+
+
+def test_licenses_variants():
+    whole = license_scan.TEMPLATES
+    every = [n for n in whole if len(whole[n]) < 5000]
+    assert names_of(*("See the note. " + whole[n] + " More of the same." for n in every)) == [[n] for n in every]
+    gnu = lambda kind, v: f"This program is free software; you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by the Free Software Foundation; either version {v} of the License, or (at your option) any later version."
+    assert names_of(gnu("", "2"), gnu("", "3"), gnu("Lesser ", "2.1"), gnu("Lesser ", "3"), gnu("Affero ", "3"), gnu("", "4")) == [["GPL-2.0-or-later"], ["GPL-3.0-or-later"], ["LGPL-2.1-or-later"], ["LGPL-3.0-or-later"], ["AGPL-3.0-or-later"], []]
+    assert names_of("Licensed under CC BY-NC 5.0.", "Licensed under the Apache License, Version 1.2.") == [[], []]
+    # Parts of a license are none; a license that other text interrupts stays one.
+    assert names_of(whole["MIT"][:480], whole["BSD-3-Clause"][:560]) == [[], []]
+    mixed = " ".join(w + " alpha beta gamma delta" * 8 * (i % 10 == 0) for i, w in enumerate(whole["MIT"].split()))
+    assert names_of(mixed) == [["MIT"]]
+
+
+def plain_matches(text):
+    """Best template by longest common subsequence at every word of a text, as (name, first word) without overlaps."""
+    words, every = license_scan.words(text), []
+    counts = Counter(words)
+    for name, t in license_scan.TEMPLATES.items():
+        t = license_scan.words(t)
+        if (counts & Counter(t)).total() < 0.8 * len(t):
+            continue
+        for at in range(len(words)):
+            part = words[at : at + 2 * len(t)]
+            if part[0] not in t or sum(w in part for w in t) < 0.8 * len(t):
+                continue
+            row = [0] * (len(t) + 1)
+            for size, w in enumerate(part, 1):
+                old, row = row, [0] * (len(t) + 1)
+                for i, x in enumerate(t):
+                    row[i + 1] = old[i] + 1 if x == w else max(row[i], old[i + 1])
+                if row[-1] >= 0.8 * len(t):
+                    every.append((2 * row[-1] - len(t) - (size - row[-1]) / 2, name, at, at + size))
+    best = []
+    for _, name, a, b in sorted(every, key=lambda x: (-x[0], x[3] - x[2])):
+        if all(b <= c or d <= a for _, c, d in best):
+            best.append((name, a, b))
+    return sorted(n for n, _, _ in best)
+
+
+def test_licenses_registered_parameters(spark):
+    from dugout.llm import queries
+
+    sf_dir = "/root/testdata/sf0.001"
+    got = {}
+    for r in queries.QUERIES["op8_license_scan"](spark, sf_dir).collect():
+        got.setdefault(r["doc_id"], []).append(r["license"])
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    want = {d: n for d, text in docs if (n := plain_matches(text or ""))}
+    assert want and {d: sorted(n) for d, n in got.items()} == want
+
+
 def test_alignment_rises_and_is_near_the_longest():
     rng = random.Random(13)
     for _ in range(60):
