@@ -16,7 +16,7 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language cannot be told: null texts and texts without a letter."""
+    """Drops documents whose language cannot be told: texts without a letter, and those unlike all labelled texts of their length."""
     return language_hd.kept_rows(docs)
 
 

@@ -15,6 +15,14 @@ text when there is nothing to learn from; ties go to the language that sorts fir
 long texts are read in slices whose edges overlap; a row with a null id is neither learned
 from nor held out; a row with a null language is not learned from. ``kept_rows`` keeps all
 columns, whatever their names.
+
+``kept_rows`` rejects texts whose cosine is below half of what all but one in a hundred
+labelled texts of their length reach with their own language, that is below what any clean
+text is likely to have. All labelled rows count; one that was learned from is held against
+its language without itself. Lengths are powers of two of the characters other than white
+space, so few letters among many symbols are held against texts of full length; lengths with
+fewer than 100 labelled rows take in the next longer ones, then the next shorter ones. With
+nothing to learn from, texts with a letter stay.
 """
 
 from __future__ import annotations
@@ -38,6 +46,8 @@ UNKNOWN = "und"
 UNIT = 1 << 20
 #: Characters of one slice of a text, texts of one product, trigram vectors that a worker keeps.
 SLICE, BLOCK, MOST_TRIGRAMS = 1 << 18, 64, 20_000
+#: Length classes, steps of a score, labelled rows that a threshold rests on, share of them below, part of their score.
+CLASSES, STEPS, ENOUGH, BELOW, PART = 32, 1000, 100, 0.01, 0.5
 
 
 @functools.lru_cache(1)
@@ -163,15 +173,81 @@ def _added(group: pa.Table) -> pa.Table:
     return pa.table({"lang": group["lang"].slice(0, 1), "part": group["part"].slice(0, 1), "sums": pa.array([out.tobytes()], pa.binary())})
 
 
-def prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[list[str], np.ndarray]:
-    """Languages in order and their directions, from all rows with a language. Small: a vector a language."""
+def _learned(labelled: DataFrame, lang_col: str, text_col: str) -> tuple[list[str], np.ndarray]:
+    """Languages in order and the sums of their texts' directions. Small: a vector a language."""
     rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     schema = "lang string, part int, sums binary"
     parts = mapped(rows, _sums, schema).groupBy("lang", "part").applyInArrow(_added, schema).groupBy("lang").applyInArrow(_added, schema)
     found = sorted((r["lang"], r["sums"]) for r in parts.select("lang", "sums").toLocalIterator())
-    langs = [x for x, _ in found]
-    vectors = np.array([np.frombuffer(bytes(s), np.int64) for _, s in found], np.float64).reshape(-1, DIMENSIONS)
-    return langs, directions(vectors)
+    return [x for x, _ in found], np.array([np.frombuffer(bytes(s), np.int64) for _, s in found], np.float64).reshape(-1, DIMENSIONS) / UNIT
+
+
+def prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[list[str], np.ndarray]:
+    """Languages in order and their directions, from all rows with a language."""
+    langs, sums = _learned(labelled, lang_col, text_col)
+    return langs, directions(sums)
+
+
+def length_class(text: str | None) -> int:
+    return min(CLASSES - 1, sum(map(len, (text or "").split())).bit_length())
+
+
+def _own_scores(langs: list[str], sums: np.ndarray):
+    """(size, step, n): how many labelled texts of a length have a score with their own language."""
+    place, length = {x: i for i, x in enumerate(langs)}, np.sqrt((sums**2).sum(axis=1))
+    profiles = directions(sums)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((CLASSES, STEPS + 1), np.int64)
+
+        def add(rows: list[tuple]) -> None:
+            vectors = directions(_bundler().bundle([r[1] for r in rows]))
+            for (lang, text, learned), vector in zip(rows, vectors):
+                if lang not in place or not vector.any():
+                    continue
+                own = float(vector @ profiles[i := place[lang]])
+                if learned:  # the cosine with the sum of the others
+                    rest = length[i] ** 2 - 2 * own * length[i] + 1
+                    if rest < 1e-6:
+                        continue
+                    own = (own * length[i] - 1) / np.sqrt(rest)
+                total[length_class(text), int(min(1.0, max(0.0, own)) * STEPS)] += 1
+
+        held: list[tuple] = []
+        for row in rows_of(batches, BLOCK):
+            held.append(row)
+            if len(held) == BLOCK:
+                add(held)
+                held = []
+        if held:
+            add(held)
+        sizes, steps = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int32()), pa.array(steps, pa.int32()), pa.array(total[sizes, steps], pa.int64())], ["size", "step", "n"])
+
+    return count
+
+
+def thresholds(counts: np.ndarray) -> np.ndarray:
+    """Least score a length class, from counts of (class, step of the score)."""
+    out = np.zeros(len(counts))
+    for k in range(len(counts)):
+        pool = np.zeros(counts.shape[1], np.int64)
+        for other in [*range(k, len(counts)), *range(k - 1, -1, -1)]:
+            pool = pool + counts[other]
+            if pool.sum() >= ENOUGH:
+                break
+        if n := int(pool.sum()):
+            out[k] = PART * int(np.searchsorted(pool.cumsum(), int(BELOW * n) + 1)) / STEPS
+    return out
+
+
+def _thresholds(docs: DataFrame, langs: list[str], sums: np.ndarray, learned: Column, text_col: str, lang_col: str) -> np.ndarray:
+    rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.coalesce(learned, F.lit(False)).alias("learned"))
+    counts = np.zeros((CLASSES, STEPS + 1), np.int64)
+    if langs:
+        for r in mapped(rows, _own_scores(langs, sums), "size int, step int, n long").groupBy("size", "step").agg(F.sum("n").alias("n")).toLocalIterator():
+            counts[r["size"], r["step"]] = r["n"]
+    return thresholds(counts)
 
 
 def _judge(langs: list[str], profiles: np.ndarray):
@@ -213,18 +289,25 @@ def predictions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return mapped(rows, _predicted(langs, profiles), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out: int = 2, least_score: float = 0.0) -> DataFrame:
-    """Rows whose language can be told, with a cosine of ``least_score`` or more; all columns stay."""
-    langs, profiles = prototypes(docs.where(fold(id_col) != held_out), lang_col, text_col)
-    judge = _judge(langs, profiles)
+def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out: int = 2, least_score: float | None = None) -> DataFrame:
+    """Rows whose language can be told, with a cosine of ``least_score`` or more, or one that labelled rows of their length have; all columns stay."""
+    learned = fold(id_col) != held_out
+    langs, sums = _learned(docs.where(learned), lang_col, text_col)
+    if langs:
+        least = _thresholds(docs, langs, sums, learned, text_col, lang_col) if least_score is None else np.full(CLASSES, least_score)
+    judge = _judge(langs, directions(sums))
     ship(docs.sparkSession)
 
     @F.arrow_udf("boolean")
     def told(texts: pa.Array) -> pa.Array:
         out = np.zeros(len(texts), bool)
         for at in range(0, len(texts), BLOCK):  # a block of texts at a time as Python objects
-            lang, score = judge(texts.slice(at, BLOCK).to_pylist())
-            out[at : at + BLOCK] = (np.array(lang, object) != UNKNOWN) & (score >= least_score)
+            block = texts.slice(at, BLOCK).to_pylist()
+            if langs:
+                lang, score = judge(block)
+                out[at : at + BLOCK] = (np.array(lang, object) != UNKNOWN) & (score >= least[[length_class(t) for t in block]])
+            else:
+                out[at : at + BLOCK] = [any(len(t) > 0 for t in trigrams(text)) for text in block]
         return pa.array(out)
 
     return docs.where(told(F.col(text_col).cast("string")))

@@ -180,6 +180,27 @@ def test_best_bin_first_opens_every_leaf_once():
     assert len(order) == len(leaves) > 20 and set(order) == leaves and set(tree.leaves(rows)) <= leaves
 
 
+def test_language_rejects(spark, make):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    odd = [
+        (900_001, "a !!! ### $$$ %%% 123 " * 1 + "$ % & 4711 " * 20, None),
+        (900_002, "Привет мир, это русский текст о погоде и жизни. " * 5, None),
+        (900_003, "日本語の文章です。これはテストです。" * 5, "en"),
+        (900_004, docs.where("lang = 'de' and length(text) between 200 and 400").first()["text"], None),
+        (900_005, "4711 !!!", None),
+    ]
+    kept = {r["doc_id"] for r in language_hd.kept_rows(docs.union(spark.createDataFrame(odd, docs.schema))).collect()}
+    clean = {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"])}
+    assert kept & {i for i, *_ in odd} == {900_004}
+    assert len(clean - kept) <= 0.002 * len(clean) and kept - {900_004} <= clean
+
+
+def test_language_nothing_learned(make):
+    rows = [(1, "Some text.", None), (2, "123 !!!", None), (3, None, None), (None, "é", None), (5, "日本", None)]
+    kept = language_hd.kept_rows(make(rows, "doc_id long, text string, lang string"))
+    assert sorted(r["text"] for r in kept.collect()) == ["Some text.", "é", "日本"]
+
+
 # Licenses
 
 
