@@ -8,7 +8,9 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,3 +92,14 @@ def rows_of(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tupl
         for at in range(0, batch.num_rows, step):
             part = batch.slice(at, step)
             yield from zip(*(part.column(i).to_pylist() for i in range(part.num_columns)))
+
+
+def slices(batch: pa.RecordBatch, column: int, most_bytes: int, most_rows: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts in ``column`` have at most ``most_bytes`` together; a longer text stands alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        end = min(max(at + 1, int(np.searchsorted(ends, before + most_bytes, "right"))), at + most_rows)
+        yield batch.slice(at, end - at)
+        at = end

@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_tree, bpe_chunks, dac, exact_dedup, hyperminhash, language_hd, license_scan, packing, url_boost, warc
+from . import ann_tree, bpe_chunks, cross_tokens, dac, decontaminate, exact_dedup, hyperminhash, importance, language_hd, license_scan, packing, url_boost, warc
 from .common import table
 from .url_boost import LOWER, UPPER
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: A word of ASCII letters and digits and whatever is beyond ASCII.
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def query(name: str, sql: str | None = None):
@@ -108,3 +110,34 @@ def op9_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_url_boost")
 def op10_url_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_boost.judged(table(spark, sf_dir, "pages"))
+
+
+@query("op11_merge_path")
+def op11_merge_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokens.judged(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_suffix_automaton",
+    f"""
+    with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') as ws from documents),
+    b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') as ws from benchmark),
+    bw as (select item_id, least(10, len(ws)) as w, unnest(list_transform(range(1, len(ws) - least(10, len(ws)) + 2), lambda i: array_to_string(ws[i : i + least(10, len(ws)) - 1], ' '))) as g
+           from b where len(ws) > 0),
+    win as (select distinct item_id, w, g from bw),
+    sizes as (select distinct w from win),
+    dg as (select doc_id, w, unnest(list_transform(range(1, len(ws) - w + 2), lambda i: {{'i': i, 'g': array_to_string(ws[i : i + w - 1], ' ')}})) as s from d, sizes where len(ws) >= w),
+    occ as (select doc_id, s.i as i, dg.w as w, item_id from dg join win on dg.w = win.w and dg.s.g = win.g),
+    hit as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + w)) as p from occ) group by doc_id),
+    its as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, cast(item_id as varchar) as item from occ where item_id is not null) group by doc_id)
+    select d.doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+    from d left join hit on hit.doc_id = d.doc_id left join its on its.doc_id = d.doc_id
+    """,
+)
+def op12_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_position_crc")
+def op13_position_crc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -42,15 +42,19 @@ def byte_letters() -> dict[str, int]:
 
 
 class Encoder:
-    """ids(text): NumPy array of token ids; text_bytes(ids): what the library's decode gives, in UTF-8."""
+    """ids(text): NumPy array of token ids; text_bytes(ids): what the library's decode gives, in UTF-8.
 
-    def __init__(self, path: str):
+    With ``plain``, special tokens' strings in a text are ordinary text.
+    """
+
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = plain
         spec = json.load(open(path, encoding="utf-8"))
         vocab = spec["model"]["vocab"]
-        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.special = [] if plain else [t["content"] for t in spec["added_tokens"]]
         size = 1 + max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])])
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
@@ -116,6 +120,6 @@ class Encoder:
 
 
 @functools.lru_cache(2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """One encoder a Python worker."""
-    return Encoder(path)
+    return Encoder(path, plain)
