@@ -11,8 +11,11 @@ from ..operators import joins as J
 from ..operators import reshape as R
 from ..operators import windows as W
 from ..operators.keys import keyed_join
+from ..sources import loads as L
+from ..sources import partitioned as P
 from ..sources import tables as T
 from ..streaming import incremental as I
+from ..streaming import refresh as G
 from .registry import query, rounded, table
 
 # ---- column functions ---------------------------------------------------------------------------
@@ -685,3 +688,104 @@ def q_orphans(spark, sf):
 @query("incremental_freshness_gate", "select max(o_orderdate) as latest_source, (select max(l_shipdate) from lineitem) as latest_target, max(o_orderdate) > (select max(l_shipdate) from lineitem) as refresh_needed from orders")
 def q_gate(spark, sf):
     return I.refresh_needed(table(spark, sf, "orders"), "o_orderdate", table(spark, sf, "lineitem"), "l_shipdate")
+
+
+# ---- datasets changed partition by partition ------------------------------------------------------
+
+_MONTH = "strftime({}, '%Y%m')"
+_RELOADED = "o_orderdate >= timestamp '1998-03-05' and o_orderdate < timestamp '1998-03-29'"
+_MOVED = f"{_RELOADED} and o_orderpriority = '1-URGENT'"
+
+
+@query(
+    "incremental_changed_partitions",
+    f"""select o_orderkey, case when {_MOVED} then '199712' else {_MONTH.format('o_orderdate')} end as month,
+      case when {_RELOADED} then o_totalprice + 1 else o_totalprice end as o_totalprice,
+      {_MONTH.format('o_orderdate')} = '199803' or {_MONTH.format('o_orderdate')} = '199712' as rewritten from orders""",
+)
+def q_changed_partitions(spark, sf):
+    """About 1 % of the keys change, some of them their partition: two of all partitions are written anew."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_totalprice", F.date_format("o_orderdate", "yyyyMM").alias("month"))
+    path = P.work_folder(spark, "orders-by-month")
+    P.write(orders, path, "month")
+    name = F.col("_metadata.file_name").alias("file")
+    before = P.written(P.read(spark, path, orders.schema).select(name).distinct(), "files-before")
+    again = orders.where((F.col("o_orderdate") >= F.lit("1998-03-05").cast("timestamp_ntz")) & (F.col("o_orderdate") < F.lit("1998-03-29").cast("timestamp_ntz")))
+    moved = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("199712")).otherwise(F.col("month"))
+    changed = again.withColumns({"o_totalprice": F.col("o_totalprice") + 1, "month": moved})
+    after = P.merge(path, changed, ["o_orderkey"], "month").select("o_orderkey", "month", "o_totalprice", name)
+    old = before.withColumnRenamed("file", "_file").withColumn("old", F.lit(True))
+    return after.join(old, F.col("file") == F.col("_file"), "left").select("o_orderkey", "month", "o_totalprice", F.col("old").isNull().alias("rewritten"))
+
+
+@query(
+    "incremental_late_loads",
+    f"select o_orderkey, o_totalprice, {_MONTH.format('o_orderdate')} as load_id, {_MONTH.format('o_orderdate')} in ('199509', '199610', '200107', '200108') as was_late from orders",
+)
+def q_late_loads(spark, sf):
+    """Loads that come late have smaller ids than the newest one seen; a ledger of loads finds them, a largest id would not."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyyMM").alias("load_id"))
+    late = F.col("load_id").isin("199509", "199610", "200107", "200108")
+    seen = orders.where(~late).withColumn("was_late", F.lit(False))
+    path = P.work_folder(spark, "orders-by-load")
+    P.write(seen, path, "load_id")
+    ledger = P.written(L.loads_of("orders", seen), "ledger")
+    new = L.unseen("orders", orders, ledger).withColumn("was_late", F.lit(True))
+    return P.merge(path, new, ["o_orderkey"], "load_id")
+
+
+_EVENT_VALUE = "case when event_type = 'purchase' and extract('hour' from ts) < 12 then value + 1 else value end"
+_EVENT_USER = "case when event_type = 'error' then user_id + 1 else user_id end"
+
+
+def _event_slices(spark, sf):
+    """Events as landed files in no order of time: a first delivery, and a second one that corrects or moves some of them."""
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", F.col("value").cast("decimal(12,2)").alias("value"))
+    first = events.withColumn("delivery", F.lit(1))
+    morning = (F.col("event_type") == "purchase") & (F.hour("ts") < 12)
+    fixed = {"value": F.when(morning, F.col("value") + 1).otherwise(F.col("value")).cast("decimal(12,2)"), "user_id": F.when(F.col("event_type") == "error", F.col("user_id") + 1).otherwise(F.col("user_id"))}
+    second = events.where(morning | (F.col("event_type") == "error")).withColumns(fixed).withColumn("delivery", F.lit(2))
+    return first.unionByName(second)
+
+
+def _user_months(rows):
+    sums = [F.count(F.lit(1)).alias("events"), F.sum("value").alias("total"), F.max("ts").alias("last_ts"), F.max_by("event_type", F.struct("ts", "event_id")).alias("last_type")]
+    return rows.groupBy("user_id", "bucket").agg(*sums)
+
+
+@query(
+    "incremental_stream_groups",
+    f"""with e as (select {_EVENT_USER} as user_id, event_id, ts, event_type, cast({_EVENT_VALUE} as decimal(12,2)) as value from events)
+    select user_id, count(*) as events, round(cast(sum(value) as double), 4) as total, max(ts) as last_ts, arg_max(event_type, (ts, event_id)) as last_type from e group by user_id""",
+)
+def q_stream_groups(spark, sf):
+    """Users rebuilt as files land out of order, micro-batch by micro-batch, and once more in a repeat of everything."""
+    landing, base = P.work_folder(spark, "events-landed"), P.work_folder(spark, "events-by-user")
+    slices = _event_slices(spark, sf)
+    slices.repartition(6, F.xxhash64("event_id", "delivery") % 6).write.parquet(landing)
+    schema = slices.schema
+
+    def prepare(rows):
+        return rows.withColumn("bucket", F.pmod("user_id", F.lit(16)).cast("int"))
+
+    how = {"keys": ["event_id"], "group": ["user_id"], "by": "bucket", "newest": [F.desc("delivery")]}
+    stream = G.stream_group_refresh(spark, landing, schema, prepare, f"{base}/history", f"{base}/users", _user_months, checkpoint=base, files_per_batch=2, file_format="parquet", **how)
+    stream.awaitTermination()
+    again = prepare(spark.read.schema(schema).parquet(landing).where("delivery = 1"))
+    users = G.refresh_groups_by_partition(f"{base}/history", f"{base}/users", again, _user_months, **how)
+    return rounded(users.select("user_id", "events", F.col("total").cast("double").alias("total"), "last_ts", "last_type"))
+
+
+@query(
+    "incremental_stored_totals",
+    f"""with e as (select {_EVENT_USER} as user_id, event_type, cast({_EVENT_VALUE} as decimal(12,2)) as value from events)
+    select user_id, count(*) as n_rows, round(cast(sum(value) as double), 4) as total, cast(count(*) filter (event_type = 'purchase') as bigint) as purchases from e group by user_id""",
+)
+def q_stored_totals(spark, sf):
+    """Totals kept between loads: a second load corrects rows and moves some to another user, and comes twice."""
+    base = P.work_folder(spark, "totals-by-user")
+    rows = _event_slices(spark, sf).withColumn("bucket", F.pmod("user_id", F.lit(16)).cast("int"))
+    measures = {"total": F.col("value"), "purchases": (F.col("event_type") == "purchase").cast("long")}
+    for delivery in (1, 2, 2):
+        out = G.update_totals(f"{base}/history", f"{base}/totals", rows.where(F.col("delivery") == delivery), ["event_id"], ["user_id"], measures, "bucket", [F.desc("delivery")])
+    return rounded(out.select("user_id", "n_rows", F.col("total").cast("double").alias("total"), "purchases"))

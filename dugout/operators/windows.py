@@ -27,7 +27,7 @@ _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 def value_chunk(df: DataFrame, order: str, steps: int = 256) -> Column:
-    """Chunk of an order column by its type: never decreasing in the value, NULL first.
+    """Chunk of an order column by its type: never decreasing in the value, NULL first, NaN after infinity.
 
     Numbers: ``steps`` chunks a doubling, so the grain follows the magnitude. Timestamps:
     the minute. Dates: the day. Texts: the first four characters. A finer grain is the
@@ -37,7 +37,8 @@ def value_chunk(df: DataFrame, order: str, steps: int = 256) -> Column:
     if isinstance(kind, T.NumericType):
         v = c.cast("double")
         grown = F.floor(F.signum(v) * F.log2(1 + F.abs(v)) * steps)
-        chunk = F.when(F.isnan(v), F.lit(2**62)).otherwise(grown.cast("long"))
+        endless = F.when(F.isnan(v), F.lit(2**63 - 1)).when(v == float("inf"), F.lit(2**63 - 2))
+        chunk = endless.otherwise(grown.cast("long"))
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         chunk = F.date_trunc("MINUTE", c)
     elif isinstance(kind, T.StringType):
@@ -252,4 +253,6 @@ def exact_quantile(df: DataFrame, value: str, q: float, keys: Sequence[str] = ()
     picked = placed.where(covers(lo) | covers(hi)).groupBy(*keys).agg(
         F.max(F.when(covers(lo), v)).alias("_lo"), F.max(F.when(covers(hi), v)).alias("_hi"), F.max(at - lo).alias("_w")
     )
-    return picked.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_w")).alias(name))
+    # Differences of infinite values are no numbers: a value that is met needs none.
+    met = (F.col("_lo") == F.col("_hi")) | (F.col("_w") == 0)
+    return picked.select(*keys, F.when(met, F.col("_lo")).otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_w")).alias(name))

@@ -204,7 +204,7 @@ def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Dat
     fields = [f.strip().split() for f in schema.split(",")]
 
     def text(v: object) -> str:
-        return "NULL" if v is None else str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "\\'") + "'"
+        return "NULL" if v is None else str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
     values = ", ".join("(" + ", ".join(text(v) for v in r) + ")" for r in rows)
     names = ", ".join(n for n, _ in fields)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from dugout.plans import dims, facts, intermediate, marts, stage
 from dugout.sources.landing import LOAD_ID, ROW_ID
+from test_models_support import raw_games
 
 
 def pitch_frame(spark, rows, extra=""):
@@ -91,15 +92,6 @@ def test_canonical_position(spark, rows):
     assert rows(got, "position_code", "position_name") == [("8", "Right Field"), ("9", "Outfielder")]
 
 
-def raw_games(spark, rows):
-    schema = f"game_pk long, season string, game_type string, game_date timestamp, official_date string, status__abstract_game_state string, status__coded_game_state string, status__detailed_state string, status__status_code string, status__start_time_tbd boolean, teams__home__team__id long, teams__home__team__name string, teams__home__score int, teams__home__is_winner boolean, teams__away__team__id long, teams__away__team__name string, teams__away__score int, teams__away__is_winner boolean, venue__id long, venue__name string, game_number int, double_header string, day_night string, scheduled_innings int, games_in_series int, series_game_number int, series_description string, is_tie boolean, public_facing boolean, {LOAD_ID} string, {ROW_ID} string"
-    out = []
-    for pk, day, home, away, hs, as_, state, no in rows:
-        hw = None if hs is None else hs > as_
-        out.append((pk, day[:4], "R", dt.datetime.fromisoformat(day + " 19:00:00"), day, "Final", "F", state, "F", False, home, f"T{home}", hs, hw, away, f"T{away}", as_, None if hw is None else not hw, 1, " Park ", 1, "N", "night", 9, 3, no, None, False, True, "1", f"g{pk}"))
-    return spark.createDataFrame(out, schema)
-
-
 def test_dim_games_ties_and_unknown_scores(spark, rows):
     g = dims.dim_games(raw_games(spark, [(1, "2024-05-01", 1, 2, 3, 3, "Final", 1), (2, "2024-05-02", 1, 2, None, None, "Final", 2), (3, "2024-05-03", 1, 2, 1, 4, "Final", 3), (4, "2024-05-03", 1, 2, 0, 0, "Cancelled", 1)]))
     got = rows(g, "game_pk", "is_tie", "home_is_winner", "away_is_winner", "winning_team_id", "run_diff", "is_final", "venue_name")

@@ -11,6 +11,7 @@ from dugout.sources import landing as L
 from dugout.sources import schemas as X
 from dugout.sources import tables as T
 from dugout.streaming import incremental as I
+from test_models_support import raw_games
 
 TEAM = {"id": 1, "name": "Home"}
 
@@ -149,7 +150,7 @@ def test_store_merge_and_logs(spark, tmp_path, rows):
 def test_seeds_and_catalog(spark, tmp_path, rows):
     (tmp_path / "s.csv").write_text("id,name\n1,a\n2,\n")
     assert rows(T.read_seed(spark, str(tmp_path / "s.csv"), "id int, name string")) == [(1, "a"), (2, None)]
-    assert rows(T.literal_rows(spark, [(1, "o'x"), (2, None)], "a int, b string")) == [(1, "o'x"), (2, None)]
+    assert rows(T.literal_rows(spark, [(1, "o'x"), (2, None), (3, "a\\nb\\'")], "a int, b string")) == [(1, "o'x"), (2, None), (3, "a\\nb\\'")]
     for n in ("events_20180101", "events_20180102", "other"):
         spark.sql(f"drop table if exists {n}")
         spark.range(2).write.option("path", str(tmp_path / n)).saveAsTable(n)
@@ -170,8 +171,6 @@ def split_loads(df, by):
 
 def test_incremental_law(spark, tmp_path, rows):
     """full(A u B) == refresh(refresh(A), B), also when B holds earlier games."""
-    from test_models import raw_games
-
     games = raw_games(spark, [(i, f"2024-{4 + i % 5:02d}-{1 + i % 27:02d}", 1 + i % 2, 2 - i % 2, i % 7, i % 5, "Final", 1 + i % 3) for i in range(1, 41)])
     det = spark.createDataFrame([(i, None, "19:10" if i % 3 else None) for i in range(1, 41)], "game_pk long, first_pitch string, first_pitch__v_text string")
     teams = spark.createDataFrame([(1, 2024, 103), (2, 2024, 104)], "id long, season int, league__id long")
@@ -195,8 +194,6 @@ def test_incremental_law(spark, tmp_path, rows):
 
 def test_prior_totals_mode(spark, rows):
     """The parity mode agrees with a rebuild when new games follow the stored ones."""
-    from test_models import raw_games
-
     games = raw_games(spark, [(i, f"2024-05-{i:02d}", 1, 2, i % 4, 2, "Final", 1 + i % 3) for i in (1, 2, 3, 4, 5, 8, 9) if i % 4 != 2])
     det = spark.createDataFrame([(1, None, "19:10")], "game_pk long, first_pitch string, first_pitch__v_text string")
     teams = spark.createDataFrame([(1, 2024, 103)], "id long, season int, league__id long")
@@ -228,8 +225,6 @@ def test_refresh_rows_and_groups(spark, tmp_path, rows):
 
 def test_refresh_all_equals_build_all(spark, tmp_path, rows):
     """Two loads, the second with earlier games, a changed one and one that is no longer final."""
-    from test_models import raw_games
-
     def raw(first, second):
         games = lambda some, load: raw_games(spark, some).withColumn(L.LOAD_ID, F.lit(load))
         g = games(first, "1") if second is None else games(first, "1").unionByName(games(second, "2"))
@@ -251,6 +246,15 @@ def test_refresh_all_equals_build_all(spark, tmp_path, rows):
         for name in only:
             assert sorted(got[name].columns) == sorted(want[name].columns)
             assert rows(got[name], *sorted(want[name].columns)) == rows(want[name], *sorted(want[name].columns)), name
+        # A load with a smaller id comes last, as text and as a number.
+        late = raw([g for g in old if g[0] not in (6, 7)], new)
+        more = raw([row(20, "2024-05-20", 4), row(2, "2024-04-02", 5)], None)
+        late = {n: df.unionByName(more[n].withColumn(L.LOAD_ID, F.lit("0"))) if n != "teams" else df for n, df in late.items()}
+        got, want = registry.refresh_all(late, store), registry.build_all(late)
+        for name in only:
+            assert rows(got[name], *sorted(want[name].columns)) == rows(want[name], *sorted(want[name].columns)), name
+        assert got["dim_games"].where("game_pk in (2, 20)").count() == 2
+        later = late
         versions = store.path("dim_games")
         registry.refresh_all(later, store)
         assert store.path("dim_games") == versions  # nothing new, nothing written
