@@ -7,16 +7,21 @@ empty bucket borrows from a filled one, chosen by fixed random ranks so that equ
 borrow equally.
 
 Bands of six registers name buckets of classes that may be close. With 48 bands a pair at
-the threshold of 0.8 is missed with a probability of 5e-7, a closer one far less often. A
-repeat filter keeps band keys that occur once out of every shuffle. The member of a bucket
+the threshold of 0.8 is missed with a probability of 5e-7, a closer one far less often.
+Band keys are counted as eight bytes each; only repeated ones go on. The member of a bucket
 that meets most others in all its buckets is its centre, most often the text that was
 copied. First every member is tested with its centres: by the Jaccard estimate of the
 sketches, less the share of registers that agree by chance, then by the exact value on the
 shingle sets of the whole texts. That connects most groups. Where members of a centre are
-then still in several components, all pairs between components are compared exactly, in
-blocks of a bounded number of members, as products of 0/1 matrices; a block gives a
-spanning forest of its links, never its pairs. So no link of a bucket is lost, and a large
-group of near copies costs rows in proportion to its members.
+then still in several components, all pairs between components, the centre's included, are
+compared exactly, in blocks of a bounded number of members, as products of 0/1 matrices; a
+block gives a spanning forest of its links, never its pairs. A large group of near copies
+costs rows in proportion to its members.
+
+A pair of centre and member is given up when its estimate falls short by six standard
+deviations, taken for the registers that the smaller set really fills (sets of up to some
+ten shingles are never given up): 1e-9 of the pairs at exactly the threshold by the normal
+tail. Of those, a pair whose group is unsettled is compared all the same.
 
 Defined cases: a null text or one without words has no shingles and is linked with nothing;
 with fewer words than a shingle has, the whole sequence is the one shingle; rows that
@@ -45,12 +50,11 @@ ROWS, BANDS = 6, 48
 BUCKETS = ROWS * BANDS
 #: Bits of the leading-zero count's place and of the mantissa.
 MANTISSA = 10
-#: Slots of the filter over band keys; more keys only let more rows through to the exact count.
-BAND_SLOTS = 1 << 24
 #: Members of a block on its two sides, and columns of a matrix at a time.
 LEFT, RIGHT, COLUMNS = 1024, 512, 4096
-#: Standard deviations by which an estimate may fall short before a pair is given up.
-SLACK = 5.0
+#: Standard deviations by which an estimate may fall short before a pair is given up, and
+#: the variance of borrowed registers against independent ones.
+SLACK, BORROWED = 6.0, 1.25
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -146,29 +150,25 @@ def _band_keys(regs: pa.Array) -> np.ndarray:
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(band key, class) for every band of every sketch."""
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
-            yield pa.RecordBatch.from_arrays([pa.array(_band_keys(batch.column(0).slice(at, 1024)))], ["band"])
-
+            part = batch.slice(at, 1024)
+            rows = pa.array(np.repeat(np.arange(part.num_rows), BANDS))
+            yield pa.RecordBatch.from_arrays([pa.array(_band_keys(part.column(1))), part.column(0).take(rows)], ["band", "class"])
 
-def _repeated_bands(sent):
-    """Band keys that the filter reports, with the class they come from."""
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                key = pa.array(_band_keys(part.column(1)))
-                at_row = np.flatnonzero(bloom.found(sent, key))
-                yield pa.RecordBatch.from_arrays([key.take(pa.array(at_row)), part.column(0).take(pa.array(at_row // BANDS))], ["band", "set_key"])
-
-    return keep
+def least_estimate(n: Column, percent: int) -> Column:
+    """The estimate below which a pair is given up; ``n`` is the size of the smaller set."""
+    t = percent / 100
+    filled = BUCKETS * (1 - F.pow(F.lit(1 - 1 / BUCKETS), n.cast("double"))) / BORROWED
+    return F.lit(t) - SLACK * F.sqrt(t * (1 - t) / filled)
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(estimate(_stack(batch.column(2)), _stack(batch.column(3))))], ["a", "b", "estimate"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(estimate(_stack(batch.column(3)), _stack(batch.column(4))))], ["a", "b", "least", "estimate"])
 
 
 def _packed(words_each: int, sent):
@@ -275,19 +275,22 @@ class _Tester:
     """Tests pairs of classes: estimate, then exact value. Holds only what takes part."""
 
     def __init__(self, docs: DataFrame, involved: DataFrame, words_each: int, percent: int):
-        self.words_each, self.percent, self.regs = words_each, percent, involved.select("set_key", "regs")
-        ids = involved.select(F.xxhash64("rep").alias("k"))
+        self.words_each, self.percent, self.involved = words_each, percent, involved
+        ids = involved.select(F.xxhash64("rep", "text_hash").alias("k"))
         sent = bloom.build(ids, bloom.slots_for(involved.count()), repeats=False)
-        texts = docs.select("text", F.xxhash64("doc_id").alias("k"))
-        self.texts = stored(mapped(texts, _packed(words_each, sent), "set_key binary, packed binary"), "near-texts")
+        texts = docs.select("text", F.xxhash64("doc_id", F.xxhash64("text")).alias("k"))
+        packed = mapped(texts, _packed(words_each, sent), "set_key binary, packed binary")
+        # One row a class, whatever else the filter let through and however often a row repeats.
+        self.texts = stored(packed.groupBy("set_key").agg(F.min("packed").alias("packed")), "near-texts")
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        one = self.regs.select(F.col("set_key").alias("a"), F.col("regs").alias("ra"))
-        two = self.regs.select(F.col("set_key").alias("b"), F.col("regs").alias("rb"))
-        wide = pairs.join(one, "a").join(two, "b").select("a", "b", "ra", "rb")
-        t = self.percent / 100
-        least = t - SLACK * (t * (1 - t) / BUCKETS) ** 0.5
-        close = stored(mapped(wide, _estimated, "a binary, b binary, estimate double").where(F.col("estimate") >= least), "near-close")
+        """Links (a, b) of set keys among pairs (centre, class)."""
+        side = lambda c, key: self.involved.select(F.col("class").alias(c), F.col("set_key").alias(key), F.col("n").alias(f"n{key}"), F.col("regs").alias(f"r{key}"))
+        wide = pairs.join(side("centre", "a"), "centre").join(side("class", "b"), "class")
+        # Sets of too different sizes cannot be close.
+        sized = wide.where(100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb"))
+        tested = sized.select("a", "b", least_estimate(F.least("na", "nb"), self.percent).alias("least"), "ra", "rb")
+        close = stored(mapped(tested, _estimated, "a binary, b binary, least double, estimate double").where("estimate >= least"), "near-close")
         return self._exact(close)
 
     def _exact(self, close: DataFrame) -> DataFrame:
@@ -301,7 +304,7 @@ class _Tester:
         part = lambda salt, n: F.pmod(F.xxhash64("set_key", F.lit(salt)), F.col(n)).cast("int")
         all_parts = lambda n: F.explode(F.sequence(F.lit(0), (F.col(n) - 1).cast("int")))
         cut = members.withColumns({"lefts": F.ceil(F.col("total") / LEFT), "rights": F.ceil(F.col("minor") / RIGHT)})
-        wide = cut.join(self.texts.dropDuplicates(["set_key"]), "set_key")
+        wide = cut.join(self.texts, "set_key")
         key, columns = ["centre", "i", "j"], ["centre", "i", "j", "set_key", "component", "packed"]
         left = wide.withColumn("i", part(1, "lefts")).withColumn("j", all_parts("rights")).select(columns)
         right = wide.where("component <> main").withColumn("j", part(2, "rights")).withColumn("i", all_parts("lefts")).select(columns).toDF(*columns)
@@ -310,11 +313,12 @@ class _Tester:
 
 
 def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of groups (centre, set_key) that hold several components, with what is needed to cut a group into blocks."""
+    """Members of groups (centre, set_key), centres too, that hold several components, with what is needed to cut a group into blocks."""
     known = stored(members.join(labels, members["set_key"] == labels["v"], "left").select("centre", "set_key", F.coalesce("component", "set_key").alias("component")), "near-known")
     share = known.groupBy("centre", "component").agg(F.count(F.lit(1)).alias("members"))
     whole = share.groupBy("centre").agg(F.max(F.struct("members", "component")).alias("m"), F.sum("members").alias("total"), F.count(F.lit(1)).alias("parts"))
-    whole = stored(whole.where("parts > 1").select("centre", F.col("m.component").alias("main"), "total", (F.col("total") - F.col("m.members")).alias("minor")), "near-unsettled")
+    # A group of a centre and one other has been tested whole.
+    whole = stored(whole.where("parts > 1 and total > 2").select("centre", F.col("m.component").alias("main"), "total", (F.col("total") - F.col("m.members")).alias("minor")), "near-unsettled")
     return known.join(whole, "centre")
 
 
@@ -325,26 +329,24 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words_each: int, perce
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
     base = stored(mapped(hashed, _sketched(words_each), "doc_id long, text_hash long, n_shingles long, set_key binary, regs binary"), "near-sets")
-    classes = stored(
-        base.where("set_key is not null").groupBy("set_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n_shingles", "regs")).alias("m")).select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.n_shingles").alias("n"), F.col("m.regs").alias("regs")),
-        "near-classes",
-    )
-    sent = bloom.build(mapped(classes.select("regs"), _banded, "band long"), BAND_SLOTS, repeats=True)
-    maybe = stored(mapped(classes.select("set_key", "regs"), _repeated_bands(sent), "band long, set_key binary"), "near-bands")
-    sizes = stored(maybe.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-sizes")
-    held = stored(maybe.join(sizes, "band"), "near-held")
+    of_class = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n_shingles", "regs")).alias("m")
+    classes = base.where("set_key is not null").groupBy("set_key").agg(of_class)
+    classes = classes.select("set_key", F.xxhash64("set_key").alias("class"), F.col("m.doc_id").alias("rep"), F.col("m.text_hash").alias("text_hash"), F.col("m.n_shingles").alias("n"), F.col("m.regs").alias("regs"))
+    classes = stored(classes, "near-classes")
+    bands = stored(mapped(classes.select("class", "regs"), _banded, "band long, class long"), "near-bands")
+    sizes = stored(bands.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-sizes")
+    held = stored(bands.join(sizes, "band"), "near-held")
     # Who meets many others in its buckets is close to many: a copied text rather than one of its copies.
-    ranks = stored(held.groupBy("set_key").agg(F.sum("size").alias("rank")), "near-ranks")
-    buckets = stored(held.select("band", "set_key").join(ranks, "set_key"), "near-buckets")
-    firsts = stored(buckets.groupBy("band").agg(F.max(F.struct("rank", "set_key")).alias("m")).select("band", F.col("m.set_key").alias("first")), "near-firsts")
-
-    in_use = bloom.build(buckets.select(F.xxhash64("set_key").alias("k")), bloom.slots_for(buckets.count()), repeats=False)
-    involved = stored(classes.where(bloom.reported(F.xxhash64("set_key"), in_use)), "near-involved")
+    ranks = stored(held.groupBy("class").agg(F.sum("size").alias("rank")), "near-ranks")
+    buckets = stored(held.select("band", "class").join(ranks, "class"), "near-buckets")
+    firsts = stored(buckets.groupBy("band").agg(F.max(F.struct("rank", "class")).alias("m")).select("band", F.col("m.class").alias("centre")), "near-firsts")
+    involved = stored(classes.join(ranks, "class", "left_semi"), "near-involved")
     tester = _Tester(docs, involved, words_each, percent)
 
     # All that meet under one centre, whatever the band, are one group.
-    members = stored(buckets.join(firsts, "band").where("set_key <> first").select(F.col("first").alias("centre"), "set_key").distinct(), "near-members")
-    labels = components(tester.links(members.select(F.col("centre").alias("a"), F.col("set_key").alias("b"))))
+    pairs = stored(buckets.join(firsts, "band").select("centre", "class").distinct(), "near-members")
+    labels = components(tester.links(pairs.where("centre <> class")))
+    members = pairs.join(involved.select("class", "set_key"), "class").select("centre", "set_key")
     labels = joined(labels, tester.blocks(_unsettled(members, labels)))
 
     named = classes.select("set_key", "rep").join(labels, classes["set_key"] == labels["v"], "left").select("set_key", "rep", F.coalesce("component", "set_key").alias("component"))

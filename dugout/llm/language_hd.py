@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, rows_of, ship
+from .common import mapped, rows_of, slices
 
 DIMENSIONS = 1024
 #: Letters a to z, and hashed places for all others; 0 is anything but a letter.
@@ -46,6 +46,8 @@ UNKNOWN = "und"
 UNIT = 1 << 20
 #: Characters of one slice of a text, texts of one product, trigram vectors that a worker keeps.
 SLICE, BLOCK, MOST_TRIGRAMS = 1 << 18, 64, 20_000
+#: Trigrams of one product, and bytes of texts that ``kept_rows`` holds as Python objects.
+COLUMNS, STEP_BYTES = 1024, 1 << 22
 #: Length classes, steps of a score, labelled rows that a threshold rests on, share of them below, part of their score.
 CLASSES, STEPS, ENOUGH, BELOW, PART = 32, 1000, 100, 0.01, 0.5
 
@@ -131,7 +133,9 @@ class Bundler:
         low = rows[0]
         n = int(rows[-1] - low + 1)
         counts = np.bincount((rows - low) * len(columns) + local[at], minlength=n * len(columns)).reshape(n, len(columns))
-        out[low : low + n] += counts.astype(np.float32) @ self.vectors[columns].astype(np.float32)
+        for at in range(0, len(columns), COLUMNS):
+            part = slice(at, at + COLUMNS)
+            out[low : low + n] += counts[:, part].astype(np.float32) @ self.vectors[columns[part]].astype(np.float32)
 
 
 @functools.lru_cache(1)
@@ -295,19 +299,17 @@ def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     langs, sums = _learned(docs.where(learned), lang_col, text_col)
     if langs:
         least = _thresholds(docs, langs, sums, learned, text_col, lang_col) if least_score is None else np.full(CLASSES, least_score)
-    judge = _judge(langs, directions(sums))
-    ship(docs.sparkSession)
-
-    @F.arrow_udf("boolean")
-    def told(texts: pa.Array) -> pa.Array:
-        out = np.zeros(len(texts), bool)
-        for at in range(0, len(texts), BLOCK):  # a block of texts at a time as Python objects
-            block = texts.slice(at, BLOCK).to_pylist()
-            if langs:
-                lang, score = judge(block)
-                out[at : at + BLOCK] = (np.array(lang, object) != UNKNOWN) & (score >= least[[length_class(t) for t in block]])
-            else:
-                out[at : at + BLOCK] = [any(len(t) > 0 for t in trigrams(text)) for text in block]
-        return pa.array(out)
-
-    return docs.where(told(F.col(text_col).cast("string")))
+    judge, column = _judge(langs, directions(sums)), docs.columns.index(text_col)
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, column, STEP_BYTES, 1024):
+                texts = part.column(column).to_pylist()
+                if langs:
+                    lang, score = judge(texts)
+                    kept = (np.array(lang, object) != UNKNOWN) & (score >= least[[length_class(t) for t in texts]])
+                else:
+                    kept = np.array([any(len(t) > 0 for t in trigrams(text)) for text in texts], bool)
+                yield part.filter(pa.array(kept))
+
+    return mapped(docs, told, docs.schema)
