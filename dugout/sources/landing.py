@@ -2,6 +2,10 @@
 
 Each job is a narrow projection with ``explode``; a payload is one game, team or
 season, so the arrays that are exploded are small and rows stay where they were read.
+
+Where one thing is in several answers, the newest request wins (``request.at``, unknown
+times last); within one answer the first place wins. What is still tied is told apart by
+its content, so a repeated run gives the same rows.
 """
 
 from __future__ import annotations
@@ -58,15 +62,37 @@ def stamped(df: DataFrame, load_id: str, keys: list[str]) -> DataFrame:
     return df.withColumns({LOAD_ID: F.lit(load_id), ROW_ID: S.surrogate_key([F.lit(load_id), *keys])})
 
 
+_AT = "_at"
+
+
+def newest_requests(payloads: DataFrame, keys: list[str]) -> DataFrame:
+    """Of the answers to one request, told by its parameters ``keys``, the newest."""
+    marks = {f"_request_{k}": F.col(f"request.{k}") for k in keys}
+    return dedup_latest(payloads.withColumns(marks), list(marks), [F.col("request.at").desc_nulls_last()]).drop(*marks)
+
+
+def _one_each(rows: DataFrame, keys: list[str], places: list[str]) -> DataFrame:
+    """One row a key: of the newest request, there at the first place; drops the columns that say so."""
+    rest = [c for c in rows.columns if c != _AT and c not in places]
+    return dedup_latest(rows, keys, [F.col(_AT).desc_nulls_last(), *places, F.xxhash64(*rest)]).select(*rest)
+
+
+def _exploded(payloads: DataFrame, array: str, *more: Column) -> DataFrame:
+    """The structs of an array as columns, with the request's time and the place."""
+    at = F.col("request.at").alias(_AT)
+    return payloads.select(at, *more, F.posexplode(array).alias("_place", "_x")).select(_AT, "_place", *[c for c in ["asked"] if more], "_x.*")
+
+
 def games(schedule: DataFrame) -> DataFrame:
     """One row per finished, non-exhibition game, once per game id."""
-    one = schedule.select(F.explode("dates").alias("d")).select(F.explode("d.games").alias("g")).select("g.*")
+    days = schedule.select(F.col("request.at").alias(_AT), F.posexplode("dates").alias("_day", "d"))
+    one = days.select(_AT, "_day", F.posexplode("d.games").alias("_place", "g")).select(_AT, "_day", "_place", "g.*")
     one = one.where(
         ~F.coalesce("gameType", F.lit("")).isin(*SKIPPED_GAME_TYPES)
         & ~F.coalesce("status.detailedState", F.lit("")).isin(*SKIPPED_GAME_STATES)
         & (F.col("status.abstractGameState") == "Final")
     )
-    return flattened(one.dropDuplicates(["gamePk"]))
+    return flattened(_one_each(one, ["gamePk"], ["_day", "_place"]))
 
 
 def play_events(play_by_play: DataFrame) -> DataFrame:
@@ -145,15 +171,16 @@ def umpires(box_scores: DataFrame) -> DataFrame:
 
 def game_details(live: DataFrame, box_scores: DataFrame, line_scores: DataFrame) -> DataFrame:
     """Weather, decisions and team totals; gaps are filled from box score, then line score."""
-    feed = live.select(F.col("request.gamePk").alias("game_pk"), "gameData", "liveData").dropDuplicates(["game_pk"])
+    pk = F.col("request.gamePk").alias("game_pk")
+    feed = newest_requests(live, ["gamePk"]).select(pk, "gameData", "liveData")
     cleaned = F.transform(
         F.filter("info", lambda i: (i["label"] != "") & (i["value"] != "")),
         lambda i: F.struct(F.lower(F.trim(i["label"])).alias("k"), F.trim(i["value"]).alias("v")),
     )
     # The last of several equal labels wins.
     last_of = F.filter(cleaned, lambda x, i: ~F.exists(F.slice(cleaned, i + 2, F.size(cleaned)), lambda y: y["k"] == x["k"]))
-    box = box_scores.select(F.col("request.gamePk").alias("game_pk"), F.map_from_entries(last_of).alias("info")).dropDuplicates(["game_pk"])
-    line = line_scores.select(F.col("request.gamePk").alias("game_pk"), F.col("decisions").alias("ls")).dropDuplicates(["game_pk"])
+    box = newest_requests(box_scores.select("request", "info"), ["gamePk"]).select(pk, F.map_from_entries(last_of).alias("info"))
+    line = newest_requests(line_scores, ["gamePk"]).select(pk, F.col("decisions").alias("ls"))
     j = feed.join(box, "game_pk", "left").join(line, "game_pk", "left")
 
     def label(name: str) -> Column:
@@ -202,7 +229,7 @@ def game_details(live: DataFrame, box_scores: DataFrame, line_scores: DataFrame)
 
 def transactions(payloads: DataFrame) -> DataFrame:
     """One row per transaction id over all yearly windows."""
-    t = payloads.select(F.explode("transactions").alias("t")).select("t.*").dropDuplicates(["id"])
+    t = _one_each(_exploded(payloads, "transactions"), ["id"], ["_place"])
     player = F.col("person.id")
     return t.select(
         F.col("id").alias("transaction_id"),
@@ -235,9 +262,9 @@ def player_season_transactions(flat: DataFrame) -> DataFrame:
 
 def teams(payloads: DataFrame) -> DataFrame:
     """One row per team and season, never collapsed across seasons."""
-    t = payloads.select(F.col("request.season").alias("asked"), F.explode("teams").alias("t")).select("asked", "t.*")
+    t = _exploded(payloads, "teams", F.col("request.season").alias("asked"))
     t = t.withColumn("season", F.coalesce("season", "asked")).drop("asked")
-    return flattened(t.where(F.col("id").isNotNull()).dropDuplicates(["id", "season"]))
+    return flattened(_one_each(t.where(F.col("id").isNotNull()), ["id", "season"], ["_place"]))
 
 
 def minor_league_teams(payloads: DataFrame) -> DataFrame:
@@ -253,8 +280,7 @@ def draft_picks(payloads: DataFrame) -> DataFrame:
 
 def players(payloads: DataFrame) -> DataFrame:
     """One row per person id; the table is replaced on each load."""
-    people = payloads.select(F.explode("people").alias("p")).select("p.*").drop("education")
-    return flattened(people.dropDuplicates(["id"]))
+    return flattened(_one_each(_exploded(payloads, "people").drop("education"), ["id"], ["_place"]))
 
 
 def award_recipients(payloads: DataFrame) -> DataFrame:
@@ -319,7 +345,7 @@ def people_needing_details(wanted: DataFrame, loaded: DataFrame | None = None, r
 
 def people_details(payloads: DataFrame, fetched_at: Column | None = None) -> DataFrame:
     """Personal details with school counts and the education block as JSON text."""
-    p = payloads.select(F.explode("people").alias("p")).select("p.*").dropDuplicates(["id"])
+    p = _one_each(_exploded(payloads, "people"), ["id"], ["_place"])
     position = F.when(F.col("primaryPosition.code") != "X", F.col("primaryPosition"))
     edu = F.col("education")
     has_schools = edu["highschools"].isNotNull() | edu["colleges"].isNotNull()
@@ -345,26 +371,24 @@ def player_season_stats(payloads: DataFrame) -> DataFrame:
 
     One aggregation instead of three full joins: each group fills its own struct.
     """
-    splits = payloads.select(
-        F.col("request.season").alias("season"), F.col("request.group").alias("grp"), F.explode("stats").alias("s")
-    ).select("season", "grp", F.explode("s.splits").alias("x"))
+    asked = [F.col(f"request.{c}").alias(n) for c, n in (("season", "season"), ("group", "grp"), ("at", _AT))]
+    splits = payloads.select(*asked, F.explode("stats").alias("s")).select("season", "grp", _AT, F.posexplode("s.splits").alias("_place", "x"))
     rows = splits.where(F.col("x.player.id").isNotNull()).withColumn("player__id", F.col("x.player.id"))
-    order = F.create_map(*[F.lit(v) for i, g in enumerate(STAT_GROUPS) for v in (g, i)])
-    rank = F.try_element_at(order, F.col("grp"))
-    picks = [F.min_by("x.player", rank).alias("player"), F.min_by("x.team", rank).alias("team")]
+    rank = F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for i, g in enumerate(STAT_GROUPS) for v in (g, i)]), F.col("grp")), F.lit(len(STAT_GROUPS)))
+    # A player of several teams has a split for each: that of the newest request, there the first, stands for its group.
+    newest = F.struct(F.coalesce(F.unix_micros(_AT), F.lit(-(2**63))).alias("at"), (-F.col("_place")).alias("place"), F.xxhash64("x").alias("h"))
+    lead = F.struct((-rank).alias("rank"), newest.alias("newest"))
+    picks = [F.max_by("x.player", lead).alias("player"), F.max_by("x.team", lead).alias("team")]
     for grp, prefix in STAT_GROUPS.items():
-        mine = F.col("grp") == grp
-        picks += [
-            F.first(F.when(mine, F.col("x.position")), ignorenulls=True).alias(f"{prefix}_position"),
-            F.first(F.when(mine, F.col("x.stat")), ignorenulls=True).alias(f"{prefix}_stat"),
-        ]
+        mine = F.when(F.col("grp") == grp, newest)
+        picks += [F.max_by("x.position", mine).alias(f"{prefix}_position"), F.max_by("x.stat", mine).alias(f"{prefix}_stat")]
     return flattened(rows.groupBy("season", "player__id").agg(*picks).drop("player__id"))
 
 
 def seasons(payloads: DataFrame) -> DataFrame:
     """Season calendar; the table is replaced on each load."""
-    s = payloads.select(F.explode("seasons").alias("s")).select("s.*").withColumn("season", F.col("seasonId").try_cast("int"))
-    return flattened(s.dropDuplicates(["seasonId"]))
+    s = _one_each(_exploded(payloads, "seasons"), ["seasonId"], ["_place"])
+    return flattened(s.withColumn("season", F.col("seasonId").try_cast("int")))
 
 
 def latest_load(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,7 +1,8 @@
 """Explicit schemas of the landed JSON payloads.
 
 Every landed line is one response plus a ``request`` struct with the parameters it
-was fetched with. Field names are those of the payloads (fixed values).
+was fetched with, and the time of the answer (``at``): of answers that hold the same thing
+the newest counts. Field names are those of the payloads (fixed values).
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ _NAMED = "struct<id:bigint,name:string>"
 _CODED = "struct<code:string,description:string>"
 _PERSON = "struct<id:bigint,fullName:string>"
 _POSITION = "struct<code:string,name:string,type:string,abbreviation:string>"
-_REQUEST = "request struct<season:int,gamePk:bigint,teamId:bigint,sportId:int,awardId:string,group:string>"
+_REQUEST = "request struct<season:int,gamePk:bigint,teamId:bigint,sportId:int,awardId:string,group:string,at:timestamp>"
 
 _TEAM_SIDE = f"struct<team:{_NAMED},score:int,isWinner:boolean>"
 

@@ -329,3 +329,41 @@ def test_build_all_registry(spark, tmp_path):
     names = list(registry.models())
     for n, m in registry.models().items():
         assert all(i not in names or names.index(i) < names.index(n) for i in m.inputs)
+
+
+def test_newest_request_wins(spark, tmp_path, rows):
+    """Later answers beat earlier ones, unknown times come last, the first place in an answer counts."""
+
+    def answer(at, *people):
+        return {"request": {"at": at} if at else {}, "people": [{"id": i, "fullName": n} for i, n in people]}
+
+    payloads = landed(spark, tmp_path, "people", X.PEOPLE, answer("2024-01-01T00:00:00Z", (1, "old"), (2, "first"), (2, "second")), answer(None, (1, "unknown"), (3, "only")), answer("2024-02-01T00:00:00Z", (1, "new")))
+    assert rows(L.players(payloads), "id", "full_name") == [(1, "new"), (2, "first"), (3, "only")]
+    assert rows(L.people_details(payloads, F.lit("x")), "id", "full_name") == [(1, "new"), (2, "first"), (3, "only")]
+    again = landed(spark, tmp_path, "tx", X.TRANSACTIONS, *[{"request": {"at": f"2024-0{m}-01T00:00:00Z"}, "transactions": [{"id": 1, "typeCode": str(m)}]} for m in (2, 3, 1)])
+    assert rows(L.transactions(again), "transaction_id", "type_code") == [(1, "3")]
+    twice = landed(spark, tmp_path, "umps", X.BOX_SCORE, *[{"request": {"gamePk": g, "at": f"2024-01-0{d}T00:00:00Z"}, "officials": [{"officialType": "HP", "official": {"id": d}}]} for g, d in ((1, 1), (1, 2), (2, 1))])
+    assert rows(L.umpires(L.newest_requests(twice, ["gamePk"])), "game_pk", "official_id") == [(1, 2), (2, 1)]
+
+
+def test_season_stats_of_several_teams(spark, tmp_path, rows):
+    def answer(at, group, *splits):
+        return {"request": {"season": 2024, "group": group, "at": at}, "stats": [{"splits": [{"player": {"id": p}, "team": {"id": t}, "stat": {"homeRuns": h}} for p, t, h in splits]}]}
+
+    payloads = landed(spark, tmp_path, "stats", X.STATS, answer("2024-01-01T00:00:00Z", "hitting", (1, 10, 5), (1, 20, 6)), answer("2024-02-01T00:00:00Z", "hitting", (1, 30, 7), (1, 40, 8)), answer("2024-03-01T00:00:00Z", "pitching", (1, 50, 9), (2, 60, 1)))
+    assert rows(L.player_season_stats(payloads), "player__id", "team__id", "batting_stat__home_runs", "pitching_stat__home_runs") == [(1, 30, 7, 9), (2, 60, None, 1)]
+
+
+def test_flatten_reads_only_the_fields_it_needs(spark, tmp_path):
+    """Payloads kept as Parquet: officials are read without the players beside them, schedules without what no column needs."""
+
+    def scan(df):
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        return next(x for x in df._jdf.queryExecution().explainString(mode).splitlines() if "ReadSchema" in x)
+
+    for name, schema in (("box", X.BOX_SCORE), ("plays", X.PLAY_BY_PLAY)):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+    umpires = scan(L.umpires(spark.read.parquet(str(tmp_path / "box"))))
+    assert "officials" in umpires and "gamePk" in umpires and "players" not in umpires and "label" not in umpires and "season" not in umpires
+    plays = scan(L.play_events(spark.read.parquet(str(tmp_path / "plays"))).select("game_pk", "play_id"))
+    assert "request:struct<gamePk:bigint>" in plays
