@@ -2,7 +2,10 @@
 
 An audit has failing rows and a population of the same grain and filters. Audits that
 look at one row of one table are declared as labelled checks, so that all of a
-table's audits are counted in a single scan.
+table's audits are told in a single scan.
+
+Fixed values: names and kinds of audits, labels of violations, result columns and limits
+stand in results and are what users filter by.
 """
 
 from __future__ import annotations
@@ -51,22 +54,20 @@ class RowAudit:
     def __post_init__(self):
         self.needs = [self.table]
 
-    def _population(self) -> Column:
+    def inside(self) -> Column:
+        """Whether a row belongs to the audit's population."""
         return F.lit(True) if self.within is None else F.coalesce(self.within, F.lit(False))
 
     def fails(self) -> Column:
-        return self._population() & (S.violations(self.checks) != "")
+        return self.inside() & (S.violations(self.checks) != "")
 
     def failing(self, m: Models) -> DataFrame:
         df = m[self.table]
         keep = [k for k in self.keep if k in df.columns]
-        return df.where(self._population()).select(*keep, S.violations(self.checks).alias(self.label)).where(c(self.label) != "")
+        return df.where(self.inside()).select(*keep, S.violations(self.checks).alias(self.label)).where(c(self.label) != "")
 
     def population(self, m: Models) -> DataFrame:
-        return m[self.table].where(self._population())
-
-    def counts(self) -> list[Column]:
-        return [F.count_if(self.fails()).alias(f"{self.name}__f"), F.count_if(self._population()).alias(f"{self.name}__n")]
+        return m[self.table].where(self.inside())
 
 
 def _confirmed() -> Column:

@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .audits import Models, RowAudit, registry
+from ..functions import scalar as S
+from ..operators.windows import top_n
+from ..sources.partitioned import written
+from ..sources.tables import literal_rows
+from .audits import Audit, Models, RowAudit, registry
 
 SAMPLE_ROWS = 50
 
 
-def sample_json(failing: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
-    """The first n failing rows, by all their values as text, as one JSON text."""
-    text = [F.col(f"`{c}`").cast("string").alias(c) for c in failing.columns]
-    first = failing.select(*text).orderBy(*[F.col(f"`{c}`") for c in failing.columns]).limit(n)
-    return first.select(F.struct("*").alias("r")).agg(F.to_json(F.sort_array(F.collect_list("r"))).alias("sample_json"))
-
-
 @dataclass
 class RowTest:
     """A row-wise test: rows for which ``fails`` holds."""
@@ -67,20 +65,6 @@ def _percent(failures: Column, total: Column) -> Column:
     return F.when(total > 0, (total - failures) * 100.0 / total).otherwise(F.lit(100.0))
 
 
-def _row(audit, failures: Column, total: Column, sample: Column) -> Column:
-    """Result of one audit as a struct."""
-    return F.struct(
-        F.lit(audit.table).alias("table_name"),
-        F.lit(f"{audit.table} :: {audit.name}").alias("model_name"),
-        F.lit(audit.name).alias("test_name"),
-        F.lit(audit.kind).alias("test_type"),
-        failures.alias("failure_count"),
-        total.alias("rows_compared"),
-        _percent(failures, total).alias("perfect_match_pct"),
-        sample.alias("sample_json"),
-    )
-
-
 def runnable(models: Models, only: Sequence[str] | None = None) -> list:
     """Audits of the registry whose tables are all there."""
     known = registry()
@@ -88,35 +72,97 @@ def runnable(models: Models, only: Sequence[str] | None = None) -> list:
     return [known[n] for n in names if all(t in models for t in known[n].needs)]
 
 
+def _texts(columns: Sequence[str]) -> Column:
+    """The values of some columns as texts, in their order."""
+    return F.array(*[F.col(f"`{c}`").cast("string") for c in columns])
+
+
+def _columns(a: Audit | RowAudit, models: Models) -> list[str]:
+    """Columns of an audit's failing rows."""
+    if isinstance(a, RowAudit):
+        return [*[k for k in a.keep if k in models[a.table].columns], a.label]
+    return a.failing(models).columns
+
+
+def _row_audit_parts(df: DataFrame, audits: Sequence[RowAudit], samples: bool) -> DataFrame:
+    """One scan of a table for all its row audits: failing rows by audit, and numbers of rows by the set of audits they belong to."""
+    none = F.lit(None).cast("array<string>")
+
+    def failing(a: RowAudit) -> Column:
+        keep = [k for k in a.keep if k in df.columns]
+        values = F.array(*[F.col(f"`{k}`").cast("string") for k in keep], S.violations(a.checks)) if samples else none
+        return F.when(a.fails(), F.struct(F.lit(a.name).alias("audit"), F.lit(0).cast("long").alias("within"), values.alias("values")))
+
+    bits = F.lit(0).cast("long")
+    for i, a in enumerate(audits):
+        bits = bits + F.when(a.inside(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
+    member = F.struct(F.lit(None).cast("string").alias("audit"), bits.alias("within"), none.alias("values"))
+    found = F.filter(F.array(member, *[failing(a) for a in audits]), lambda x: x.isNotNull())
+    rows = df.select(F.inline(found)).groupBy("audit", "within", "values").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select(F.lit(audits[0].table).alias("table"), "*")
+
+
+def _table_audit_parts(a: Audit, models: Models, samples: bool) -> DataFrame:
+    """Failing rows and population of an audit over groups or several tables, each computed once."""
+    head = [F.lit(a.table).alias("table"), F.lit(a.name).alias("audit")]
+    bad = a.failing(models)
+    values = _texts(bad.columns) if samples else F.lit(None).cast("array<string>")
+    failing = bad.select(values.alias("values")).groupBy("values").agg(F.count(F.lit(1)).alias("n"))
+    whole = a.population(models).agg(F.count(F.lit(1)).alias("n"))
+    kind = lambda k: F.lit(k).cast("long").alias("within")
+    return failing.select(*head, kind(0), "values", "n").unionByName(whole.select(*head, kind(-1), F.lit(None).cast("array<string>").alias("values"), "n"))
+
+
 def run_audits(models: Models, only: Sequence[str] | None = None, samples: bool = True) -> DataFrame:
     """One result row per audit; audits with a missing table are skipped.
 
-    Row audits of a table share one aggregation. Pass stored tables, so that the scans
-    read files rather than recompute models.
+    All row audits of a table are told in one scan of it, samples included: a row gives one
+    count for the set of audits it belongs to and one narrow row for each audit it fails,
+    and equal ones are added up before they are shuffled. What comes out is stored under the
+    checkpoint folder; counts and samples (the first rows by their values, at most
+    ``SAMPLE_ROWS``, chosen before the shuffle) are read from there. Pass stored tables, so
+    that the scans read files rather than recompute models.
     """
     chosen = runnable(models, only)
     by_table: dict[str, list[RowAudit]] = {}
-    parts = []
     for a in chosen:
         if isinstance(a, RowAudit):
             by_table.setdefault(a.table, []).append(a)
-            continue
-        total = a.population(models).agg(F.count(F.lit(1)).alias("n"))
-        sample = sample_json(a.failing(models)).scalar() if samples else F.lit(None).cast("string")
-        one = a.failing(models).agg(F.count(F.lit(1)).alias("f")).withColumns({"n": total.scalar(), "s": sample})
-        parts.append(one.select(_row(a, F.col("f"), F.col("n"), F.col("s")).alias("r")).select("r.*"))
-    for table, audits in by_table.items():
-        counts = models[table].agg(*[c for a in audits for c in a.counts()])
-        rows = []
-        for i, a in enumerate(audits):
-            sample = sample_json(a.failing(models)).scalar() if samples else F.lit(None).cast("string")
-            counts = counts.withColumn(f"s{i}", sample)
-            rows.append(_row(a, F.col(f"{a.name}__f"), F.col(f"{a.name}__n"), F.col(f"s{i}")))
-        parts.append(counts.select(F.inline(F.array(*rows))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    parts = [_row_audit_parts(models[t], audits, samples) for t, audits in by_table.items()]
+    parts += [_table_audit_parts(a, models, samples) for a in chosen if not isinstance(a, RowAudit)]
+    work = written(functools.reduce(DataFrame.unionByName, parts), "audit-rows")
+
+    names = [F.when((F.col("table") == t) & (F.col("within").bitwiseAND(F.lit(1 << i)) != 0), F.lit(a.name)) for t, audits in by_table.items() for i, a in enumerate(audits)]
+    members = work.where("audit is null").groupBy("table", "within").agg(F.sum("n").alias("n"))
+    totals = work.where("audit is not null and within = -1").select(F.col("audit").alias("t_audit"), F.col("n").alias("total"))
+    if names:
+        each = members.select(F.explode(F.filter(F.array(*names), lambda x: x.isNotNull())).alias("t_audit"), "n")
+        totals = totals.unionByName(each.groupBy("t_audit").agg(F.sum("n").alias("total")))
+    failing = work.where("audit is not null and within = 0")
+    counts = failing.groupBy(F.col("audit").alias("f_audit")).agg(F.sum("n").alias("failures"))
+
+    known = [(a.table, f"{a.table} :: {a.name}", a.name, a.kind) for a in chosen]
+    out = literal_rows(work.sparkSession, known, "table_name string, model_name string, test_name string, test_type string")
+    out = out.join(counts, F.col("test_name") == F.col("f_audit"), "left").join(totals, F.col("test_name") == F.col("t_audit"), "left")
+    out = out.withColumns({"failure_count": F.coalesce("failures", F.lit(0)).cast("long"), "rows_compared": F.coalesce("total", F.lit(0)).cast("long")})
+    sample = F.lit(None).cast("string")
+    if samples:
+        out = out.join(_samples(failing, {a.name: _columns(a, models) for a in chosen}), F.col("test_name") == F.col("s_audit"), "left")
+        sample = F.coalesce("sample", F.lit("[]"))
+    percent = _percent(F.col("failure_count"), F.col("rows_compared"))
+    return out.select("table_name", "model_name", "test_name", "test_type", "failure_count", "rows_compared", percent.alias("perfect_match_pct"), sample.alias("sample_json"))
+
+
+def _samples(failing: DataFrame, columns: dict[str, list[str]]) -> DataFrame:
+    """(s_audit, sample): the first failing rows of each audit as JSON."""
+    first = top_n(failing, ["audit"], [F.col("values")], SAMPLE_ROWS)
+    again = F.transform(F.sort_array(F.collect_list(F.struct("values", "n"))), lambda x: F.array_repeat(x["values"], F.least(x["n"], F.lit(SAMPLE_ROWS)).cast("int")))
+    held = first.groupBy(F.col("audit").alias("s_audit")).agg(F.slice(F.flatten(again), 1, SAMPLE_ROWS).alias("rows"))
+
+    def json(names: list[str]) -> Column:
+        return F.to_json(F.transform("rows", lambda v: F.struct(*[v[i].alias(n) for i, n in enumerate(names)])))
+
+    return held.select("s_audit", F.coalesce(*[F.when(F.col("s_audit") == a, json(names)) for a, names in columns.items()]).alias("sample"))
 
 
 def audit_log_rows(results: DataFrame) -> DataFrame:

@@ -294,3 +294,28 @@ def test_serving(spark, rows):
     assert serving.team_players(tt, 1).count() == 1 and serving.team_players(tt, 1, season=2022).count() == 0 and serving.team_players(tt, 1, game_pk=1).count() == 1 and serving.game_player_detail(tt, 1).first().team_name == "A"
     aw = {"dim_award": frame(spark, [("MVP", "Most")], "award_id string, award_name string"), "dim_award_recipient": frame(spark, [("MVP", 7, 1, "2024", "d", "x"), ("MVP", 8, None, "2020", "d", "x")], "award_id string, player_id long, team_id long, season string, award_date string, award_name string"), "dim_teams": tm}
     assert rows(serving.all_awards(aw), "player_id", "award_name", "team") == [(7, "Most", "AB"), (8, "Most", "Unknown")] and serving.player_awards(aw, 7).count() == 1
+
+
+def test_audits_read_a_table_once(spark, tmp_path):
+    """All row audits of a table, samples included, from one scan that reads only their columns."""
+    from dugout.catalog import audit_queries  # noqa: F401
+    from dugout.catalog.audit_queries import _GAME
+
+    path = str(tmp_path / "games")
+    spark.range(50).select(F.col("id").alias("o_orderkey"), (F.col("id") % 3).alias("o_custkey"), F.lit("O").alias("o_orderstatus"), F.lit("2024-01-01").alias("o_orderdate")).select(*[F.expr(e).alias(n) for n, e in _GAME.items()], F.lit(1).alias("unused")).write.parquet(path)
+    games = spark.read.parquet(path)
+    audits = [a for a in A.row_audits() if a.table == "fact_games"]
+    plan = U._row_audit_parts(games, audits, True)._jdf.queryExecution().executedPlan().toString()
+    assert len(audits) == 9 and plan.count("FileScan") == 1 and "unused" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_samples_are_the_first_rows_with_repeats(spark):
+    rows = [(i % 4, -1, 0, 0, 0, 1, 5, 5) for i in range(300)]
+    fg = frame(spark, rows, "game_pk long, home_team_runs long, away_team_runs long, home_team_hits long, away_team_hits long, is_final long, attendance long, game_duration_minutes long")
+    got = U.run_audits({"fact_games": fg}, ["range_fact_games_values"]).first()
+    sample = json.loads(got.sample_json)
+    assert (got.failure_count, got.rows_compared, got.perfect_match_pct) == (300, 300, 0.0)
+    assert len(sample) == U.SAMPLE_ROWS and {s["game_pk"] for s in sample} == {"0"} and sample[0]["violations"] == "negative_runs;"
+    none = U.run_audits({"fact_games": fg.where("false")}, ["range_fact_games_values"]).first()
+    assert (none.failure_count, none.rows_compared, none.perfect_match_pct, none.sample_json) == (0, 0, 100.0, "[]")
