@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,6 +77,35 @@ def asof_join(
     return out.withColumns({o: F.when(ok, F.col(f"_asof.{o}")) for o in take}).drop("_time", "_side", "_pay", "_asof")
 
 
+def version_at(
+    fact: DataFrame,
+    versions: DataFrame,
+    on: dict[str, ColumnLike],
+    at: str,
+    valid: tuple[str, str],
+    take: dict[str, str],
+    row_id: Sequence[str],
+    clean: Callable[[Column], Column] = lambda c: c,
+    chunk: Column | None = None,
+) -> DataFrame:
+    """Left lookup of the dimension version that is valid at the day of a fact row.
+
+    on: version column -> fact expression, both passed through ``clean`` before they are
+    compared; ``valid``: first and last day of a version (an unknown last day is open);
+    take: output column -> version column. Versions of a key do not overlap, so the latest
+    one begun is the only candidate: one ordered stream of both sides finds it, without
+    pairs. ``chunk`` (an expression over ``_time``, such as the year) cuts the rows of a
+    hot key; ``row_id`` tells fact rows apart.
+    """
+    keys = {f"_version_key{i}": (v, f) for i, (v, f) in enumerate(on.items())}
+    first, last = valid
+    known = versions.select(*[clean(F.col(v)).alias(k) for k, (v, _) in keys.items()], F.col(first).alias("_first"), F.struct(F.col(last).alias("end"), F.struct(*[F.col(c).alias(o) for o, c in take.items()]).alias("take")).alias("_version"))
+    rows = fact.withColumns({k: clean(as_col(f)) for k, (_, f) in keys.items()})
+    found = asof_join(rows, known, list(keys), at, "_first", {"_version": "_version"}, row_id, chunk=chunk)
+    open_ = F.col("_version.end").isNull() | (F.col("_version.end") >= F.col(at))
+    return found.withColumns({o: F.when(open_, F.col(f"_version.take.{o}")) for o in take}).drop("_version", "_first", *keys)
+
+
 def not_in(df: DataFrame, keys: Sequence[str], other: DataFrame) -> DataFrame:
     """Rows whose keys do not occur in the other relation (NULL keys there are ignored)."""
     return df.join(other.select(*keys).na.drop(), list(keys), "left_anti")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..operators.joins import conditional_lookup, lookup
+from ..operators.joins import conditional_lookup, lookup, version_at
 from ..operators.windows import dedup_latest, first_last
 from ..sources.landing import LOAD_ID, ROW_ID
 from .dims import draft_year_text, latest_draft_picks
@@ -237,10 +237,12 @@ _STAT_FAMILIES = {
 }
 
 
-def fact_player_stats(player_stats: DataFrame, players: DataFrame, teams: DataFrame, seasons: DataFrame) -> DataFrame:
-    """Season statistics with current player, team and season keys.
+def fact_player_stats(player_stats: DataFrame, players: DataFrame, teams: DataFrame, seasons: DataFrame, valid_on: Column | None = None) -> DataFrame:
+    """Season statistics with player, team and season keys.
 
-    A statistic is read from the first of its column families that has it.
+    The player's key is that of the current version, as written, or, with ``valid_on`` (a day
+    of the row, such as the end of its season), of the version valid then. A statistic is
+    read from the first of its column families that has it.
     """
     have = set(player_stats.columns)
 
@@ -255,8 +257,11 @@ def fact_player_stats(player_stats: DataFrame, players: DataFrame, teams: DataFr
 
     positions = [F.col(c) for c in ("position__code", "fielding_position__code", "batting_position__code") if c in have]
     j = player_stats
-    current = players.where("is_current = 1")
-    j = lookup(j, current, {"player_id": "player__id"}, {"player_key": "player_version_key"})
+    if valid_on is None:
+        j = lookup(j, players.where("is_current = 1"), {"player_id": "player__id"}, {"player_key": "player_version_key"})
+    else:
+        dated = j.withColumn("_valid_on", valid_on)
+        j = version_at(dated, players, {"player_id": "player__id"}, "_valid_on", ("effective_date", "end_date"), {"player_key": "player_version_key"}, [ROW_ID], chunk=F.year("_time"))
     j = lookup(j, teams, {"team_id": "team__id", "season": "season"}, {"team_key": "team_key"})
     j = lookup(j, seasons, {"season": "season"}, {"season_key": "season_key"})
     return j.select(

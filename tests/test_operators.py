@@ -179,3 +179,17 @@ def test_share_and_moments(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("b", 2)], "k string, n int")
     assert rows(W.share_of_total(df, ["k"], "n", "share"), "k", "share") == [("a", 0.25), ("a", 0.75), ("b", 1.0)]
     assert sorted(round(r[0], 3) for r in W.z_score(df, "n", "z").select("z").collect()) == [-1.0, 0.0, 1.0]
+
+
+def test_version_at(spark, rows):
+    """Gaps, open ends, unknown days and keys that only meet when cleaned; a hot key over many years."""
+    import datetime as dt
+
+    d = dt.date
+    versions = spark.createDataFrame([(" a", d(2020, 1, 1), d(2020, 6, 30), "a1"), ("a ", d(2020, 8, 1), None, "a2"), ("b", d(2021, 1, 1), d(2021, 1, 1), "b1")], "k string, since date, until date, version string")
+    days = [d(2019, 12, 31), d(2020, 1, 1), d(2020, 6, 30), d(2020, 7, 1), d(2020, 8, 1), d(2099, 1, 1)]
+    fact = spark.createDataFrame([(i, "a", x) for i, x in enumerate(days)] + [(10, "b", d(2021, 1, 1)), (11, "b", d(2021, 1, 2)), (12, None, d(2021, 1, 1)), (13, "a", None)], "id int, who string, day date")
+    for chunk in (None, F.year("_time")):
+        got = J.version_at(fact, versions, {"k": "who"}, "day", ("since", "until"), {"found": "version"}, ["id"], F.trim, chunk)
+        assert rows(got, "id", "found") == [(0, None), (1, "a1"), (2, "a1"), (3, None), (4, "a2"), (5, "a2"), (10, "b1"), (11, None), (12, None), (13, None)]
+        assert got.columns == [*fact.columns, "found"]
