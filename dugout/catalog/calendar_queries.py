@@ -122,3 +122,38 @@ def q_series(spark, sf):
     """A number series joined to group sizes: every supplier's 1..count."""
     c = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("c"))
     return c.select("l_suppkey", F.explode(F.sequence(F.lit(1).cast("bigint"), "c")).alias("n"))
+
+
+@query(
+    "date_spine_minutes",
+    """with b as (select min(o_orderdate) as a, max(o_orderdate) as z from orders), m as (select t.m as at from b, unnest(generate_series(a, z - interval 1 microsecond, interval 1 minute)) as t(m)),
+    n as (select o_orderdate as at, count(*) as n from orders group by 1)
+    select cast(date_trunc('month', m.at) as date) as month, count(*) as minutes, cast(coalesce(sum(n), 0) as bigint) as orders, max(m.at) as last_minute from m left join n on n.at = m.at group by 1""",
+)
+def q_spine_minutes(spark, sf):
+    """Every minute between the first and the last order, dealt over tasks in blocks."""
+    o = table(spark, sf, "orders")
+    bounds = o.agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("z"))
+    minutes = R.bounds_spine(bounds, "minute", "a", "z", "at", tasks=64)
+    counts = o.groupBy(F.col("o_orderdate").alias("_at")).agg(F.count(F.lit(1)).alias("n"))
+    joined = minutes.join(counts, F.col("at") == F.col("_at"), "left")
+    return joined.groupBy(F.trunc("at", "month").alias("month")).agg(F.count(F.lit(1)).alias("minutes"), F.coalesce(F.sum("n"), F.lit(0)).alias("orders"), F.max("at").alias("last_minute"))
+
+
+@query("series_of_numbers", "select cast(g as bigint) as quantity, count(l_orderkey) as lines from unnest(generate_series(1, 60)) as t(g) left join lineitem on l_quantity = g group by 1")
+def q_series(spark, sf):
+    """Every quantity from 1 to 60, those without lines too."""
+    numbers = R.generate_series(spark, 60, "quantity")
+    lines = table(spark, sf, "lineitem").groupBy(F.col("l_quantity").cast("long").alias("q")).agg(F.count_if(F.col("l_quantity") == F.col("l_quantity").cast("long")).alias("lines"))
+    return numbers.join(lines, F.col("quantity") == F.col("q"), "left").select("quantity", F.coalesce("lines", F.lit(0)).alias("lines"))
+
+
+@query(
+    "date_spine_literal_bounds",
+    """select cast(date_trunc('month', d) as date) as month, count(*) as days, cast(coalesce(sum(n), 0) as bigint) as orders from unnest(generate_series(timestamp '1994-12-31', timestamp '2001-09-14', interval 1 day)) as t(d)
+    left join (select cast(o_orderdate as date) as o, count(*) as n from orders group by 1) on o = cast(d as date) group by 1""",
+)
+def q_spine_literal(spark, sf):
+    days = R.date_spine(spark, "day", "1994-12-31", "2001-09-15")
+    orders = table(spark, sf, "orders").groupBy(F.col("o_orderdate").cast("date").alias("o")).agg(F.count(F.lit(1)).alias("n"))
+    return days.join(orders, F.col("date_day") == F.col("o"), "left").groupBy(F.trunc("date_day", "month").alias("month")).agg(F.count(F.lit(1)).alias("days"), F.coalesce(F.sum("n"), F.lit(0)).alias("orders"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import math
 import re
 from collections.abc import Iterable, Sequence
 
@@ -210,18 +212,38 @@ def generate_series(spark: SparkSession, n: int, name: str = "generated_number")
     return spark.range(1, n + 1).withColumnRenamed("id", name)
 
 
-def bounds_spine(bounds: DataFrame, part: str, start: str, end: str, name: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Times from start (inclusive) to end (exclusive) in steps of one part, per bounds row."""
-    step = F.expr(f"INTERVAL 1 {part.upper()}")
-    # Zero steps when start >= end: the built-in sequence would count downwards.
-    stop = F.col(end) - F.expr("INTERVAL 1 MICROSECOND")
-    days = F.when(F.col(start) < F.col(end), F.sequence(F.col(start), stop, step))
-    return bounds.select(*keep, F.explode(days).alias(name))
+#: Steps of a spine that stand in one array.
+SPINE_BLOCK = 4096
+# The least seconds of a step, from which the number of steps is bounded.
+_LEAST_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86_400, "week": 604_800, "month": 28 * 86_400, "quarter": 89 * 86_400, "year": 365 * 86_400}
+
+
+def _step(part: str, i: Column, start: Column) -> Column:
+    return F.timestamp_add(part.upper(), i, start)
+
+
+def bounds_spine(bounds: DataFrame, part: str, start: str, end: str, name: str, keep: Sequence[str] = (), tasks: int | None = None) -> DataFrame:
+    """Times from start (inclusive) to end (exclusive) in steps of one part, per bounds row.
+
+    A row becomes blocks of at most ``SPINE_BLOCK`` steps, so no array grows with the span;
+    ``tasks`` deals the blocks over that many tasks.
+    """
+    a, b = F.col(start), F.col(end)
+    # Whole steps between, and one more where a month is shorter than the day of the start.
+    last = F.when(a < b, F.timestamp_diff(part.upper(), a, b) + 1)
+    blocks = bounds.withColumn("_last", last).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_last") / SPINE_BLOCK))))
+    if tasks:
+        blocks = blocks.repartition(tasks, *keep, "_block")
+    low = F.col("_block") * SPINE_BLOCK
+    steps = blocks.withColumn("_i", F.explode(F.sequence(low, F.least(F.col("_last"), low + SPINE_BLOCK - 1))))
+    return steps.withColumn("_at", _step(part, F.col("_i"), a)).where(F.col("_at") < b).select(*keep, F.col("_at").alias(name))
 
 
 def date_spine(spark: SparkSession, part: str, start: str, end: str) -> DataFrame:
-    """Spine ``date_<part>`` over literal bounds, the end excluded."""
-    bounds = spark.range(1).select(F.to_timestamp(F.lit(start)).alias("a"), F.to_timestamp(F.lit(end)).alias("b"))
+    """Spine ``date_<part>`` over literal bounds, the end excluded: a distributed range of steps."""
+    first, last = dt.datetime.fromisoformat(start), dt.datetime.fromisoformat(end)
+    most = max(1, math.ceil((last - first).total_seconds() / _LEAST_SECONDS[part]) + 1)
     name = f"date_{part}"
-    out = bounds_spine(bounds, part, "a", "b", name)
+    at = _step(part, F.col("i") - 1, F.to_timestamp(F.lit(start)))
+    out = generate_series(spark, most, "i").select(at.alias(name)).where(F.col(name) < F.to_timestamp(F.lit(end)))
     return out.withColumn(name, F.col(name).cast("date")) if part in ("day", "week", "month", "quarter", "year") else out
