@@ -521,15 +521,23 @@ def q_stats_by_date(spark, sf_dir):
 # ---- games fact ---------------------------------------------------------------------------------
 
 
-def venues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = fr.games(spark, sf_dir).select(F.col("venue__id").cast("string").alias("venue_id"), "venue__name").distinct()
+_CODES = ["season", "game_type", "venue__id", "venue__name", *[f"status__{c}" for c in ("coded_game_state", "abstract_game_state", "detailed_state", "status_code", "abstract_game_code")]]
+
+
+def game_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the small dimensions are made of, distinct; all of them start from this one exchange."""
+    return fr.games(spark, sf_dir).select(*_CODES).distinct()
+
+
+def venues(codes: DataFrame) -> DataFrame:
+    ids = codes.select(F.col("venue__id").cast("string").alias("venue_id"), "venue__name").distinct()
     extra = ["venue_link", "location_name", "first_year_of_play", "spring_venue_id", "spring_venue_link"]
     return dims.dim_venue(ids.select("venue_id", F.col("venue__name").alias("venue_name"), *[F.lit(None).cast("string").alias(c) for c in extra]))
 
 
-def season_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def season_rows(spark: SparkSession, sf_dir: str, codes: DataFrame | None = None) -> DataFrame:
     """Seasons seen in the games, with phases at fixed days of the year."""
-    years = fr.games(spark, sf_dir).select(F.col("season").try_cast("int").alias("season")).distinct()
+    years = (game_codes(spark, sf_dir) if codes is None else codes).select(F.col("season").try_cast("int").alias("season")).distinct()
     marks = {
         "spring_start_date": "-02-20", "spring_end_date": "-03-27", "regular_season_start_date": "-03-28", "regular_season_end_date": "-09-30",
         "post_season_start_date": "-10-01", "post_season_end_date": "-11-02", "all_star_date": "-07-12",
@@ -573,7 +581,7 @@ def q_dim_season(spark, sf_dir):
 
 
 def game_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fr.games(spark, sf_dir)
+    raw, codes = fr.games(spark, sf_dir), game_codes(spark, sf_dir)
     det = fr.details(spark, sf_dir)
     missing = {
         c: F.lit(None).cast("bigint" if c.endswith("_id") else "string")
@@ -583,12 +591,12 @@ def game_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         dims.dim_games(raw),
         det.withColumns(missing),
         intermediate.int_team_game_box(player_lines(spark, sf_dir)),
-        dims.dim_date(spark, season_rows(spark, sf_dir), as_of=_LAST_DAY),
+        dims.dim_date(spark, season_rows(spark, sf_dir, codes), as_of=_LAST_DAY),
         dims.dim_teams(fr.teams(spark, sf_dir)),
-        venues(spark, sf_dir),
-        dims.dim_season(season_rows(spark, sf_dir)),
-        dims.dim_game_type(raw),
-        dims.dim_game_status(raw),
+        venues(codes),
+        dims.dim_season(season_rows(spark, sf_dir, codes)),
+        dims.dim_game_type(codes),
+        dims.dim_game_status(codes),
     )
 
 

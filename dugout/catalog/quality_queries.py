@@ -111,7 +111,21 @@ def q_expression(spark, sf):
 )
 def q_ranges(spark, sf):
     o = _t(spark, sf, "orders").select("o_custkey", F.col("o_orderdate").alias("a"), (F.col("o_orderdate") + F.expr("INTERVAL 40 DAYS")).alias("b"))
-    return Q.mutually_exclusive_ranges(o, "a", "b", "o_custkey")
+    return Q.mutually_exclusive_ranges(o, "a", "b", "o_custkey", small_groups=True)
+
+
+@query(
+    "test_mutually_exclusive_ranges_global",
+    """with r as (select l_shipdate + to_seconds(l_orderkey % 86400) as lower_bound, l_shipdate + to_seconds(l_orderkey % 86400 + l_linenumber) as upper_bound from lineitem),
+    w as (select *, lead(lower_bound) over (order by lower_bound, upper_bound) as next_lower_bound, row_number() over (order by lower_bound, upper_bound) = count(*) over () as is_last_record from r)
+    select lower_bound, upper_bound, next_lower_bound, is_last_record from w where not (coalesce(lower_bound < upper_bound, false) and coalesce(upper_bound <= next_lower_bound, is_last_record, false))""",
+)
+def q_ranges_global(spark, sf):
+    """All lines are one group: its rows are spread over chunks of time."""
+    at = lambda n: F.col("l_shipdate") + F.make_dt_interval(secs=n.cast("decimal(18,6)"))
+    second = F.col("l_orderkey") % 86400
+    li = _t(spark, sf, "lineitem").select(at(second).alias("a"), at(second + F.col("l_linenumber")).alias("b"))
+    return Q.mutually_exclusive_ranges(li, "a", "b")
 
 
 @query("test_not_accepted_values", "select distinct o_orderpriority as value_field from orders where o_orderpriority in ('1-URGENT', '9-NONE')")

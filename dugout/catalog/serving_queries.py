@@ -76,7 +76,7 @@ def q_game_players(spark, sf):
     select tm.id as team_id, tm.season, v.venue_name from tm join v on v.venue_id = cast(tm.venue__id as varchar)""",
 )
 def q_team_venues(spark, sf):
-    t = {"dim_teams": star(spark, sf)["dim_teams"], "dim_venue": M.venues(spark, sf)}
+    t = {"dim_teams": star(spark, sf)["dim_teams"], "dim_venue": M.venues(M.game_codes(spark, sf))}
     return serving.team_venue(t).select("team_id", "season", "venue_name")
 
 
@@ -195,6 +195,17 @@ def q_status(spark, sf):
     return _summary(spark, sf).select("model_name", "status", F.size("issues").alias("issue_count"), "status_color")
 
 
+@query(
+    "runs_warning_texts",
+    f"""with {_LIMITS}, w as (select *, end_record_count - start_record_count - records_added as beyond from c where status_color = 'warning')
+    select model_name, case when end_record_count = 0 then 'end_record_count is 0 — destination table empty after load' when records_added = 0 then 'records_added is 0 — no new rows loaded this run' end as zero_warning,
+      case when beyond <> 0 then format('reconciliation mismatch — start ({{:,}}) + added ({{:,}}) = {{:,}} expected, but end is {{:,}} ({{:,}} {{}} than expected)', start_record_count, records_added, start_record_count + records_added, end_record_count, abs(beyond), case when beyond > 0 then 'more' else 'fewer' end) end as recon_warning from w""",
+)
+def q_warning_texts(spark, sf):
+    warned = _summary(spark, sf).where("status_color = 'warning'")
+    return warned.select("model_name", F.get("zero_warnings", F.lit(0)).alias("zero_warning"), F.get("recon_warnings", F.lit(0)).alias("recon_warning"))
+
+
 @query("runs_overall_health", f"with {_LIMITS} select case when count(*) = 0 then 'unknown' when sum(case when status_color = 'danger' then 1 else 0 end) > 0 then 'red' when sum(case when status_color = 'warning' then 1 else 0 end) > 0 then 'amber' else 'green' end as health from c")
 def q_health(spark, sf):
     return runs.overall_health(_summary(spark, sf))

@@ -139,8 +139,14 @@ def mutually_exclusive_ranges(
     gaps: str = "allowed",
     zero_length: bool = False,
     where: Condition = None,
+    small_groups: bool = False,
 ) -> DataFrame:
-    """Ranges that are inverted, overlap their successor, or break the rule on gaps."""
+    """Ranges that are inverted, overlap their successor, or break the rule on gaps.
+
+    Rows are cut into chunks of their lower bound, so that one group may hold most of them.
+    ``small_groups`` says that the grain bounds a group (the versions of a player, the
+    orders of a customer): then one plain window does.
+    """
     rules = {"not_allowed": lambda a, b: a == b, "allowed": lambda a, b: a <= b, "required": lambda a, b: a < b}
     if gaps not in rules:
         raise ValueError("gaps must be not_allowed, allowed or required")
@@ -148,7 +154,7 @@ def mutually_exclusive_ranges(
     rows = rows_where(df, where).select(*keys, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound"))
     names = ["partition_by_col"] if partition_by else []
     marks = {"_has_next": F.lit(True), "next_lower_bound": F.col("lower_bound")}
-    near = neighbor(rows, names, ["lower_bound", "upper_bound"], marks, lead=True, chunk=value_chunk(rows, "lower_bound"))
+    near = neighbor(rows, names, ["lower_bound", "upper_bound"], marks, lead=True, chunk=None if small_groups and partition_by else value_chunk(rows, "lower_bound"))
     lo, hi, nxt = F.col("lower_bound"), F.col("upper_bound"), F.col("next_lower_bound")
     fine = F.coalesce(lo <= hi if zero_length else lo < hi, F.lit(False)) & F.coalesce(rules[gaps](hi, nxt), F.col("_has_next").isNull(), F.lit(False))
     return near.where(~fine).withColumn("is_last_record", F.col("_has_next").isNull()).drop("_has_next")

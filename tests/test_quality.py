@@ -239,7 +239,7 @@ def test_run_analytics(spark, rows):
     s = runs.status_summary(log, empty, retired)
     got = {r.model_name: r for r in s.collect()}
     assert {k: v.status_color for k, v in got.items()} == {"a": "danger", "b": "warning", "c": "warning"}
-    assert got["b"].recon_warnings == ["reconciliation mismatch - start (10) + added (2) = 12 expected, but end is 15 (3 more than expected)"] and len(got["c"].zero_warnings) == 1 and got["a"].zero_warnings == []
+    assert got["b"].recon_warnings == ["reconciliation mismatch — start (10) + added (2) = 12 expected, but end is 15 (3 more than expected)"] and len(got["c"].zero_warnings) == 1 and got["a"].zero_warnings == []
     assert runs.overall_health(s).first()[0] == "red" and runs.overall_health(s.where("false")).first()[0] == "unknown"
     p = json.loads(runs.alert_payload(s, runs.overall_health(s), as_of).first()[0])
     assert (p["health"], p["total_models"], p["red_count"], p["failures"][0]["error"], p["generated_at"]) == ("red", 3, 1, "boom", "2024-01-21T00:00:00Z") and len(p["zero_row_warnings"]) == 1
