@@ -6,14 +6,18 @@ so on. A directory holds the number of set bits before every 512th one, so the p
 id's next chunk is one directory entry and at most 64 bytes of bitmap away: any token is
 read with a few small reads, and nothing around it is decoded.
 
-A file is a row of segments of at most 2^20 tokens, a footer of their places, and a
-trailer. Documents are dealt to tasks by ranges of their ids and written in ascending
-order; each closes with an end id. The index has a row a document: its file, its first
-token there and its length. Starts over all files come from one sum a file.
+A file is a row of segments of at most 2^20 tokens and of blocks of at most 2^14 documents,
+a footer of their places, and a trailer. A document block holds the place of its first
+token in the file, the documents' ids, which of them are null, and their lengths, coded
+like the tokens. Documents are dealt to tasks by ranges of their ids and written in
+ascending order; each closes with an end id. So the files alone tell every document: its
+start over all files is the number of tokens that the trailers of earlier files state, and
+the lengths before it in its own. The driver knows a row a file.
 
 Defined cases: a null text is empty and has only the end id; rows with a null id come
-first; rows that repeat an id follow each other in the order of their texts; an empty table
-makes no files; further columns are ignored. A task holds one segment and one document.
+first; rows that repeat an id follow each other in any order, over several files if they are
+many; an empty table makes no files; further columns are ignored. A task holds one segment,
+one document and one document block.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mapped, rows_of, stored, work_path
@@ -33,10 +37,11 @@ from .files import attempt_name, opened
 from .tokens import default_tokenizer, encoder
 
 END_ID = 0
-SEGMENT = 1 << 20
+SEGMENT, BLOCK = 1 << 20, 1 << 14
 STEP = 512
-MAGIC = b"DACTOK01"
-INDEX = "file_no int, file string, doc_id long, first long, n_tokens long"
+MAGIC = b"DACTOK02"
+#: Tokens, place of the footer, number of segments, number of document blocks.
+TRAILER = "<2Q2I"
 
 
 def packed(ids: np.ndarray) -> bytes:
@@ -101,17 +106,21 @@ class Segment:
 
 
 class Writer:
-    """Appends ids to one file, a segment at a time."""
+    """Appends documents to one file, a segment and a document block at a time."""
 
     def __init__(self, sink):
         self.sink, self.at, self.total, self.places, self.held, self.size = sink, 0, 0, [], [], 0
+        self.blocks, self.docs, self.first = [], [], 0
         self._write(MAGIC)
 
     def _write(self, data: bytes) -> None:
         self.sink.write(data)
         self.at += len(data)
 
-    def add(self, ids: np.ndarray) -> None:
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        self.docs.append((doc_id, len(ids)))
+        if len(self.docs) == BLOCK:
+            self._close_block()
         while len(ids):
             part, ids = ids[: SEGMENT - self.size], ids[SEGMENT - self.size :]
             self.held.append(part)
@@ -127,11 +136,22 @@ class Writer:
             self.total += self.size
             self.held, self.size = [], 0
 
+    def _close_block(self) -> None:
+        if self.docs:
+            ids, lengths = zip(*self.docs)
+            known = np.packbits(np.array([i is not None for i in ids]), bitorder="little").tobytes()
+            data = struct.pack("<QI", self.first, len(ids)) + np.array([i or 0 for i in ids], "<i8").tobytes() + known + packed(np.array(lengths, np.uint64))
+            self.blocks.append((self.at, len(data)))
+            self._write(data)
+            self.first += sum(lengths)
+            self.docs = []
+
     def close(self) -> None:
         self._flush()
+        self._close_block()
         footer = self.at
-        self._write(b"".join(struct.pack("<2Q", *p) for p in self.places))
-        self._write(struct.pack("<2QI", self.total, footer, len(self.places)) + MAGIC)
+        self._write(b"".join(struct.pack("<2Q", *p) for p in [*self.places, *self.blocks]))
+        self._write(struct.pack(TRAILER, self.total, footer, len(self.places), len(self.blocks)) + MAGIC)
         self.sink.close()
 
 
@@ -140,13 +160,13 @@ class Reader:
 
     def __init__(self, source, whole_segments: bool = False):
         self.source, self.whole = source, whole_segments
-        tail = struct.calcsize("<2QI") + len(MAGIC)
+        tail = struct.calcsize(TRAILER) + len(MAGIC)
         end = self._read(source.size() - tail, tail)
         if end[-len(MAGIC) :] != MAGIC or self._read(0, len(MAGIC)) != MAGIC:
             raise ValueError("not a file of directly addressable codes")
-        self.total, footer, n = struct.unpack("<2QI", end[: -len(MAGIC)])
-        places = self._read(footer, 16 * n)
-        self.places = [struct.unpack_from("<2Q", places, 16 * i) for i in range(n)]
+        self.total, footer, n, m = struct.unpack(TRAILER, end[: -len(MAGIC)])
+        places = [struct.unpack_from("<2Q", self._read(footer, 16 * (n + m)), 16 * i) for i in range(n + m)]
+        self.places, self.blocks = places[:n], places[n:]
         self.recent: OrderedDict[int, Segment] = OrderedDict()
 
     def _read(self, at: int, n: int) -> bytes:
@@ -175,81 +195,111 @@ class Reader:
             low, n = low + take, n - take
         return np.concatenate(out) if out else np.zeros(0, "<u4")
 
+    def documents(self, block: int) -> Iterator[tuple[int | None, int, int]]:
+        """(id, first token in the file, tokens) of the documents of a block, in order."""
+        at, size = self.blocks[block]
+        data = self._read(at, size)
+        first, n = struct.unpack_from("<QI", data)
+        ids, at = np.frombuffer(data, "<i8", n, 12), 12 + 8 * n
+        known = np.unpackbits(np.frombuffer(data, np.uint8, (n + 7) // 8, at), bitorder="little")[:n]
+        at += (n + 7) // 8
+        lengths = Segment(lambda o, k: data[at + o : at + o + k]).tokens(0, n)
+        for i, some, length in zip(ids.tolist(), known.tolist(), lengths.tolist()):
+            yield i if some else None, first, length
+            first += length
+
 
 def _written(root: str, path: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, number, writer, first = encoder(path), TaskContext.get().partitionId(), None, 0
-        for batch in batches:
-            docs = []
-            for doc_id, text in rows_of(iter([batch])):
-                if writer is None:
-                    files, folder = opened(root)
-                    files.create_dir(folder)
-                    name = attempt_name("dac")
-                    writer = Writer(files.open_output_stream(f"{folder}/{name}"))
-                ids = np.append(enc.ids(text), enc.dtype.type(END_ID))
-                writer.add(ids)
-                docs.append((number, name, doc_id, first, len(ids)))
-                first += len(ids)
-            if docs:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*docs), (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["file_no", "file", "doc_id", "first", "n_tokens"])
+        enc, writer = encoder(path), None
+        for doc_id, text in rows_of(batches):
+            if writer is None:
+                files, folder = opened(root)
+                files.create_dir(folder)
+                name = attempt_name("dac")
+                writer = Writer(files.open_output_stream(f"{folder}/{name}"))
+            writer.add(doc_id, np.append(enc.ids(text), enc.dtype.type(END_ID)))
         if writer:
             writer.close()
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([name])], ["file_no", "file"])
 
     return write
 
 
 def write(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> tuple[str, DataFrame]:
-    """Writes the files; gives their folder and the index: file_no, file, doc_id, first, n_tokens, start."""
+    """Writes the files; gives their folder and the files in order: file_no, file."""
     spark = docs.sparkSession
     root = folder or work_path(spark, "token-files")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    # Rows of one id, or without one, may be many: they are dealt by what tells them apart.
+    told = rows.withColumns({"hash": F.xxhash64("text"), "nth": F.monotonically_increasing_id()})
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    index = stored(mapped(ordered, _written(root, tokenizer or default_tokenizer()), INDEX), "token-index")
-    # One row a file: as many as there are tasks.
-    sums = sorted(index.groupBy("file_no").agg(F.sum("n_tokens").alias("n")).toLocalIterator())
-    starts, at = [], 0
-    for number, size in sums:
-        starts.append((number, at))
-        at += size
-    begins = spark.createDataFrame(starts, "file_no int, begins long")
-    return root, index.join(begins, "file_no").select("file_no", "file", "doc_id", "first", "n_tokens", (F.col("begins") + F.col("first")).alias("start"))
-
-
-def _checked(root: str):
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    order = ["doc_id", "hash", "nth"]
+    ordered = told.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    return root, stored(mapped(ordered, _written(root, tokenizer or default_tokenizer()), "file_no int, file string"), "token-files-index")
+
+
+def _trailers(root: str):
+    def trailers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, folder = opened(root)
-        name = reader = None
         for batch in batches:
+            total, blocks = [], []
+            for name in batch.column(1).to_pylist():
+                with files.open_input_file(f"{folder}/{name}") as source:
+                    reader = Reader(source)
+                    total.append(reader.total)
+                    blocks.append(len(reader.blocks))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(total, pa.int64()), pa.array(blocks, pa.int32())], ["file_no", "file", "total", "blocks"])
+
+    return trailers
+
+
+def layout(root: str, files: DataFrame) -> list[tuple[str, int, int]]:
+    """(file, tokens of all files before, document blocks) in order, from the files' trailers: a row a file."""
+    found = mapped(files.repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))), _trailers(root), "file_no int, file string, total long, blocks int")
+    out, at = [], 0
+    for _, name, total, blocks in sorted(tuple(r) for r in found.collect()):
+        out.append((name, at, blocks))
+        at += total
+    return out
+
+
+def _read(root: str):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, folder = opened(root)
+        for name, begins, block in rows_of(batches):
             out = []
-            for file, doc_id, first, n, start in rows_of(iter([batch])):
-                if file != name:
-                    name, reader = file, Reader(files.open_input_file(f"{folder}/{file}"), whole_segments=True)
-                out.append((doc_id, start, n, zlib.crc32(reader.tokens(first, n).tobytes())))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["doc_id", "start", "n_tokens", "ids_crc32"])
+            with files.open_input_file(f"{folder}/{name}") as source:
+                reader = Reader(source, whole_segments=True)
+                for doc_id, first, n in reader.documents(block):
+                    out.append((doc_id, begins + first, n, zlib.crc32(reader.tokens(first, n).tobytes())))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return check
+    return read
 
 
-def read(root: str, index: DataFrame) -> DataFrame:
-    """Per document, from the files: doc_id, start, n_tokens, ids_crc32."""
-    part = (F.col("first") / SEGMENT).cast("long")
-    rows = index.repartition("file", part).sortWithinPartitions("file", "first").select("file", "doc_id", "first", "n_tokens", "start")
-    return mapped(rows, _checked(root), "doc_id long, start long, n_tokens long, ids_crc32 long")
+def read(root: str, files: DataFrame) -> DataFrame:
+    """Per document, from the files alone: doc_id, start, n_tokens, ids_crc32."""
+    spark = files.sparkSession
+    places = spark.createDataFrame(layout(root, files), "file string, begins long, blocks int")
+    blocks = places.select("file", "begins", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    dealt = blocks.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1))
+    return mapped(dealt, _read(root), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def token_at(root: str, index: DataFrame, position: int) -> int:
+def token_at(root: str, files: DataFrame, position: int) -> int:
     """The id at one place of the whole sequence, read from its file alone."""
-    row = index.where((F.col("start") <= position) & (F.col("start") + F.col("n_tokens") > position)).first()
-    if row is None:
+    at = [(name, begins) for name, begins, _ in layout(root, files) if begins <= position]
+    folder, (name, begins) = opened(root), at[-1] if at else (None, 0)
+    if name is None or position < 0:
         raise IndexError(position)
-    files, folder = opened(root)
-    with files.open_input_file(f"{folder}/{row['file']}") as source:
-        return Reader(source).token(row["first"] + position - row["start"])
+    with folder[0].open_input_file(f"{folder[1]}/{name}") as source:
+        reader = Reader(source)
+        if position - begins >= reader.total:
+            raise IndexError(position)
+        return reader.token(position - begins)
 
 
 def round_trip(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,10 +1,12 @@
 """URL filter: rules first, then gradient-boosted trees on lexical features.
 
 Everything is a column expression or Spark's own tree learner. The labelled URLs are those
-that a rule settles; of them a sample of at most ``most_labelled`` rows, the smallest by a
-hash of the whole URL, trains the trees. Suffix statistics are block rates of the last one and
-two labels of the host in that sample, drawn towards the overall rate; they have at most as
-many rows as the sample, which bounds what their join broadcasts.
+that a rule settles, each once however many pages have it; of them a sample of at most
+``most_labelled``, the smallest by a hash of the whole URL, is stored and trains the trees.
+Suffix statistics are block rates of the last one and two labels of the host in that
+sample, drawn towards the overall rate; a URL that trains has rates without its own label.
+They have at most as many rows as the sample, which bounds what their join broadcasts. The
+pages are read three times: for the sample, for what a rule settles, for the rest.
 
 Defined cases: a null url or one without ``://`` has an empty host and path and no rule; a
 rule needs its whole path, so one with the path ``/`` does not fit a URL that ends after
@@ -18,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 # The rules in force.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 FEATURES = ("url_length", "host_length", "path_length", "host_labels", "depth", "digit_ratio", "entropy", "parameters", "hyphens", "last_rate", "last_two_rate")
@@ -71,18 +75,39 @@ def featured(pages: DataFrame) -> DataFrame:
     )
 
 
-def _rates(sample: DataFrame, key: str, overall: float) -> DataFrame:
-    rate = (F.sum("label") + PRIOR * overall) / (F.count(F.lit(1)) + PRIOR)
-    return F.broadcast(sample.groupBy(F.col(key).alias(f"{key}_key")).agg(rate.alias(f"{key}_rate")))
-
-
-def _with_rates(rows: DataFrame, sample: DataFrame, overall: float) -> DataFrame:
+def _with_rates(rows: DataFrame, sample: DataFrame, overall: float, own: bool = False) -> DataFrame:
+    """Adds the block rates of a URL's suffixes; with ``own``, rows are of the sample and count for nothing in their rates."""
     for key in ("last", "last_two"):
-        rates = _rates(sample, key, overall)
-        rows = rows.join(rates, F.col(key) == F.col(f"{key}_key"), "left").drop(f"{key}_key").fillna({f"{key}_rate": overall})
+        sums = F.broadcast(sample.groupBy(F.col(key).alias("_key")).agg(F.sum("label").alias("_sum"), F.count(F.lit(1)).alias("_n")))
+        label, one = (F.col("label"), 1) if own else (F.lit(0.0), 0)
+        blocked, n = F.coalesce(F.col("_sum") - label, F.lit(0.0)), F.coalesce(F.col("_n") - one, F.lit(0))
+        rows = rows.join(sums, F.col(key) == F.col("_key"), "left").withColumn(f"{key}_rate", (blocked + PRIOR * overall) / (n + PRIOR)).drop("_key", "_sum", "_n")
     return rows
 
 
+def _assembled(rows: DataFrame) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+
+    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
+
+
+def trained(sample: DataFrame, overall: float, trees: int = 20, depth: int = 3):
+    """Trees from a stored sample of (url, host, path, label)."""
+    from pyspark.ml.classification import GBTClassifier
+
+    known = featured(sample)
+    train = _assembled(_with_rates(known, known, overall, own=True)).select("features", "label")
+    return GBTClassifier(maxIter=trees, maxDepth=depth, seed=7).fit(train)
+
+
+def scored(rows: DataFrame, model, sample: DataFrame, overall: float) -> DataFrame:
+    """Adds the trees' ``verdict`` and ``score`` for block to rows of (url, host, path)."""
+    from pyspark.ml.functions import vector_to_array
+
+    judged_rows = model.transform(_assembled(_with_rates(featured(rows), featured(sample), overall)))
+    return judged_rows.withColumns({"verdict": F.when(F.col("prediction") == 1, "block").otherwise("allow"), "score": vector_to_array("probability")[1]})
+
+
 def judged(
     pages: DataFrame,
     rules: tuple[tuple[str, str], ...] = RULES,
@@ -93,15 +118,12 @@ def judged(
     depth: int = 3,
 ) -> DataFrame:
     """Per page: page_id, host, path, rule, verdict, and the trees' score for block (null where they were not needed)."""
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
     host, path = parts(F.col("url"))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url")).withColumns({"host": host, "path": path})
     rows = rows.withColumn("won", longest_rule(F.col("host"), F.col("path"), rules))
     settled = rows.where("won is not null")
-    sample = settled.select("url", "host", "path", (F.col("won.verdict") == "block").cast("double").alias("label")).orderBy(F.xxhash64("url"), "url").limit(most_labelled)
+    labelled = settled.select("url", "host", "path", (F.col("won.verdict") == "block").cast("double").alias("label")).distinct()
+    sample = stored(labelled.orderBy(F.xxhash64("url"), "url").limit(most_labelled), "url-sample")
     n, blocked = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     known = settled.select("page_id", "host", "path", "won.rule", "won.verdict", F.lit(None).cast("double").alias("score"))
     open_rows = rows.where("won is null")
@@ -111,11 +133,5 @@ def judged(
         score = F.lit(1.0 if verdict == "block" else 0.0)
         return known.unionByName(open_rows.select("page_id", "host", "path", none, F.lit(verdict).alias("verdict"), score.alias("score")))
     overall = blocked / n
-    sample = featured(sample)
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    train = assembled.transform(_with_rates(sample, sample, overall)).select("features", "label")
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7).fit(train)
-    scored = model.transform(assembled.transform(_with_rates(featured(open_rows), sample, overall)))
-    score = vector_to_array("probability")[1]
-    rest = scored.select("page_id", "host", "path", none, F.when(F.col("prediction") == 1, "block").otherwise("allow").alias("verdict"), score.alias("score"))
-    return known.unionByName(rest)
+    rest = scored(open_rows, trained(sample, overall, trees, depth), sample, overall)
+    return known.unionByName(rest.select("page_id", "host", "path", none, "verdict", "score"))

@@ -4,11 +4,13 @@ A payload leaves the JVM as rows (record, chunk number, bytes) of at most 64 KiB
 writing task streams them into gzip members of a .warc.gz file, a member a record, while a
 running SHA-1 is carried from chunk to chunk; its value after every chunk is kept in the
 chunk table next to the chunk's place, and the last one must be the digest that the
-record's header announced. Neither side of Python holds a whole record.
+record's header announced. Python holds no whole record on either side; the JVM holds the
+one payload that it read as a column value, and cuts a chunk of it a row.
 
 Which record is the response of equal payloads is settled on narrow rows (id, digest,
-length), aggregated in the map tasks first. Only pages that a filter reports as revisits
-are shuffled with their payload; all others go straight to their file.
+length), aggregated in the map tasks first. Pages that a filter reports as revisits are
+shuffled without their payload, which a revisit does not write; the few that are reported
+falsely take theirs along. All others go straight to their file.
 
 Reading parses the files as a stream of blocks, one task a file; files are closed at
 ``file_bytes`` so that there are enough of them. A revisit has no payload of its own, so
@@ -121,7 +123,13 @@ def settled(pages: DataFrame) -> DataFrame:
     again = narrow.join(groups, F.col("sha") == F.col("group_sha")).where("page_id is null or page_id <> keeper")
     again = stored(again.select(F.col("page_id").alias("again_id"), F.col("sha").alias("again_sha"), "keeper").distinct(), "warc-revisits")
     sent = bloom.build(again.select(F.xxhash64("again_id", "again_sha").alias("k")), bloom.slots_for(again.count()), repeats=False)
-    marked = whole.withColumn("again", bloom.reported(F.xxhash64("page_id", "sha"), sent))
+    key = F.xxhash64("page_id", "sha")
+    told = narrow.where(bloom.reported(key, sent)).join(again, F.col("page_id").eqNullSafe(F.col("again_id")) & (F.col("sha") == F.col("again_sha")), "left_anti")
+    told = stored(told.distinct(), "warc-reported")  # reported, but responses
+    kept = bloom.build(told.select(key.alias("k")), bloom.slots_for(told.count()), repeats=False)
+    marked = whole.withColumn("again", bloom.reported(key, sent))
+    # A revisit has no payload of its own: only rows that may be responses take theirs along.
+    marked = marked.withColumn("payload", F.when(F.col("again") & ~bloom.reported(key, kept), F.lit(None)).otherwise(F.col("payload")))
     fresh = marked.where("not again").withColumns({"record_type": F.lit("response"), "refers_to": F.lit(None).cast("long")})
     same = F.col("page_id").eqNullSafe(F.col("again_id")) & (F.col("sha") == F.col("again_sha"))
     met = marked.where("again").join(again, same, "left").withColumns({"record_type": F.when(F.col("again_sha").isNull(), "response").otherwise("revisit"), "refers_to": F.col("keeper")})
@@ -138,9 +146,9 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     root = folder or work_path(pages.sparkSession, "warc")
     rows = settled(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")))
     stop = F.when(F.col("record_type") == "revisit", F.lit(0)).otherwise(F.floor(F.greatest(F.col("size") - 1, F.lit(0)) / chunk)).cast("int")
-    pieces = F.expr(f"transform(sequence(0, stop), i -> substring(payload, i * {chunk} + 1, {chunk}))")
-    cut = rows.withColumn("stop", stop).select("page_id", "url", "record_type", "refers_to", "sha", "size", "stop", F.posexplode(F.when(F.col("record_type") == "revisit", F.array(F.lit(b""))).otherwise(pieces)).alias("chunk_no", "data"))
-    cut = cut.select("page_id", "url", "record_type", "refers_to", "sha", "size", "chunk_no", (F.col("chunk_no") == F.col("stop")).alias("last"), "data")
+    numbered = rows.withColumn("stop", stop).select("*", F.explode(F.sequence(F.lit(0), "stop")).alias("chunk_no"))
+    data = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.expr(f"substring(payload, chunk_no * {chunk} + 1, {chunk})"))
+    cut = numbered.select("page_id", "url", "record_type", "refers_to", "sha", "size", "chunk_no", (F.col("chunk_no") == F.col("stop")).alias("last"), data.alias("data"))
     return root, stored(mapped(cut, _archived(root, file_bytes), CHUNKS), "warc-chunks")
 
 

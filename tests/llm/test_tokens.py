@@ -144,24 +144,41 @@ def test_codes_give_any_token():
                 assert (segment.tokens(low, i + 1) == ids[low : i + 1]).all()
 
 
-def file_rows(rows, plain_ids):
-    out, at = [], 0
-    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
-        ids = [*plain_ids(t), dac.END_ID]
-        out.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
-        at += len(ids)
-    return sorted(out, key=str)
-
-
-def test_token_files(odd_docs, odd_rows, plain_ids):
-    assert sorted((tuple(r) for r in dac.round_trip(odd_docs).collect()), key=str) == file_rows([r[:2] for r in odd_rows], plain_ids)
+def check_files(got, rows, plain_ids):
+    """Documents in ascending order of their ids, null first, without gaps; ties in any order."""
+    ids = [(i, [*plain_ids(t), dac.END_ID]) for i, t in rows]
+    want = [(i, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in ids]
+    assert sorted(((r[0], r[2], r[3]) for r in got), key=str) == sorted(want, key=str)
+    at = 0
+    in_order = sorted(got, key=lambda r: r[1])
+    for _, start, n, _ in in_order:
+        assert start == at
+        at += n
+    keys = [(r[0] is not None, r[0] or 0) for r in in_order]
+    assert keys == sorted(keys)
+
+
+@pytest.mark.parametrize("block", [dac.BLOCK, 3])
+def test_token_files(odd_docs, odd_rows, plain_ids, monkeypatch, block):
+    monkeypatch.setattr(dac, "BLOCK", block)
+    check_files([tuple(r) for r in dac.round_trip(odd_docs).collect()], [r[:2] for r in odd_rows], plain_ids)
+
+
+def test_token_files_tell_their_documents(spark, make, plain_ids):
+    """Many rows of one id and many without an id are dealt over several files; what comes back is in the files."""
+    rows = [(7, f"text {i % 5}") for i in range(300)] + [(None, f"none {i}") for i in range(300)] + [(i, "x") for i in range(100)]
+    root, files = dac.write(make(rows, "doc_id long, text string").repartition(5))
+    check_files([tuple(r) for r in dac.read(root, files).collect()], rows, plain_ids)
+    assert files.columns == ["file_no", "file"] and files.count() > 1
+    sizes = [b - a for (_, a, _), (_, b, _) in zip(dac.layout(root, files), dac.layout(root, files)[1:])]
+    assert max(sizes) < 2 * sum(len(plain_ids(t)) + 1 for _, t in rows) / 3
 
 
 def test_token_files_given(given, plain_ids):
     docs = given("documents")
     root, index = dac.write(docs)
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
-    assert sorted((tuple(r) for r in dac.read(root, index).collect()), key=str) == file_rows(rows, plain_ids)
+    check_files([tuple(r) for r in dac.read(root, index).collect()], rows, plain_ids)
     whole = [i for _, t in sorted(rows) for i in [*plain_ids(t), dac.END_ID]]
     for at in (0, 17, len(whole) // 2, len(whole) - 1):
         assert dac.token_at(root, index, at) == whole[at]
