@@ -213,9 +213,13 @@ def neighbours(
     recall: float = 0.98,
     most_sampled: int = 20_000,
     most_calibrating: int = 200,
-    leaf_rows: int = 1000,
+    leaf_rows: int = 250,
 ) -> DataFrame:
-    """Per query: query_id, rank, vec_id, score of the nearest found. ``queries`` is a condition on ``vec_id``, by default all rows."""
+    """Per query: query_id, rank, vec_id, score of the nearest found. ``queries`` is a condition on ``vec_id``, by default all rows.
+
+    ``leaf_rows`` is small enough for some leaves in a table of some hundred vectors; in
+    large ones the sample bounds the number of leaves.
+    """
     spark = vectors.sparkSession
     ship(spark)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("vec")).where(F.col("vec_id").isNotNull() & _usable("vec"))

@@ -4,7 +4,8 @@ A rolling hash over the last 32 bytes cuts every text into chunks of some hundre
 places that depend on the bytes around them only, so a passage that documents share yields
 the same chunks in each of them.
 
-Pass one hashes all chunks into a repeat filter; keys are not shuffled for it. In pass
+Pass one counts chunk keys, eight bytes each and added up in the tasks first; those that
+came twice make a filter, so its size follows the shared chunks and not all of them. In pass
 two, texts without a possibly shared chunk are finished where they stand. From the others,
 each possibly shared chunk goes out once a task as (key, bytes), is reduced to one row a
 key, encoded once, and joined back to all places that named it. A document's pieces, ids of
@@ -36,7 +37,7 @@ from .tokens import Encoder, default_tokenizer, encoder
 
 #: Least and most bytes of a chunk; a cut falls on one byte in 256 beyond the least.
 LEAST, MOST = 64, 4096
-#: Slots of the filter over chunk keys (8 MiB when sent); more keys only let more chunks through to the shuffle.
+#: Most slots of the filter over shared chunks (8 MiB when sent); beyond some eight million of them it lets more chunks through to the shuffle.
 CHUNK_SLOTS = 1 << 26
 #: Chunks a task remembers to have sent out already.
 REMEMBERED = 100_000
@@ -221,7 +222,9 @@ def round_trip(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc
     """Per row: doc_id, n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256 (decoded text in UTF-8)."""
     path = tokenizer or default_tokenizer()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sent = bloom.build(mapped(rows.select("text"), _keys, "k long"), CHUNK_SLOTS, repeats=True)
+    counts = mapped(rows.select("text"), _keys, "k long").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    shared = stored(counts.where("n > 1").select("k"), "bpe-shared")
+    sent = bloom.build(shared, bloom.slots_for(shared.count(), CHUNK_SLOTS), repeats=False)
     placed = stored(mapped(rows, _places(path, sent), PLACES), "bpe-places")
     chunk = placed.where("chunk is not null").groupBy("key").agg(F.min("chunk").alias("chunk"))
     known = stored(mapped(chunk, _encoded(path), "shared binary, shared_ids binary"), "bpe-chunks")

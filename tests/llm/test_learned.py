@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import inspect
 import random
 import zlib
 from collections import Counter
@@ -207,6 +208,32 @@ def test_neighbours_recall(given):
     assert len(got) == 5 * (ids % 5 == 0).sum() and hits / len(got) >= 0.9
 
 
+def test_neighbours_registered_setting_gives_leaves(given):
+    """The registered leaf size splits the smallest given table."""
+    sample = ann_tree.unit(np.array([r[0] for r in given("embeddings").select("embedding").collect()], float))
+    tree = ann_tree.Tree.fit(sample, inspect.signature(ann_tree.neighbours).parameters["leaf_rows"].default)
+    assert sum(not c for c in tree.children) >= 4
+
+
+def test_neighbours_recall_registered_setting(spark):
+    """Some ten thousand vectors around a few hundred places, all parameters as registered, against brute force."""
+    rng = np.random.default_rng(12)
+    places = rng.normal(size=(300, 24))
+    vectors = (places[rng.integers(0, 300, 20_000)] + 0.6 * rng.normal(size=(20_000, 24))).astype(np.float32)
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<float>")
+    got = ann_tree.neighbours(table, F.col("vec_id") % 50 == 0).collect()
+    near = ann_tree.unit(vectors.astype(float))
+    found = {}
+    for r in got:
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in range(0, len(vectors), 50):
+        s = near @ near[q]
+        s[q] = -2
+        hits += len(set(np.argsort(-s)[:5].tolist()) & found[q])
+    assert len(got) == 5 * 400 and hits / len(got) >= 0.95
+
+
 def test_neighbours_few_and_none(make):
     schema = "vec_id long, embedding array<float>"
     assert ann_tree.neighbours(make([], schema)).collect() == []
