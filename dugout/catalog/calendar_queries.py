@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
+from ..functions import scalar as S
 from ..operators import calendars as C
 from ..operators import reshape as R
 from .registry import query, table
@@ -157,3 +158,65 @@ def q_spine_literal(spark, sf):
     days = R.date_spine(spark, "day", "1994-12-31", "2001-09-15")
     orders = table(spark, sf, "orders").groupBy(F.col("o_orderdate").cast("date").alias("o")).agg(F.count(F.lit(1)).alias("n"))
     return days.join(orders, F.col("date_day") == F.col("o"), "left").groupBy(F.trunc("date_day", "month").alias("month")).agg(F.count(F.lit(1)).alias("days"), F.coalesce(F.sum("n"), F.lit(0)).alias("orders"))
+
+
+_ZONES = {"new_york": "America/New_York", "london": "Europe/London", "sydney": "Australia/Sydney"}
+_AT = "o_orderdate + to_minutes(cast(o_orderkey % 1440 as int))"
+
+
+def _utc(local: str, zone: str) -> str:
+    """UTC of a clock time that counts as its first one."""
+    late = f"(({local} at time zone '{zone}') at time zone 'UTC')"
+    return f"case when (({late} - interval 1 hour) at time zone 'UTC') at time zone '{zone}' = {local} then {late} - interval 1 hour else {late} end"
+
+
+@query(
+    "date_time_zones",
+    f"""with t as (select o_orderkey, {_AT} as clock from orders)
+    select o_orderkey, clock, {", ".join(f"(clock at time zone 'UTC') at time zone '{z}' as {n}" for n, z in _ZONES.items())},
+      {", ".join(f"{_utc('clock', z)} as from_{n}" for n, z in _ZONES.items())}, (clock at time zone 'America/New_York') at time zone 'UTC' as from_new_york_second,
+      cast(hour((clock at time zone 'UTC') at time zone 'Australia/Sydney') as int) as sydney_hour, cast(dayofyear((clock at time zone 'UTC') at time zone 'Australia/Sydney') as int) as sydney_day
+    from t""",
+)
+def q_time_zones(spark, sf):
+    """Every order at a minute of its day, in three zones and from three zones, over some years of clock changes."""
+    at = F.col("o_orderdate") + F.make_dt_interval(mins=(F.col("o_orderkey") % 1440).cast("int"))
+    t = table(spark, sf, "orders").select("o_orderkey", at.alias("clock"))
+    to = {n: D.convert_timezone("clock", z) for n, z in _ZONES.items()}
+    back = {f"from_{n}": D.convert_timezone("clock", "UTC", z) for n, z in _ZONES.items()}
+    out = t.withColumns(to | back | {"from_new_york_second": D.convert_timezone("clock", "UTC", "America/New_York", "second")})
+    return out.withColumns({"sydney_hour": D.date_part("hour", "sydney"), "sydney_day": D.date_part("doy", "sydney")})
+
+
+@query(
+    "date_clock_changes",
+    f"""with h as (select l_suppkey, timestamp '2000-04-01 20:00:00' + to_minutes(cast(l_orderkey % 1000 as int)) as spring, timestamp '2000-10-28 20:00:00' + to_minutes(cast(l_orderkey % 1000 as int)) as autumn from lineitem)
+    select date_trunc('hour', spring) as spring_hour, count(*) as n, min({_utc('spring', 'America/New_York')}) as first_utc, max({_utc('spring', 'America/New_York')}) as last_utc,
+      min({_utc('autumn', 'America/New_York')}) as first_autumn, max((autumn at time zone 'America/New_York') at time zone 'UTC') as last_autumn from h group by 1""",
+)
+def q_clock_changes(spark, sf):
+    """Minutes around both changes of a year: skipped ones move ahead, repeated ones are told by first and second."""
+    shift = F.make_dt_interval(mins=(F.col("l_orderkey") % 1000).cast("int"))
+    start = lambda x: F.lit(x).cast("timestamp_ntz") + shift
+    h = table(spark, sf, "lineitem").select(start("2000-04-01 20:00:00").alias("spring"), start("2000-10-28 20:00:00").alias("autumn"))
+    utc = lambda c, twice="first": D.convert_timezone(c, "UTC", "America/New_York", twice)
+    return h.groupBy(F.date_trunc("hour", "spring").cast("timestamp_ntz").alias("spring_hour")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(utc("spring")).alias("first_utc"), F.max(utc("spring")).alias("last_utc"), F.min(utc("autumn")).alias("first_autumn"), F.max(utc("autumn", "second")).alias("last_autumn")
+    )
+
+
+@query(
+    "scalar_clock_texts",
+    """select o_orderkey, case when o_orderkey % 17 = 0 then null else lpad(cast((o_orderkey % 12 + 12 * (o_orderkey // 12 % 2)) as varchar), 2, '0') || ':' || lpad(cast(o_orderkey % 60 as varchar), 2, '0') end as clock,
+      case when o_orderkey % 5 > 0 then ltrim(printf('%.3f', (o_orderkey % 1000) / 1000.0::double), '0') end as rate, make_timestamp(o_orderkey * 86400 * 1000000) as at_seconds, make_timestamp(o_orderkey * 1000000000) as at_millis from orders""",
+)
+def q_clock_texts(spark, sf):
+    """AM/PM clocks, rates without the leading zero and epoch counts."""
+    hour = F.col("o_orderkey") % 12
+    text = F.when(F.col("o_orderkey") % 17 == 0, F.lit("noon")).otherwise(F.concat(F.when(hour == 0, 12).otherwise(hour).cast("string"), F.lit(":"), F.lpad((F.col("o_orderkey") % 60).cast("string"), 2, "0")))
+    ampm = F.when(F.floor(F.col("o_orderkey") / 12) % 2 == 0, " am").otherwise("PM")
+    rate = F.when(F.col("o_orderkey") % 5 > 0, F.col("o_orderkey") % 1000 / 1000.0)
+    return table(spark, sf, "orders").select(
+        "o_orderkey", S.clock_to_24h(text, ampm).alias("clock"), S.rate_text(rate).alias("rate"),
+        D.from_unixtimestamp(F.col("o_orderkey") * 86400, "seconds").cast("timestamp_ntz").alias("at_seconds"), D.from_unixtimestamp(F.col("o_orderkey") * 1000000, "milliseconds").cast("timestamp_ntz").alias("at_millis"),
+    )

@@ -22,10 +22,25 @@ def today(tz: str = "UTC") -> Column:
     return now(tz).cast("date")
 
 
-def convert_timezone(c: ColumnLike, target: str, source: ColumnLike | str = "UTC") -> Column:
-    """Wall-clock time moved from the source zone to the target zone."""
+def convert_timezone(c: ColumnLike, target: str, source: ColumnLike | str = "UTC", twice: str = "first") -> Column:
+    """Wall-clock time moved from the source zone to the target zone.
+
+    Where clocks of the source zone are put ahead, a time that is skipped means as much
+    later as they were moved. Where they are put back, a time comes ``twice``: its "first"
+    one counts, or its "second". The session's own zone has no part in it.
+    """
+    if twice not in ("first", "second"):
+        raise ValueError("twice must be first or second")
     src = F.lit(source) if isinstance(source, str) else source
-    return F.convert_timezone(src, F.lit(target), as_col(c).cast("timestamp_ntz"))
+    local = as_col(c).cast("timestamp_ntz")
+    if twice == "first":
+        return F.convert_timezone(src, F.lit(target), local)
+    utc = F.convert_timezone(src, F.lit("UTC"), local)
+    # The same clock time again, an hour or (in few zones) half an hour later.
+    for minutes in (30, 60):
+        later = utc + F.expr(f"INTERVAL {minutes} MINUTES")
+        utc = F.when(F.convert_timezone(F.lit("UTC"), src, later) == local, later).otherwise(utc)
+    return F.convert_timezone(F.lit("UTC"), F.lit(target), utc)
 
 
 def date_part(part: str, c: ColumnLike) -> Column:

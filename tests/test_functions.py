@@ -116,3 +116,21 @@ def test_relative_periods(spark):
     assert one(spark, D.n_weeks_ago(1, d)) == dt.date(2021, 3, 8) and one(spark, D.n_months_ago(1, d)) == dt.date(2021, 2, 1)
     assert one(spark, D.yesterday(d)) == dt.date(2021, 3, 16) and one(spark, D.next_month_number(d)) == 4 and one(spark, D.last_month_name(d, short=False)) == "February"
     assert one(spark, D.now()) is not None and one(spark, D.today("Asia/Tokyo")) is not None
+
+
+def test_clock_changes(spark):
+    """A skipped time moves ahead, a repeated one is told by first and second, also where clocks move by half an hour."""
+    from dugout.functions import dates as D
+
+    cases = [
+        ("2000-04-02 02:30:00", "America/New_York", "2000-04-02 07:30:00", "2000-04-02 07:30:00"),
+        ("2000-10-29 01:30:00", "America/New_York", "2000-10-29 05:30:00", "2000-10-29 06:30:00"),
+        ("2000-10-29 02:00:00", "America/New_York", "2000-10-29 07:00:00", "2000-10-29 07:00:00"),
+        ("2024-04-07 01:45:00", "Australia/Lord_Howe", "2024-04-06 14:45:00", "2024-04-06 15:15:00"),
+    ]
+    df = spark.createDataFrame([c[:2] for c in cases], "t string, z string")
+    zone = F.col("z")
+    got = df.select(*[D.convert_timezone("t", "UTC", zone, w).cast("string") for w in ("first", "second")]).collect()
+    assert [tuple(r) for r in got] == [c[2:] for c in cases]
+    with pytest.raises(ValueError):
+        D.convert_timezone("t", "UTC", "UTC", "third")
