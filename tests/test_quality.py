@@ -319,3 +319,18 @@ def test_samples_are_the_first_rows_with_repeats(spark):
     assert len(sample) == U.SAMPLE_ROWS and {s["game_pk"] for s in sample} == {"0"} and sample[0]["violations"] == "negative_runs;"
     none = U.run_audits({"fact_games": fg.where("false")}, ["range_fact_games_values"]).first()
     assert (none.failure_count, none.rows_compared, none.perfect_match_pct, none.sample_json) == (0, 0, 100.0, "[]")
+
+
+def test_fused_expectations(spark, tmp_path):
+    from dugout.quality import fused as X
+
+    df = frame(spark, [(1, "a", "x"), (1, "b", None), (2, "b", "y"), (None, "ccc", "y")], "k int, t string, u string")
+    checks = [X.distinct_count("k", 3), X.unique_share("t", 0.9), X.unique(["k", "t"]), X.unique(["t"]), X.in_set("u", ["x", "y"]), X.not_in_set("u", ["x"]), X.null("u"), X.not_null("u"), X.lengths("t", 1, 2), X.column_sum(["k", "k"], "k"), X.row_count(1, 3)]
+    assert {(r.expectation, r.observed) for r in X.failed(df, checks).collect()} == {
+        ("distinct_count(k)", 2.0), ("unique_share(t)", 0.75), ("repeated(t)", 1.0), ("not_in_set(u)", 1.0), ("in_forbidden_set(u)", 1.0), ("not_null(u)", 3.0), ("null(u)", 1.0), ("length(t)", 1.0), ("sum(k+k-k)", 4.0), ("row_count", 4.0),
+    }
+    assert X.failed(df.where("false"), [X.row_count(1)]).first().observed == 0.0
+    assert {(r.t, r.observed) for r in X.failed(df, [X.distinct_count("k", 2)], ["t"]).collect()} == {("a", 1.0), ("ccc", 0.0)} | {("b", 2.0)} - {("b", 2.0)}
+    df.write.parquet(str(tmp_path / "t"))
+    plan = X.failed(spark.read.parquet(str(tmp_path / "t")), checks)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Expand") == 1
