@@ -138,6 +138,25 @@ def op12_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@query("op13_position_crc")
+@query(
+    "op13_position_crc",
+    f"""
+    with tab as materialized (select list(list_reduce([i] || list_transform(range(8), lambda z: 0), lambda a, b: case when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end) order by i) as t from range(256) r(i)),
+    w as (select 0 as side, doc_id as id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') as ws from documents
+      union all select 1, item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') from benchmark),
+    f as (select side, id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]), list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) as x from w),
+    c as (select side, id, x, count(*) as n from f group by all),
+    u as (select x, list_transform(range(0, len(hex(x)) // 2), lambda i: (instr('0123456789ABCDEF', hex(x)[2 * i + 1]) - 1) * 16 + instr('0123456789ABCDEF', hex(x)[2 * i + 2]) - 1) as b from (select distinct x from c)),
+    h as (select x, xor(list_reduce([4294967295] || b, lambda a, y: xor(a // 256, t[1 + xor(a, y) % 256])), 4294967295) % 10000 as bucket from u, tab),
+    k as (select bucket, coalesce(sum(n) filter (side = 0), 0) as s, coalesce(sum(n) filter (side = 1), 0) as t from c join h using (x) group by bucket),
+    whole as (select sum(s)::double as s, sum(t)::double as t from k),
+    g as (select bucket, floor(1000 * ln((k.t::double + 1) * (whole.s + 10000) / ((k.s::double + 1) * (whole.t + 10000))))::bigint as gain from k, whole),
+    d as (select id, sum(n) as n_features, sum(n * gain) as weight from c join h using (x) join g using (bucket) where side = 0 group by id),
+    r as (select id as doc_id, len(ws) as n_words, coalesce(n_features, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+        coalesce(weight, 0)::bigint + floor(-1000.0::double * ln(-ln((('0x' || substr(sha256('42:' || id), 1, 8))::bigint + 0.5::double) / 4294967296.0::double)))::bigint as score from w left join d using (id) where side = 0),
+    o as (select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n from r where n_words >= 20)
+    select doc_id, n_features, weight, score, case when place <= n * 5 // 100 then place end as rank, n_words from r left join o using (doc_id)
+    """,
+)
 def op13_position_crc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
