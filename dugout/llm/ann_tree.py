@@ -204,6 +204,11 @@ def _blocks(counts: dict[int, int], size: int):
     return F.coalesce(table[F.col("leaf")], F.lit(1))
 
 
+def most_in_leaf(rows: int, sampled: int, leaf_rows: int, least_leaves: int) -> int:
+    """Sample rows of a leaf, never fewer than 32 to a split."""
+    return max(32, min(leaf_rows, rows // least_leaves) * sampled // max(rows, 1))
+
+
 def neighbours(
     vectors: DataFrame,
     queries=None,
@@ -213,12 +218,13 @@ def neighbours(
     recall: float = 0.98,
     most_sampled: int = 20_000,
     most_calibrating: int = 200,
-    leaf_rows: int = 250,
+    leaf_rows: int = 1000,
+    least_leaves: int = 8,
 ) -> DataFrame:
     """Per query: query_id, rank, vec_id, score of the nearest found. ``queries`` is a condition on ``vec_id``, by default all rows.
 
-    ``leaf_rows`` is small enough for some leaves in a table of some hundred vectors; in
-    large ones the sample bounds the number of leaves.
+    Leaves hold about ``leaf_rows`` vectors, or fewer where that gives a small table less
+    than ``least_leaves``; in large ones the sample bounds their number.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -234,8 +240,7 @@ def neighbours(
 
     sample = distinct.orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0]).limit(most_sampled).select("vec").collect()
     unit_sample = unit(np.array([r["vec"] for r in sample], np.float64).reshape(len(sample), -1))
-    # Leaves of about leaf_rows vectors, but never fewer than 32 sample rows to a split.
-    tree = spark.sparkContext.broadcast(Tree.fit(unit_sample, max(32, leaf_rows * len(sample) // max(n, 1))))
+    tree = spark.sparkContext.broadcast(Tree.fit(unit_sample, most_in_leaf(n, len(sample), leaf_rows, least_leaves)))
     index = stored(mapped(distinct, _placed(tree), "vec array<float>, ids array<long>, leaf int".replace("float", rows.schema["vec"].dataType.elementType.simpleString())), "ann-index")
 
     asked = rows.where(F.lit(True) if queries is None else queries).select(F.col("vec_id").alias("query_id"), F.col("vec").alias("query_vec"))

@@ -211,8 +211,9 @@ def test_neighbours_recall(given):
 def test_neighbours_registered_setting_gives_leaves(given):
     """The registered leaf size splits the smallest given table."""
     sample = ann_tree.unit(np.array([r[0] for r in given("embeddings").select("embedding").collect()], float))
-    tree = ann_tree.Tree.fit(sample, inspect.signature(ann_tree.neighbours).parameters["leaf_rows"].default)
-    assert sum(not c for c in tree.children) >= 4
+    own = {n: p.default for n, p in inspect.signature(ann_tree.neighbours).parameters.items() if n in ("leaf_rows", "least_leaves")}
+    tree = ann_tree.Tree.fit(sample, ann_tree.most_in_leaf(len(sample), len(sample), **own))
+    assert sum(not c for c in tree.children) >= 8
 
 
 def test_neighbours_recall_registered_setting(spark):
