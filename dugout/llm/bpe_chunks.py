@@ -37,7 +37,7 @@ from .tokens import Encoder, default_tokenizer, encoder
 
 #: Least and most bytes of a chunk; a cut falls on one byte in 256 beyond the least.
 LEAST, MOST = 64, 4096
-#: Most slots of the filter over shared chunks (8 MiB when sent); beyond some eight million of them it lets more chunks through to the shuffle.
+#: Most slots of the filter over shared chunks (8 MiB when sent); beyond a million of them it lets more chunks through to the shuffle, a tenth at some fourteen million.
 CHUNK_SLOTS = 1 << 26
 #: Chunks a task remembers to have sent out already.
 REMEMBERED = 100_000
@@ -224,7 +224,8 @@ def round_trip(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     counts = mapped(rows.select("text"), _keys, "k long").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     shared = stored(counts.where("n > 1").select("k"), "bpe-shared")
-    sent = bloom.build(shared, bloom.slots_for(shared.count(), CHUNK_SLOTS), repeats=False)
+    # 64 slots a key: one chunk in a thousand that is not shared is let through.
+    sent = bloom.build(shared, bloom.slots_for(8 * shared.count(), CHUNK_SLOTS), repeats=False)
     placed = stored(mapped(rows, _places(path, sent), PLACES), "bpe-places")
     chunk = placed.where("chunk is not null").groupBy("key").agg(F.min("chunk").alias("chunk"))
     known = stored(mapped(chunk, _encoded(path), "shared binary, shared_ids binary"), "bpe-chunks")
