@@ -478,3 +478,19 @@ def test_sql(spark, name):
     cur = con.execute(queries.ORACLES[name])
     columns = [d[0] for d in cur.description]
     assert sorted((tuple(r) for r in got.select(columns).collect()), key=str) == sorted(cur.fetchall(), key=str)
+
+
+@pytest.mark.parametrize("rows", ["odd", "none", "unlabelled"])
+def test_pipeline_odd(spark, tmp_path, odd_docs, no_docs, rows):
+    """Nulls, empty and long texts, repeated rows, null ids, clashing columns, no rows, no language at all."""
+    import corpus_pipeline
+
+    docs = {"odd": odd_docs, "none": no_docs, "unlabelled": odd_docs.withColumn("lang", F.lit(None).cast("string"))}[rows]
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    kept = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, str(tmp_path))
+        assert kept.columns == docs.columns
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    want = set() if rows == "none" else {0, 6, 8, 9, 10, 12, None}
+    assert {r["doc_id"] for r in pieces} == want == {r["doc_id"] for r in kept.select("doc_id").collect()}
