@@ -2,6 +2,12 @@
 
 Each stage works on all rows that its predecessor kept. ``run`` writes every stage as
 Parquet in the shared work folder and reads it back, so a lost executor costs one task.
+
+Defined cases: a null or empty text, or one without a letter, goes with the language stage;
+of repeated rows one stays; a row with a null id takes part and stays only where no row of
+its group has an id; ties go to the smallest id; with no labelled language every text with
+a letter stays; an empty table gives no pieces. Further columns, whatever their names, pass
+all stages but the last.
 """
 
 from __future__ import annotations
