@@ -38,6 +38,11 @@ def listed(rows: DataFrame, keys: list[str], order: list[str], item: str, name:
     return rows.groupBy(*keys).agg(F.transform(ordered, lambda x: x[item]).alias(name))
 
 
+def block(key: str, size: int) -> Column:
+    """Block of an integer key, so that one answer holds a bounded range of keys however large the table is."""
+    return F.floor(F.col(key) / size).alias("block")
+
+
 def request(**fields: str) -> Column:
     return F.struct(*[F.expr(v).alias(k) for k, v in fields.items()])
 
@@ -247,9 +252,10 @@ _PICK: Fields = [
 
 @query("landing_draft_picks", f"select {columns(_PICK)} from orders")
 def q_draft_picks(spark, sf):
-    picks = table(spark, sf, "orders").select(F.expr("year(o_orderdate)").alias("season"), F.expr("o_orderkey % 20").alias("round"), "o_orderkey", nested(_PICK).alias("p"))
-    rounds = listed(picks, ["season", "round"], ["o_orderkey"], "p", "picks").withColumn("r", F.struct("picks"))
-    payloads = listed(rounds, ["season"], ["round"], "r", "rounds").select(request(season="season").alias("request"), F.struct("rounds").alias("drafts"))
+    """Picks by season and round, in answers of a bounded range of picks."""
+    picks = table(spark, sf, "orders").select(F.expr("year(o_orderdate)").alias("season"), F.expr("o_orderkey % 20").alias("round"), block("o_orderkey", 10_000), "o_orderkey", nested(_PICK).alias("p"))
+    rounds = listed(picks, ["season", "block", "round"], ["o_orderkey"], "p", "picks").withColumn("r", F.struct("picks"))
+    payloads = listed(rounds, ["season", "block"], ["round"], "r", "rounds").select(request(season="season").alias("request"), F.struct("rounds").alias("drafts"))
     return L.draft_picks(landed(payloads, X.DRAFT, "draft")).select([a for _, a, _ in _PICK])
 
 
@@ -278,15 +284,15 @@ _SHOWN = "case when c_mktsegment = 'BUILDING' then concat(c_name, '!') else c_na
     from customer where c_custkey % 50 <> 7""",
 )
 def q_people_details(spark, sf):
-    """People by nation, some asked for again under another name; those already loaded are left out."""
+    """People by nation in answers of a bounded range of them, some asked for again under another name; those already loaded are left out."""
     customers = table(spark, sf, "customer")
     schools = F.expr("named_struct('highschools', case when c_custkey % 3 > 0 then transform(sequence(0, cast(c_custkey % 3 as int) - 1), i -> named_struct('name', concat('H', cast(i as string)))) end, 'colleges', case when c_custkey % 4 = 0 then array(named_struct('name', 'C', 'city', 'Town')) end)")
 
     def answers(rows: DataFrame, at: str, name: str) -> DataFrame:
-        return rows.select("c_nationkey", F.lit(at).alias("at"), "c_custkey", F.struct(nested(_person(name)).getField("id").alias("id"), *[nested(_person(name)).getField(p.partition(".")[0]).alias(p.partition(".")[0]) for p, _, _ in _person(name)[1:]], schools.alias("education")).alias("p"))
+        return rows.select("c_nationkey", block("c_custkey", 10_000), F.lit(at).alias("at"), "c_custkey", F.struct(nested(_person(name)).getField("id").alias("id"), *[nested(_person(name)).getField(p.partition(".")[0]).alias(p.partition(".")[0]) for p, _, _ in _person(name)[1:]], schools.alias("education")).alias("p"))
 
     rows = answers(customers, OLD, "c_name").unionByName(answers(customers.where("c_mktsegment = 'BUILDING'"), NEW, "concat(c_name, '!')"))
-    payloads = listed(rows, ["at", "c_nationkey"], ["c_custkey"], "p", "people").select(request(at="cast(at as timestamp)").alias("request"), "people")
+    payloads = listed(rows, ["at", "c_nationkey", "block"], ["c_custkey"], "p", "people").select(request(at="cast(at as timestamp)").alias("request"), "people")
     people = landed(payloads, X.PEOPLE, "people")
     loaded = customers.where("c_custkey % 50 = 7").select(F.col("c_custkey").alias("id"))
     wanted = L.people_needing_details(L.people_in_scope(customers.select(F.col("c_custkey").alias("person_id"))), loaded)
@@ -314,17 +320,17 @@ _GROUP = "case o_orderkey % 5 when 0 then 'hitting' when 1 then 'pitching' when
     from t group by season, o_custkey""",
 )
 def q_player_season_stats(spark, sf):
-    """Splits of four groups; a player has several teams a season, and urgent ones come in a newer answer."""
+    """Splits of four groups, a bounded range of players to an answer; a player has several teams a season, and urgent ones come in a newer answer."""
     orders = table(spark, sf, "orders").withColumns({"season": F.expr("cast(year(o_orderdate) as int)"), "grp": F.expr(_GROUP)})
     stat = F.struct(*[F.expr(sql).alias(src) for fields in _STAT.values() for src, _, sql in fields]).alias("stat")
 
     def answers(rows: DataFrame, at: str, shift: int) -> DataFrame:
         team = F.expr(f"named_struct('id', o_orderkey % 30 + {shift})").alias("team")
         who, place = F.expr("named_struct('id', o_custkey)").alias("player"), F.expr("named_struct('code', cast(o_orderkey % 10 as string))").alias("position")
-        return rows.select("season", "grp", F.lit(at).alias("at"), "o_orderkey", F.struct(who, team, place, stat).alias("x"))
+        return rows.select("season", "grp", block("o_custkey", 1_000), F.lit(at).alias("at"), "o_orderkey", F.struct(who, team, place, stat).alias("x"))
 
     rows = answers(orders, OLD, 0).unionByName(answers(orders.where(_URGENT), NEW, 100))
-    splits = listed(rows, ["season", "grp", "at"], ["o_orderkey"], "x", "splits")
+    splits = listed(rows, ["season", "grp", "at", "block"], ["o_orderkey"], "x", "splits")
     payloads = splits.select(F.expr("named_struct('season', season, 'group', grp, 'at', cast(at as timestamp))").alias("request"), F.array(F.struct("splits")).alias("stats"))
     flat = L.player_season_stats(landed(payloads, X.STATS, "stats"))
     return flat.withColumn("season", F.col("season").cast("int")).select("season", "player__id", "team__id", *[f"{L.STAT_GROUPS[g]}_stat__{a}" for g, fields in _STAT.items() for _, a, _ in fields], "batting_position__code")
