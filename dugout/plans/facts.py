@@ -23,19 +23,23 @@ FULL_GAME_OUTS = 27
 
 
 def fact_at_bats(pitches: DataFrame) -> DataFrame:
-    """One row per (game, at-bat, batter): one aggregation, combined map-side.
+    """One row per (game, at-bat, batter): one aggregation after one exchange of the pitches.
+
+    An at-bat is a few pitches, and its partial results (with the pitchers, to be counted once) are
+    wider than they are: the pitches are dealt by at-bat instead of combined before the exchange.
 
     The last pitch names the pitcher, the first names the batter; contact values come
     from the in-play pitch and the result from the final pitch.
     """
-    p = pitches.where(F.col("is_pitch") == 1)
+    grain = ["game_pk", "season", "at_bat_index", "batter_id"]
+    p = pitches.where(F.col("is_pitch") == 1).repartition(*grain)
     in_play, final = F.col("is_in_play").cast("int") == 1, F.col("is_final_pitch").cast("int") == 1
     first, last = first_last(
         ["pitch_number", "event_id"],
         {"first_pitcher_id": "pitcher_id", "batter_name": "batter_name", "batter_side": "batter_side"},
         {"pitcher_id": "pitcher_id", "pitcher_name": "pitcher_name", "pitcher_hand": "pitcher_hand", "trajectory": "trajectory"},
     )
-    a = p.groupBy("game_pk", "season", "at_bat_index", "batter_id").agg(
+    a = p.groupBy(*grain).agg(
         F.max("load_id").alias("load_id"),
         first,
         last,
