@@ -449,11 +449,13 @@ def dim_player_stats(lines: DataFrame) -> DataFrame:
 def dim_player_stats_by_date(stats: DataFrame) -> DataFrame:
     """Season-to-date player totals per day, rates from the cumulative counts.
 
-    The daily aggregate bounds a (player, season) to the days and teams of a season.
+    The daily aggregate bounds a (player, season) to the days and teams of a season. A player
+    has about one line a day, so the lines are dealt by player and season as they are: that one
+    exchange serves the aggregate and the running sums.
     """
     keys = ["player_id", "player_name", "team_id", "team_name", "season", "game_date"]
     games = {"games_played": F.lit(1), "games_batted": "batting_at_bats", "games_pitched": "pitching_outs_recorded", "games_fielded": "fielding_chances"}
-    daily = stats.groupBy(*keys).agg(
+    daily = stats.repartition("player_id", "season").groupBy(*keys).agg(
         *[F.count(c).alias(n) for n, c in games.items()], *[F.sum(c).alias(c) for c in LINE_COLUMNS]
     )
     measures = {f"{c}_to_date": c for c in [*games, *LINE_COLUMNS]}
