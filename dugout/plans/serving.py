@@ -33,8 +33,8 @@ def seasons(t: Tables, before: int | None = None) -> DataFrame:
 
 
 def teams(t: Tables) -> DataFrame:
-    """Latest season row per team."""
-    latest = dedup_latest(t["dim_teams"], ["team_id"], [c("season").desc()])
+    """Latest season row per team, dealt by team before the rows are put in order."""
+    latest = dedup_latest(t["dim_teams"].repartition("team_id"), ["team_id"], [c("season").desc()])
     return latest.select("team_id", "team_name", "abbreviation", "season").orderBy("team_name", "team_id")
 
 
