@@ -1,4 +1,4 @@
-"""Join shapes. No side is force-broadcast: adaptive execution measures sizes."""
+"""Join shapes. No side is force-broadcast; sides that grow with the data are never broadcast."""
 
 from __future__ import annotations
 
@@ -11,10 +11,22 @@ from ..functions.scalar import ColumnLike, as_col
 from .windows import running
 
 
-def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, ColumnLike], take: dict[str, str], where: Column | None = None) -> DataFrame:
+def growing(df: DataFrame) -> DataFrame:
+    """A join side with a row per game, team, player or pick: joined by sort and merge, never broadcast.
+
+    Sizes of files and shuffles are those of compressed, unexploded rows; a table that looks small
+    by them fills the driver and every task when it is broadcast as a hash table.
+    """
+    return df.hint("merge")
+
+
+def lookup(
+    fact: DataFrame, dim: DataFrame, on: dict[str, ColumnLike], take: dict[str, str], where: Column | None = None, grows: bool = False
+) -> DataFrame:
     """Left lookup of a dimension in one of its roles.
 
-    on: dimension column -> fact expression; take: output column -> dimension column.
+    on: dimension column -> fact expression; take: output column -> dimension column;
+    grows: the dimension grows with the data (see :func:`growing`).
     """
     dim_keys = {f"_k{i}": d for i, d in enumerate(on)}
     right = dim if where is None else dim.where(where)
@@ -23,19 +35,20 @@ def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, ColumnLike], take: dic
     for i, (k, d) in enumerate(dim_keys.items()):
         c = as_col(on[d]) == F.col(k)
         cond = c if i == 0 else cond & c
-    return fact.join(right, cond, "left").drop(*dim_keys)
+    return fact.join(growing(right) if grows else right, cond, "left").drop(*dim_keys)
 
 
 def conditional_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], accept: Column) -> DataFrame:
     """Left join whose match counts only when a predicate over both sides holds.
 
-    ``accept`` refers to both sides' columns by name (they must not clash except keys).
+    ``accept`` refers to both sides' columns by name (they must not clash except keys); both
+    sides grow with the data (see :func:`growing`).
     """
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     cond = accept
     for k in keys:
         cond = (F.col(k) == F.col(f"_r_{k}")) & cond
-    return left.join(renamed, cond, "left").withColumn("_matched", F.col(f"_r_{keys[0]}").isNotNull()).drop(*[f"_r_{k}" for k in keys])
+    return left.join(growing(renamed), cond, "left").withColumn("_matched", F.col(f"_r_{keys[0]}").isNotNull()).drop(*[f"_r_{k}" for k in keys])
 
 
 def date_in_range(df: DataFrame, date_col: str, ranges: DataFrame, start: str, end: str, take: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..operators.joins import lookup
+from ..operators.joins import growing, lookup
 from ..operators.windows import dedup_latest
 from .dims import BATTING, FIELDING, PITCHING
 from .intermediate import RECORD_SPLITS, SEASON_RECORDS
@@ -110,10 +110,15 @@ def game_umpire_performance(t: Tables, game_pk: int | None = None) -> DataFrame:
 
 
 def game_players(t: Tables, game_pk: int | None = None) -> DataFrame:
-    """Batters and pitchers of a game: two columns become rows, then an equi-join."""
-    seen = _only(t["fact_at_bats"], game_pk=game_pk).select("game_pk", F.explode(F.array("batter_id", "pitcher_id")).alias("player_id")).distinct()
-    who = t["dim_player"].select("player_id", "full_name", "position__name")
-    out = seen.join(who, "player_id").distinct().select("game_pk", "player_id", "full_name", "position__name")
+    """Batters and pitchers of a game: two columns become rows, then an equi-join.
+
+    Dealt by player first: one exchange serves the distinct rows and the join, and no task
+    that reads holds the distinct rows of its files.
+    """
+    seen = _only(t["fact_at_bats"], game_pk=game_pk).select("game_pk", F.explode(F.array("batter_id", "pitcher_id")).alias("player_id"))
+    seen = seen.where(c("player_id").isNotNull()).repartition("player_id").distinct()
+    who = t["dim_player"].select("player_id", "full_name", "position__name").distinct()
+    out = seen.join(growing(who), "player_id").select("game_pk", "player_id", "full_name", "position__name")
     return out.orderBy("full_name") if game_pk is None else out.drop("game_pk").orderBy("full_name")
 
 
