@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import scalar as S
-from ..operators.joins import date_in_range, lookup
+from ..operators.joins import date_in_range, growing, lookup
 from ..operators.reshape import by_priority, bounds_spine
 from ..operators.windows import dedup_latest, running_sum
 from ..sources.landing import LOAD_ID, ROW_ID
@@ -333,7 +333,7 @@ def dim_player(rosters: DataFrame, transactions: DataFrame) -> DataFrame:
         "player_id", "team_id", "_day", F.explode(F.when(F.month("_day") >= 10, F.array("_year", F.col("_year") + 1)).otherwise(F.array("_year"))).alias("season")
     )
     arrivals = filed.groupBy("player_id", "team_id", "season").agg(F.max("_day").alias("_tx_day"))
-    dated = changes.join(arrivals, ["player_id", "team_id", "season"], "left").withColumn(
+    dated = changes.join(growing(arrivals), ["player_id", "team_id", "season"], "left").withColumn(
         "_candidate", F.coalesce(F.when(F.col("_arrival"), F.col("_tx_day")), F.make_date("season", F.lit(1), F.lit(1)))
     )
     upto = w.rowsBetween(Window.unboundedPreceding, 0)

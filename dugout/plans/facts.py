@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..operators.joins import conditional_lookup, lookup, version_at
+from ..operators.joins import conditional_lookup, growing, lookup, version_at
 from ..operators.windows import dedup_latest, first_last
 from ..sources.landing import LOAD_ID, ROW_ID
 from .dims import draft_year_text, latest_draft_picks
@@ -115,7 +115,7 @@ def fact_draft(draft: DataFrame, dim: DataFrame) -> DataFrame:
         & (F.col("pick_number") == F.col("_pick"))
         & (F.col("round_pick_number") == F.col("_round_pick"))
     )
-    return s.join(keys, cond).select(
+    return s.join(growing(keys), cond).select(
         "draft_key",
         "person__draft_year",
         "person_id",
@@ -147,7 +147,7 @@ def fact_games(
     hs, as_ = F.col("home_score"), F.col("away_score")
     agrees = (F.col("bx_home_runs") == hs) & (F.col("bx_away_runs") == as_)
     accept = (F.col("is_final") == 0) | hs.isNull() | as_.isNull() | agrees
-    j = conditional_lookup(games.join(d, "game_pk", "left"), b, ["game_pk"], accept)
+    j = conditional_lookup(games.join(growing(d), "game_pk", "left"), b, ["game_pk"], accept)
     j = j.withColumns(
         {
             "_home": F.coalesce(hs, F.col("bx_home_runs")),
@@ -158,7 +158,7 @@ def fact_games(
     j = lookup(j, dates, {"date_actual": F.col("game_date").cast("date")}, {"game_date_key": "date_key"})
     j = lookup(j, dates, {"date_actual": "official_date"}, {"official_date_key": "date_key"})
     for side in ("home", "away"):
-        j = lookup(j, teams, {"team_id": f"{side}_team_id", "season": "season"}, {f"{side}_team_key": "team_key"})
+        j = lookup(j, teams, {"team_id": f"{side}_team_id", "season": "season"}, {f"{side}_team_key": "team_key"}, grows=True)
     j = lookup(j, venues.withColumn("venue_id", F.col("venue_id").cast("string")), {"venue_id": "venue_id"}, {"venue_key": "venue_key"})
     j = lookup(j, seasons, {"season": "season"}, {"season_key": "season_key"})
     j = lookup(j, game_types, {"game_type_code": "game_type"}, {"game_type_key": "game_type_key"})
@@ -262,11 +262,11 @@ def fact_player_stats(player_stats: DataFrame, players: DataFrame, teams: DataFr
     positions = [F.col(c) for c in ("position__code", "fielding_position__code", "batting_position__code") if c in have]
     j = player_stats
     if valid_on is None:
-        j = lookup(j, players.where("is_current = 1"), {"player_id": "player__id"}, {"player_key": "player_version_key"})
+        j = lookup(j, players.where("is_current = 1"), {"player_id": "player__id"}, {"player_key": "player_version_key"}, grows=True)
     else:
         dated = j.withColumn("_valid_on", valid_on)
         j = version_at(dated, players, {"player_id": "player__id"}, "_valid_on", ("effective_date", "end_date"), {"player_key": "player_version_key"}, [ROW_ID], chunk=F.year("_time"))
-    j = lookup(j, teams, {"team_id": "team__id", "season": "season"}, {"team_key": "team_key"})
+    j = lookup(j, teams, {"team_id": "team__id", "season": "season"}, {"team_key": "team_key"}, grows=True)
     j = lookup(j, seasons, {"season": "season"}, {"season_key": "season_key"})
     return j.select(
         *["player_key", "team_key", "season_key", "season"],
@@ -302,7 +302,7 @@ def fact_umpire_performance(umpires: DataFrame, pitches: DataFrame, challenges:
         F.sum(S.flag(F.col("review_is_overturned").cast("int") == 1)).alias("_over"),
         F.sum(S.flag(F.col("review_is_overturned").cast("int") == 0)).alias("_upheld"),
     )
-    j = plate.join(by_game, "game_pk", "left").join(reviews, "game_pk", "left")
+    j = plate.join(growing(by_game), "game_pk", "left").join(growing(reviews), "game_pk", "left")
     zero = F.lit(0).cast("long")
     return j.select(
         S.surrogate_key(["game_pk", "official_id"]).alias("umpire_performance_key"),

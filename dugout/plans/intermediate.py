@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..operators.joins import lookup
+from ..operators.joins import growing, lookup
 from ..operators.reshape import stacked_rows
 from ..operators.windows import running, session_counter
 from ..sources.landing import HIT_EVENTS, LOAD_ID
@@ -138,7 +138,7 @@ def int_player_game_stats(player_game_stats: DataFrame, games: DataFrame, game_d
     final = games.where((F.col("game_type") == "R") & (F.col("is_final") == 1)).select(
         "game_pk", "season", "game_type_desc", "game_date", "game_datetime", "home_team_id", "home_team_name", "away_team_id", "away_team_name"
     )
-    j = player_game_stats.join(final, "game_pk").join(_local_start(game_details), "game_pk", "left")
+    j = player_game_stats.join(growing(final), "game_pk").join(growing(_local_start(game_details)), "game_pk", "left")
     home = F.col("is_home").cast("int") == 1
     lines = [f"pitching_{c}" for c in PITCHING[1:]] + [f"fielding_{c}" for c in FIELDING] + [f"batting_{c}" for c in BATTING]
     return j.select(
@@ -201,9 +201,9 @@ def int_team_game_results(games: DataFrame, game_details: DataFrame, teams: Data
         *[F.col(f"teams__{s}__is_winner").cast("int").alias(f"{s}_is_winner") for s in ("home", "away")],
         *["games_in_series", "series_game_number"],
     )
-    j = kept.join(_local_start(game_details).select("game_pk", "start_hour"), "game_pk", "left")
+    j = kept.join(growing(_local_start(game_details).select("game_pk", "start_hour")), "game_pk", "left")
     for s in ("home", "away"):
-        j = lookup(j, teams, {"id": f"{s}_team_id", "season": "season"}, {f"{s}_league": "league__id"})
+        j = lookup(j, teams, {"id": f"{s}_team_id", "season": "season"}, {f"{s}_league": "league__id"}, grows=True)
     starts = F.col("series_game_number") == 1
     pair = ["home_team_id", "away_team_id"]
     j = session_counter(j, pair, ["game_date", "game_datetime", "game_pk"], starts, "series_id")

@@ -45,7 +45,7 @@ def _both_teams(t: Tables, games: DataFrame, names: bool, required: bool = False
         take = {f"{s}_team_abbr": "abbreviation", f"_{s}_known": "team_id"} | ({f"{s}_team_name": "team_name"} if names else {})
         if names:
             out = out.drop(f"{s}_team_name")
-        out = lookup(out, t["dim_teams"], {"team_id": f"{s}_team_id", "season": "season"}, take)
+        out = lookup(out, t["dim_teams"], {"team_id": f"{s}_team_id", "season": "season"}, take, grows=True)
     if required:
         out = out.where(c("_home_known").isNotNull() & c("_away_known").isNotNull())
     extra = [f"{s}_team_name" for s in ("home", "away")] if names else []
@@ -81,7 +81,7 @@ def games(t: Tables, season: int | None = None, team_id: int | None = None, oppo
 
 def game_details(t: Tables, game_pk: int | None = None) -> DataFrame:
     venue = t["dim_games"].select("game_pk", "venue_name")
-    return _only(t["dim_game_details"], game_pk=game_pk).join(venue, "game_pk")
+    return _only(t["dim_game_details"], game_pk=game_pk).join(growing(venue), "game_pk")
 
 
 def game_season(t: Tables, game_pk: int | None = None) -> DataFrame:
@@ -106,7 +106,7 @@ def game_umpires(t: Tables, game_pk: int | None = None) -> DataFrame:
 
 def game_umpire_performance(t: Tables, game_pk: int | None = None) -> DataFrame:
     names = t["dim_game_umpires"].select("game_pk", "official_id", "full_name")
-    return _only(t["fact_umpire_performance"], game_pk=game_pk).join(names, ["game_pk", "official_id"])
+    return _only(t["fact_umpire_performance"], game_pk=game_pk).join(growing(names), ["game_pk", "official_id"])
 
 
 def game_players(t: Tables, game_pk: int | None = None) -> DataFrame:

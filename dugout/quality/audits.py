@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from ..operators.joins import growing
 from ..operators.windows import neighbor
 
 Models = dict[str, DataFrame]
@@ -281,7 +282,7 @@ def row_audits() -> list[RowAudit]:
 def _with_schedule(m: Models) -> DataFrame:
     """Games fact with the schedule's team ids and scores."""
     g = m["dim_games"].select("game_pk", "home_team_id", "away_team_id", "home_score", "away_score")
-    return m["fact_games"].join(g, "game_pk")
+    return m["fact_games"].join(growing(g), "game_pk")
 
 
 def _winning_population(m: Models) -> DataFrame:
@@ -296,7 +297,7 @@ def _winning_failing(m: Models) -> DataFrame:
 
 def _score_population(m: Models) -> DataFrame:
     d = m["dim_game_details"].select("game_pk", c("home_runs").alias("gd_home_runs"), c("away_runs").alias("gd_away_runs"))
-    return m["dim_games"].where("is_final = 1").join(d, "game_pk")
+    return m["dim_games"].where("is_final = 1").join(growing(d), "game_pk")
 
 
 def _score_failing(m: Models) -> DataFrame:
@@ -309,7 +310,7 @@ def _mirrored(m: Models) -> DataFrame:
     s = m["dim_team_standings"]
     cols = ["team_score", "opponent_score", "is_win", "is_loss", "is_tie"]
     away = s.where("is_home = 0").select("game_pk", c("team_id").alias("opponent_team_id"), *[c(x).alias(f"a_{x}") for x in cols])
-    return s.where("is_home = 1").join(away, ["game_pk", "opponent_team_id"])
+    return s.where("is_home = 1").join(growing(away), ["game_pk", "opponent_team_id"])
 
 
 def _mirror_failing(m: Models) -> DataFrame:
@@ -338,7 +339,7 @@ def _player_totals(m: Models) -> DataFrame:
         return F.struct(*[c(v).alias(k) for k, v in cols.items()])
 
     boxes = _with_schedule(m).where(_final() & (c("has_box_score") == 1)).select("game_pk", F.inline(F.array(side("home"), side("away"))))
-    return boxes.join(players, ["game_pk", "team_id"])
+    return boxes.join(growing(players), ["game_pk", "team_id"])
 
 
 def _player_totals_failing(m: Models) -> DataFrame:
@@ -350,7 +351,7 @@ def _player_totals_failing(m: Models) -> DataFrame:
 
 def _rejected(m: Models) -> DataFrame:
     box = m["int_team_game_box"].select("game_pk", "player_rows", c("home_runs").alias("box_home_runs"), c("away_runs").alias("box_away_runs"))
-    return _with_schedule(m).where(_final()).join(box, "game_pk")
+    return _with_schedule(m).where(_final()).join(growing(box), "game_pk")
 
 
 def _history_failing(m: Models) -> DataFrame:

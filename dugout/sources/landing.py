@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalar as S
-from ..operators.joins import not_in
+from ..operators.joins import growing, not_in
 from ..operators.reshape import id_union
 from ..operators.windows import dedup_latest
 
@@ -185,7 +185,7 @@ def game_details(live: DataFrame, box_scores: DataFrame, line_scores: DataFrame)
     last_of = F.filter(cleaned, lambda x, i: ~F.exists(F.slice(cleaned, i + 2, F.size(cleaned)), lambda y: y["k"] == x["k"]))
     box = newest_requests(box_scores.select("request", "info"), ["gamePk"]).select(pk, F.map_from_entries(last_of).alias("info"))
     line = newest_requests(line_scores, ["gamePk"]).select(pk, F.col("decisions").alias("ls"))
-    j = feed.join(box, "game_pk", "left").join(line, "game_pk", "left")
+    j = feed.join(growing(box), "game_pk", "left").join(growing(line), "game_pk", "left")
 
     def label(name: str) -> Column:
         return F.try_element_at("info", F.lit(name))
