@@ -22,6 +22,8 @@ from .keys import keyed_join
 
 CHUNK = "_chunk"
 SET_ID = "_set_id"
+#: Least number of tasks that share the rows of many splits.
+SPREAD_TASKS = 200
 
 _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -109,7 +111,9 @@ def running(
 
     if chunk is None:
         if spread:
-            rows = rows.repartition(*spread)
+            # Every split sorts a task's rows once more, so tasks stay small: their number is stated, and they are not put together.
+            tasks = max(SPREAD_TASKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+            rows = rows.repartition(tasks, *spread)
         out = {}
         for name, (split, how, _) in measures.items():
             w = Window.partitionBy(*splits[split]).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
