@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dugout.catalog import QUERIES
 from dugout.catalog import landing_queries as Q
 from dugout.operators.windows import SPREAD_TASKS
+from dugout.plans import serving
 
 
 @pytest.fixture(scope="module")
@@ -87,6 +88,24 @@ def test_a_player_of_a_game_is_named_once(spark, tables):
     assert len(got) == len(set(got)) and {r.full_name for r in got} == {f"B{i}" for i in range(30)}
 
 
+def test_role_of_a_line_is_no_filter_on_computed_counts(spark):
+    """Planning doubles the constraints of a filter for every computed count in it: with some twenty they fill the driver."""
+    n, bits = F.col("id"), {"pitching_walks": 1, "batting_hits": 2, "fielding_errors": 4}
+    lines = spark.range(9).select(
+        F.lit(1).alias("game_pk"), n.alias("player_id"), F.lit(1).alias("is_home"),
+        *[F.lit("x").alias(x) for x in ("player_name", "team_name", "position_name", "pitching_era_raw", "batting_avg_raw")],
+        *[F.when(n == 0, -1).when(n < 8, n.bitwiseAND(bit)).alias(x) for x, bit in bits.items()],
+        *[F.lit(None).cast("int").alias(x) for x in (*serving.PITCHING_LINE, *serving.FIELDING_LINE, *serving.BATTING_LINE) if x not in bits],
+    )
+    out = serving.game_players_stats({"dim_player_stats": lines})
+    assert "Filter" not in plan_of(out)
+    # Player 0 has negative counts and player 8 none: neither played.
+    want = ["Pitcher", "Batter/Fielder", "Both", "Batter/Fielder", "Pitcher", "Batter/Fielder", "Both"]
+    assert [(r.player_id, r.player_role) for r in out.collect()] == list(enumerate(want, 1))
+    assert out.columns[:7] == ["game_pk", "player_id", "player_name", "team_name", "is_home", "position_name", "player_role"]
+    assert serving.game_players_stats({"dim_player_stats": lines}, game_pk=2).count() == 0
+
+
 def _answers(monkeypatch):
     """Counts the landed answers of each name and keeps their folders."""
     seen, read = {}, Q.L.read_landed
